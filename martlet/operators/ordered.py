@@ -21,6 +21,7 @@ from martlet.sizing import SEGMENT_ROWS, segment_count, stored
 
 SEGMENT = "_segment"
 SAMPLES_PER_SEGMENT = 8
+KEYLESS_SEGMENT_ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -75,6 +76,10 @@ def cut(
 ) -> DataFrame | None:
     """``df`` with a segment number that never falls along (keys, order); None if one is enough."""
     rows = df.count()
+    if not keys:
+        # Nothing else would spread a keyless order, so give every core a segment.
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        rows_per_segment = min(rows_per_segment, max(KEYLESS_SEGMENT_ROWS, rows // cores))
     segments = segment_count(rows, rows_per_segment)
     if segments == 1:
         return None

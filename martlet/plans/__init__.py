@@ -2,7 +2,7 @@
 
 import importlib
 
-QUERY_MODULES = ("relational",)
+QUERY_MODULES = ("relational", "windows", "events")
 
 
 def load_catalogue():

@@ -29,23 +29,37 @@ class Workspace:
     def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @property
+    def digest(self) -> str:
+        return hashlib.sha256(self.folder.encode()).hexdigest()[:16]
+
     def location(self, name: str) -> str:
-        digest = hashlib.sha256(self.folder.encode()).hexdigest()[:16]
-        return f"{shared_folder(self.spark)}/tables/{digest}/{name}"
+        return f"{shared_folder(self.spark)}/tables/{self.digest}/{name}"
 
-    def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def once(self, name: str, write: Callable[[], None]) -> str:
+        """Location of ``name``, after ``write`` has run once in this application."""
         where = self.location(name)
         if where not in _BUILT:
-            build().write.mode("overwrite").parquet(where)
+            write()
             _BUILT.add(where)
+        return where
+
+    def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        where = self.location(name)
+        self.once(name, lambda: build().write.mode("overwrite").parquet(where))
         return self.spark.read.parquet(where)
 
     # RAW
+    @property
+    def documents(self) -> DataFrame:
+        """JSON text of all events with load metadata, as a loader would have received it."""
+        return self.table("documents", lambda: fixtures.event_documents(
+            self.source("orders"), self.source("lineitem"), self.source("part")))
+
     @property
     def raw(self) -> DataFrame:
         """raw variant, src_filename, loaded_at"""
-        return self.table("raw_events", lambda: mart.raw_events(fixtures.event_documents(
-            self.source("orders"), self.source("lineitem"), self.source("part"))))
+        return self.table("raw_events", lambda: mart.raw_events(self.documents))
 
     # STAGING
     @property
