@@ -2,7 +2,7 @@
 
 import importlib
 
-QUERY_MODULES = ("relational", "windows", "events")
+QUERY_MODULES = ("relational", "windows", "events", "history", "serving")
 
 
 def load_catalogue():
