@@ -1,0 +1,262 @@
+"""Queries on text, vectors, user-defined functions and models."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from martlet.functions import udfs
+from martlet.operators import ml, search, text
+from martlet.operators.variant import flatten, path
+from martlet.plans.oracle import double, on_fact, with_ctes
+from martlet.plans.registry import query
+
+# What the searches below ask for, and the fields extracted from texts.
+QUESTION = "the onesen heention that"
+LIMIT = 10
+FIELD_RULES = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
+    "phone": r"[0-9]{3}-[0-9]{4}",
+    "address": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
+}
+
+TOKENS_SQL = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+')"
+
+
+def _index(ws):
+    """All documents indexed in two batches, as if the second had arrived later."""
+    where = ws.location("search_index")
+    index = search.SearchIndex(ws.spark, where, "doc_id", ["lang"])
+
+    def build():
+        docs = ws.source("documents").select("doc_id", "lang", "text")
+        half = docs.agg(F.expr("percentile_approx(doc_id, 0.5)")).scalar()
+        index.add(docs.where(F.col("doc_id") <= half), "text", 0)
+        index.add(docs.where(F.col("doc_id") > half), "text", 1)
+
+    ws.once("search_index", build)
+    return index
+
+
+def _vectors(ws):
+    """Embeddings keyed like the documents they stand for, with the attribute searches filter on."""
+    return ws.table("vectors", lambda: ws.source("embeddings").select(
+        F.col("vec_id").alias("doc_id"), "embedding").join(
+        ws.source("documents").select("doc_id", "lang"), "doc_id", "left"))
+
+
+def _query_vector(ws):
+    return ws.source("embeddings").where(F.col("vec_id") == 0).select("embedding").first()[0]
+
+
+BM25_SQL = rf"""
+words AS (
+  SELECT doc_id, lang, unnest({TOKENS_SQL.format('text')}) AS term FROM documents),
+lengths AS (SELECT doc_id, len({TOKENS_SQL.format('text')}) AS length FROM documents),
+totals AS (SELECT count(*) AS n, sum(length) / count(*) AS average FROM lengths),
+asked AS (SELECT DISTINCT unnest({TOKENS_SQL.format("'" + QUESTION + "'")}) AS term),
+hits AS (
+  SELECT doc_id, lang, term, count(*) AS tf FROM words
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, lang, term),
+weights AS (
+  SELECT term, ln(1 + ((SELECT n FROM totals) - count(*) + 0.5) / (count(*) + 0.5)) AS idf
+  FROM hits GROUP BY term),
+keyword_scores AS (
+  SELECT h.doc_id, any_value(h.lang) AS lang, round(sum(
+    w.idf * h.tf * 2.2 / (h.tf + 1.2 * (0.25 + 0.75 * l.length / (SELECT average FROM totals)))), 6)
+    AS score
+  FROM hits h JOIN weights w ON w.term = h.term JOIN lengths l ON l.doc_id = h.doc_id
+  GROUP BY h.doc_id)"""
+
+VECTOR_SQL = """
+vector_scores AS (
+  SELECT e.vec_id AS doc_id, d.lang, round(list_cosine_similarity(
+    CAST(e.embedding AS DOUBLE[]),
+    (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 0)), 6) AS score
+  FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id)"""
+
+
+def _fused_sql(condition: str = "true") -> str:
+    return BM25_SQL + "," + VECTOR_SQL + f""",
+k AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place
+      FROM keyword_scores WHERE {condition}),
+v AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place
+      FROM vector_scores WHERE {condition}),
+fused AS (
+  SELECT coalesce(k.doc_id, v.doc_id) AS doc_id,
+         round(coalesce(1.0 / (60 + k.place), 0) + coalesce(1.0 / (60 + v.place), 0), 6) AS score
+  FROM k FULL JOIN v ON k.doc_id = v.doc_id
+  ORDER BY score DESC, doc_id LIMIT {LIMIT})"""
+
+
+@query("bm25_topk", with_ctes(BM25_SQL, select=f"""
+SELECT doc_id, score FROM keyword_scores ORDER BY score DESC, doc_id LIMIT {LIMIT}"""))
+def bm25_topk(ws):
+    return search.top(_index(ws).keyword_scores(QUESTION), "doc_id", LIMIT)
+
+
+@query("vector_topk", with_ctes(VECTOR_SQL, select=f"""
+SELECT doc_id, score FROM vector_scores ORDER BY score DESC, doc_id LIMIT {LIMIT}"""))
+def vector_topk(ws):
+    scores = search.vector_scores(_vectors(ws), "doc_id", "embedding", _query_vector(ws))
+    return search.top(scores, "doc_id", LIMIT)
+
+
+def _hybrid(ws, condition=None, columns=("doc_id", "lang", "source")):
+    return search.search(
+        _index(ws), _vectors(ws), "embedding", ws.source("documents"),
+        QUESTION, _query_vector(ws), columns, LIMIT, condition)
+
+
+@query("hybrid_search", with_ctes(_fused_sql(), select="""
+SELECT f.doc_id, d.lang, d.source, CAST(f.score AS DOUBLE) AS score
+FROM fused f JOIN documents d ON d.doc_id = f.doc_id"""))
+def hybrid_search(ws):
+    return _hybrid(ws)
+
+
+@query("hybrid_filtered", with_ctes(_fused_sql("lang = 'fr'"), select="""
+SELECT f.doc_id, d.lang, d.source, CAST(f.score AS DOUBLE) AS score
+FROM fused f JOIN documents d ON d.doc_id = f.doc_id"""))
+def hybrid_filtered(ws):
+    return _hybrid(ws, {"@eq": {"lang": "fr"}})
+
+
+@query("flatten_results", with_ctes(_fused_sql(), select="""
+SELECT f.doc_id, d.lang, d.text
+FROM fused f JOIN documents d ON d.doc_id = f.doc_id"""))
+def flatten_results(ws):
+    found = _hybrid(ws, columns=("doc_id", "lang", "text"))
+    response = search.as_response(found, ["doc_id", "lang", "text"], LIMIT)
+    return flatten(response, "results").select(
+        path("value", "doc_id", "bigint").alias("doc_id"), path("value", "lang").alias("lang"),
+        path("value", "text").alias("text"))
+
+
+@query("extract_fields", "SELECT doc_id, " + ", ".join(
+    f"array_to_string(regexp_extract_all(text, '{rule}'), '|') AS {name}"
+    for name, rule in FIELD_RULES.items()) + " FROM documents")
+def extract_fields(ws):
+    found = ws.source("documents").select(
+        "doc_id", text.extract_fields(F.col("text"), FIELD_RULES).alias("fields"))
+    return found.select("doc_id", *[
+        F.array_join(f"fields.{name}", "|").alias(name) for name in FIELD_RULES])
+
+
+SUMMARY_SQL = rf"""
+parts AS (
+  SELECT doc_id, list_filter(list_transform(
+    regexp_extract_all(text, '[^.!?。！？\n]+[.!?。！？]*'), lambda s: regexp_replace(s, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')), lambda s: s <> '')
+    AS list
+  FROM documents),
+sentences AS (
+  SELECT doc_id, generate_subscripts(list, 1) AS pos, unnest(list) AS sentence FROM parts),
+frequency AS (
+  SELECT term, count(*) AS df FROM (
+    SELECT doc_id, unnest(list_distinct({TOKENS_SQL.format('text')})) AS term FROM documents) AS t
+  GROUP BY term),
+scored AS (
+  SELECT s.doc_id, s.pos, round(avg(ln(((SELECT count(*) FROM documents) + 1) / (f.df + 1))), 6)
+    AS score
+  FROM (SELECT doc_id, pos, unnest(list_distinct({TOKENS_SQL.format('sentence')})) AS term
+        FROM sentences) AS s
+  JOIN frequency f ON f.term = s.term GROUP BY s.doc_id, s.pos),
+summaries AS (
+  SELECT d.doc_id, s.sentence AS summary
+  FROM documents d
+  LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS n
+             FROM scored) AS b ON b.doc_id = d.doc_id AND b.n = 1
+  LEFT JOIN sentences s ON s.doc_id = b.doc_id AND s.pos = b.pos)"""
+
+
+def _summaries(ws):
+    return ws.table("summaries", lambda: text.summarise(
+        ws.source("documents").select("doc_id", "text"), "doc_id", "text"))
+
+
+@query("extractive_summary", with_ctes(SUMMARY_SQL, select="SELECT * FROM summaries"))
+def extractive_summary(ws):
+    return _summaries(ws)
+
+
+@query("events_with_summary", with_ctes(SUMMARY_SQL, select="""
+SELECT e.event_id, e.user_id, CAST(e.ts AS VARCHAR) AS event_time, s.doc_id AS review_id, s.summary
+FROM events e JOIN summaries s ON s.doc_id = e.user_id"""))
+def events_with_summary(ws):
+    # A document is the review of the user with the same number.
+    events = ws.source("events").select("event_id", "user_id", F.col("ts").alias("event_time"))
+    reviews = _summaries(ws).select(
+        F.col("doc_id").alias("review_id"), F.col("doc_id").alias("user_id"), "summary")
+    return events.join(reviews, "user_id").select(
+        "event_id", "user_id", "event_time", "review_id", "summary")
+
+
+def _classified(ws, label, names):
+    docs = ws.source("documents").select("doc_id", "text")
+    labelled = docs.join(ws.source("labels"), "doc_id")
+    model = text.TextClassifier(names).fit(labelled, "text", label)
+    return model.classify(docs, "text").select(
+        "doc_id", F.col("class.label").alias("label"), F.round("class.score", 6).alias("score"))
+
+
+@query("classify_quality")
+def classify_quality(ws):
+    return _classified(ws, "quality", ["poor", "good"])
+
+
+@query("classify_toxic")
+def classify_toxic(ws):
+    return _classified(ws, "toxic", ["clean", "toxic"])
+
+
+# ---- user-defined functions and models -----------------------------------------------------
+
+YEN_SQL = on_fact(f"""
+SELECT event_id, sku, {double('line_amount')},
+       '¥' || format('{{:,}}', CAST(trunc(line_amount) AS BIGINT)) AS formatted_amount
+FROM fact""")
+
+
+@query("udf_format_amount", YEN_SQL)
+def udf_format_amount(ws):
+    return ws.fact.select("event_id", "sku", "line_amount", udfs.format_amount_jpy(
+        F.col("line_amount")).alias("formatted_amount"))
+
+
+@query("udf_format_amount_sql", YEN_SQL)
+def udf_format_amount_sql(ws):
+    udfs.register(ws.spark)
+    return ws.spark.sql(
+        "SELECT event_id, sku, line_amount, "
+        "format_amount_jpy(CAST(line_amount AS DOUBLE)) AS formatted_amount FROM {fact}",
+        fact=ws.fact)
+
+
+@query("udf_vectorised", on_fact(f"""
+SELECT event_id, sku, {double('line_amount')},
+       CAST(floor(line_amount * 110 / 100) AS DOUBLE) AS amount_with_tax
+FROM fact"""))
+def udf_vectorised(ws):
+    return ws.fact.select("event_id", "sku", "line_amount", udfs.with_tax(
+        F.col("line_amount").cast("double")).alias("amount_with_tax"))
+
+
+@query("ml_scaled", on_fact(f"""
+SELECT event_id, sku, {double('line_amount')},
+       round((CAST(line_amount AS DOUBLE) - (SELECT avg(CAST(line_amount AS DOUBLE)) FROM fact))
+         / (SELECT stddev_pop(CAST(line_amount AS DOUBLE)) FROM fact), 6) AS line_amount_scaled
+FROM fact"""))
+def ml_scaled(ws):
+    fact = ws.fact.select("event_id", "sku", "line_amount")
+    scaled = ml.fit_scaler(fact, ["line_amount"]).transform(fact)
+    return scaled.withColumn("line_amount_scaled", F.round("line_amount_scaled", 6))
+
+
+@query("ml_linreg", on_fact("""
+SELECT round(regr_slope(CAST(line_amount AS DOUBLE), CAST(qty AS DOUBLE)), 4) AS slope,
+       round(regr_intercept(CAST(line_amount AS DOUBLE), CAST(qty AS DOUBLE)), 4) AS intercept
+FROM fact"""))
+def ml_linreg(ws):
+    model = ml.fit_line(ws.fact.select("qty", "line_amount"), ["qty"], "line_amount")
+    return ws.spark.createDataFrame(
+        [(round(float(model.coefficients[0]), 4), round(float(model.intercept), 4))],
+        "slope double, intercept double")

@@ -71,12 +71,16 @@ def event_documents(orders: DataFrame, lineitem: DataFrame, part: DataFrame) ->
         ["sku", "product_name", "category", "qty", "price"],
         asc(*LINE_ORDER), {"loaded_at": F.max("l_shipdate").cast("timestamp_ntz")},
     )
-    events = event_header(orders).join(
-        items, F.col("o_orderkey") == F.col("l_orderkey"), "left"
-    ).withColumns({
-        "items": F.coalesce("items", F.from_json(F.lit("[]"), items.schema["items"].dataType)),
-        "loaded_at": F.coalesce("loaded_at", "order_time"),
+    header = event_header(orders)
+    # An inner join can split an order that fills many documents; a left join could not, so the
+    # orders without lines are added separately.
+    filled = lookup_join(items.withColumnRenamed("l_orderkey", "o_orderkey"), header, "o_orderkey")
+    lines = lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    empty = header.join(lines, "o_orderkey", "left_anti").withColumns({
+        "items": F.from_json(F.lit("[]"), items.schema["items"].dataType),
+        "loaded_at": F.col("order_time"),
     })
+    events = filled.unionByName(empty)
 
     def document(device: Column) -> Column:
         return F.to_json(F.struct(

@@ -1,0 +1,104 @@
+"""Incremental loading and merging with Structured Streaming.
+
+Each step is a streaming query that processes what is new and stops (``availableNow``), or keeps
+running when a processing interval is given. The checkpoint is the read position: it moves only
+after a micro-batch has been written, and a batch that is replayed overwrites what it wrote before.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from martlet.operators import history
+from martlet.plans import mart
+from martlet.sources import ingest
+
+RAW_SCHEMA = T.StructType([
+    T.StructField("raw", T.VariantType()),
+    T.StructField("src_filename", T.StringType()),
+    T.StructField("loaded_at", T.TimestampNTZType()),
+])
+LOAD_BATCH = "_load_id"
+
+
+def _trigger(interval: str | None) -> dict:
+    return {"availableNow": True} if interval is None else {"processingTime": interval}
+
+
+def _write_batch(rows: DataFrame, path: str, column: str, batch_id: int) -> None:
+    """Write one batch as its own partition, replacing it if it is there from an earlier try."""
+    rows.withColumn(column, F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
+
+def start_load(
+    spark: SparkSession, landing: str, raw_path: str, checkpoint: str,
+    on_error: str = "continue", interval: str | None = None, files_per_batch: int | None = None,
+):
+    """Load new files of ``landing`` into RAW; files already loaded are skipped.
+
+    A file is never split over micro-batches, so the verdict of ``skip_file`` is final.
+    """
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    lines = ingest.as_lines(reader.text(landing))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        raw = ingest.to_raw(batch, on_error).drop("src_path")
+        _write_batch(ingest.stamp(raw), raw_path, LOAD_BATCH, batch_id)
+
+    return lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
+        **_trigger(interval)).start()
+
+
+def reload_files(spark: SparkSession, files: str | list[str], raw_path: str) -> None:
+    """Load files once more, past the checkpoint. The copies get a partition of their own."""
+    again = ingest.read_json_events(spark, files)
+    last = spark.read.parquet(raw_path).agg(F.min(LOAD_BATCH)).first()[0]
+    # Forced loads count downward from -1, so they never meet the number of a streamed batch.
+    _write_batch(again, raw_path, LOAD_BATCH, min(last or 0, 0) - 1)
+
+
+def read_raw_stream(
+    spark: SparkSession, raw_path: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """Rows appended to RAW since the last successful read of the query that uses this."""
+    reader = spark.readStream.schema(RAW_SCHEMA.add(LOAD_BATCH, "bigint"))
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(raw_path).drop(LOAD_BATCH)
+
+
+def merge_purchase_events(batch: DataFrame, log_path: str, batch_id: int, commit_ts: Column) -> None:
+    """Flatten RAW rows, keep one row per fact key, and write them as one batch of the fact log."""
+    source = mart.fact_purchase_events(mart.stg_event_items(batch))
+    history.append_batch(history.log_rows(source, batch_id, commit_ts), log_path)
+
+
+def start_merge(
+    spark: SparkSession, raw_path: str, log_path: str, checkpoint: str,
+    interval: str | None = None, files_per_batch: int | None = None,
+    merge: Callable[[DataFrame, str, int, Column], None] = merge_purchase_events,
+):
+    """Merge new RAW rows into the fact log."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        merge(batch, log_path, batch_id, F.localtimestamp())
+
+    return read_raw_stream(spark, raw_path, files_per_batch).writeStream.foreachBatch(write).option(
+        "checkpointLocation", checkpoint).trigger(**_trigger(interval)).start()
+
+
+def start_dynamic_table(
+    spark: SparkSession, raw_path: str, table_path: str, checkpoint: str,
+    interval: str | None = "1 minute",
+):
+    """The continuously refreshed staging table: new RAW rows appear within ``interval``."""
+    staged = mart.dyn_stg_events(read_raw_stream(spark, raw_path))
+    return staged.writeStream.format("parquet").outputMode("append").option(
+        "checkpointLocation", checkpoint).option("path", table_path).trigger(
+        **_trigger(interval)).start()
