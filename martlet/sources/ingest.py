@@ -41,10 +41,14 @@ def to_raw(lines: DataFrame, on_error: str = "abort", file_column: str = "src_pa
         raise ValueError(f"on_error must be one of {ON_ERROR}")
     if on_error == "skip_file":
         lines = without_bad_files(lines, file_column)
-    kept = [c for c in lines.columns if c != "line"]
+    # The parse sits in a generator: a filter on its result would be pushed below it and parse every
+    # line twice, and a plain column would not be parsed at all by a job that only counts rows.
     if on_error == "abort":
-        return lines.select(F.parse_json("line").alias("raw"), *kept)
-    return lines.select(F.try_parse_json("line").alias("raw"), *kept).where(F.col("raw").isNotNull())
+        parsed = F.array(F.parse_json("line"))
+    else:
+        parsed = F.array_compact(F.array(F.try_parse_json("line")))
+    kept = [c for c in lines.columns if c != "line"]
+    return lines.select(F.explode(parsed).alias("raw"), *kept)
 
 
 def rejected(lines: DataFrame) -> DataFrame:
@@ -53,9 +57,9 @@ def rejected(lines: DataFrame) -> DataFrame:
 
 
 def without_bad_files(lines: DataFrame, file_column: str = "src_path") -> DataFrame:
-    """Lines of files in which every line parses. Lines without a file cannot be condemned by one."""
-    bad = rejected(lines).select(file_column).distinct()
-    return lookup_join(lines, bad, file_column, "left_anti").where(~is_bad(F.col("line")))
+    """Lines of files in which every line parses. A line without a file stands for itself."""
+    bad = rejected(lines.where(F.col(file_column).isNotNull())).select(file_column).distinct()
+    return lookup_join(lines, bad, file_column, "left_anti")
 
 
 def read_json_events(

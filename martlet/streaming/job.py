@@ -11,6 +11,14 @@ from martlet.plans.mart import FACT_KEY
 from martlet.streaming import pipeline
 
 
+FACT_LOG_SCHEMA = (
+    "event_id string, user_id string, event_time timestamp_ntz, sku string, product_name string, "
+    "category string, qty bigint, price decimal(10,2), line_amount decimal(12,2), "
+    "src_filename string, _op string, commit_ts timestamp_ntz, inserted_at timestamp_ntz, "
+    "_batch_id bigint"
+)
+
+
 @dataclass(frozen=True)
 class Paths:
     """Folders of one pipeline under a common root on shared storage."""
@@ -31,7 +39,7 @@ class Paths:
 
 def fact(spark: SparkSession, paths: Paths, target_schema: str = "mart") -> DataFrame:
     """Current state of the purchase fact."""
-    log = history.read_log(spark, paths.fact_log(target_schema))
+    log = history.read_log(spark, paths.fact_log(target_schema), FACT_LOG_SCHEMA)
     return history.current_state(log, FACT_KEY)
 
 

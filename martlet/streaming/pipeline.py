@@ -68,7 +68,8 @@ def read_raw_stream(
     spark: SparkSession, raw_path: str, files_per_batch: int | None = None
 ) -> DataFrame:
     """Rows appended to RAW since the last successful read of the query that uses this."""
-    reader = spark.readStream.schema(RAW_SCHEMA.add(LOAD_BATCH, "bigint"))
+    stored = T.StructType([*RAW_SCHEMA.fields, T.StructField(LOAD_BATCH, T.LongType())])
+    reader = spark.readStream.schema(stored)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(raw_path).drop(LOAD_BATCH)
