@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.sizing import BROADCAST_ROWS, lookup_join, small_enough
+from martlet.sizing import lookup_join, small_enough
 
 
 def star_totals(
@@ -15,7 +15,7 @@ def star_totals(
     dimensions: Sequence[tuple[DataFrame, str]],
     by: Sequence[str],
     sums: dict[str, str],
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """``sum`` of fact columns by dimension attributes.
 
@@ -36,7 +36,7 @@ def star_totals(
 
 
 def keep_lookup_rows(
-    fact: DataFrame, lookup: DataFrame, key: str, max_rows: int = BROADCAST_ROWS
+    fact: DataFrame, lookup: DataFrame, key: str, max_rows: int | None = None
 ) -> DataFrame:
     """``fact RIGHT JOIN lookup``: matches plus the lookup rows no fact row refers to.
 
@@ -49,7 +49,7 @@ def keep_lookup_rows(
 
 
 def unmatched(
-    fact: DataFrame, lookup: DataFrame, key: str, lookup_key: str, max_rows: int = BROADCAST_ROWS
+    fact: DataFrame, lookup: DataFrame, key: str, lookup_key: str, max_rows: int | None = None
 ) -> DataFrame:
     """``fact FULL JOIN lookup`` reduced to the rows of either side that found no partner.
 

@@ -8,15 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.operators.ordered import asc, running
-from martlet.sizing import FILE_ROWS, segment_count
+from martlet.sizing import limit, segment_count
 
 
 def clustered(
-    df: DataFrame, by: Sequence[Column], tie_break: Sequence[str], rows_per_file: int = FILE_ROWS
+    df: DataFrame, by: Sequence[Column], tie_break: Sequence[str], rows_per_file: int | None = None
 ) -> DataFrame:
     """Rows ordered into files by ``by``. The tie-break lets one value that holds a large part of the
     table spread over as many files as it needs."""
-    files = segment_count(df.count(), rows_per_file)
+    files = segment_count(df.count(), rows_per_file or limit(df.sparkSession, "fileRows"))
     order = [*by, *[F.col(c) for c in tie_break]]
     return df.repartitionByRange(files, *order).sortWithinPartitions(*order)
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from martlet.sizing import SEGMENT_ROWS, segment_count, stored
+from martlet.sizing import limit, segment_count, stored
 
 SEGMENT = "_segment"
 SAMPLES_PER_SEGMENT = 8
@@ -72,10 +72,11 @@ def _bounds(df: DataFrame, position: Column, rows: int, segments: int) -> DataFr
 
 
 def cut(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Key], rows_per_segment: int = SEGMENT_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[Key], rows_per_segment: int | None = None
 ) -> DataFrame | None:
     """``df`` with a segment number that never falls along (keys, order); None if one is enough."""
     rows = df.count()
+    rows_per_segment = rows_per_segment or limit(df.sparkSession, "segmentRows")
     if not keys:
         # Nothing else would spread a keyless order, so give every core a segment.
         cores = df.sparkSession.sparkContext.defaultParallelism
@@ -120,7 +121,7 @@ def running(
     order: Sequence[Key],
     sums: dict[str, Column] | None = None,
     number: str | None = None,
-    rows_per_segment: int = SEGMENT_ROWS,
+    rows_per_segment: int | None = None,
 ) -> DataFrame:
     """Add running sums (rows from the first to the current) and, if named, the row number.
 
@@ -168,7 +169,7 @@ def ranked(
     ties: Sequence[Key],
     rank: str,
     dense: str,
-    rows_per_segment: int = SEGMENT_ROWS,
+    rows_per_segment: int | None = None,
 ) -> DataFrame:
     """Add RANK and DENSE_RANK of ``by`` within ``keys``.
 
@@ -240,13 +241,14 @@ def framed(
     before: int,
     after: int,
     columns: Callable[[WindowSpec], dict[str, Column]],
-    rows_per_segment: int = SEGMENT_ROWS,
+    rows_per_segment: int | None = None,
 ) -> DataFrame:
     """Add window columns that look at most ``before`` rows back and ``after`` rows ahead.
 
     Above the limit, rows are numbered first and then grouped in blocks of consecutive numbers;
     each block also receives copies of the few rows next to it, which are dropped afterwards.
     """
+    rows_per_segment = rows_per_segment or limit(df.sparkSession, "segmentRows")
     if segment_count(df.count(), rows_per_segment) == 1:
         return df.withColumns(columns(_window(keys, *[item.sort for item in order])))
     if max(before, after) > rows_per_segment:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from martlet.operators.ordered import asc, desc, running
 from martlet.operators.text import tokens
-from martlet.sizing import lookup_join
+from martlet.sizing import lookup_join, spread
 
 # Fixed values of the published formulas.
 K1, B = 1.2, 0.75
@@ -43,6 +43,7 @@ class SearchIndex:
 
     def add(self, docs: DataFrame, text: str, batch_id: int) -> None:
         """Index new documents only. Adding a batch again replaces it."""
+        docs = spread(docs)
         new = postings(docs, self.key, text, self.attributes)
         # Sorting by term lets the reader skip the row groups of other terms; the key splits a
         # term that occurs in most documents over several files.

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlet.sizing import lookup_join, stored
+from martlet.sizing import lookup_join, spread, stored
 
 # Scripts written without spaces, and the marks that end a sentence.
 CJK = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}ー"
@@ -66,6 +66,7 @@ def summarise(docs: DataFrame, key: str, text: str) -> DataFrame:
     sentence keeps a NULL summary. Only (key, position, term) is shuffled, never the text.
     """
     total = docs.count()
+    docs = spread(docs)
     frequency = stored(document_frequency(docs, text))
     rarity = frequency.select(
         "term", F.log(F.lit(float(total + 1)) / (F.col("df") + 1)).alias("idf"))
@@ -104,7 +105,7 @@ class TextClassifier:
 
     def classify(self, docs: DataFrame, text: str) -> DataFrame:
         """``docs`` with the column ``class``: a struct of ``label`` and ``score``."""
-        scored = self._model.transform(docs.withColumn("_tokens", tokens(F.col(text))))
+        scored = self._model.transform(spread(docs).withColumn("_tokens", tokens(F.col(text))))
         names = F.array(*[F.lit(n) for n in self.labels])
         score = F.get(vector_to_array("probability"), F.col("prediction").cast("int"))
         return scored.select(*docs.columns, F.struct(

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.operators.ordered import Key, running
-from martlet.sizing import SEGMENT_ROWS
 
 MONEY = "decimal(10,2)"
 AMOUNT = "decimal(12,2)"
@@ -89,7 +88,7 @@ def nest(
     carry: dict[str, Column],
     items: str = "items",
     max_items: int = 1000,
-    rows_per_segment: int = SEGMENT_ROWS,
+    rows_per_segment: int | None = None,
 ) -> DataFrame:
     """Relational rows back to one document per key: the inverse of flatten.
 

@@ -77,7 +77,7 @@ def _clustered(ws):
 
 
 # Rows per file of the clustered copy. Small here so that test tables give several files; a real
-# table would use martlet.sizing.FILE_ROWS.
+# table would leave it to the session's limit.
 CLUSTERED_ROWS_PER_FILE = 20_000
 
 

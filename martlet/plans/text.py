@@ -9,6 +9,7 @@ from martlet.operators import ml, search, text
 from martlet.operators.variant import flatten, path
 from martlet.plans.oracle import double, on_fact, with_ctes
 from martlet.plans.registry import query
+from martlet.sizing import spread
 
 # What the searches below ask for, and the fields extracted from texts.
 QUESTION = "the onesen heention that"
@@ -136,7 +137,7 @@ def flatten_results(ws):
     f"array_to_string(regexp_extract_all(text, '{rule}'), '|') AS {name}"
     for name, rule in FIELD_RULES.items()) + " FROM documents")
 def extract_fields(ws):
-    found = ws.source("documents").select(
+    found = spread(ws.source("documents")).select(
         "doc_id", text.extract_fields(F.col("text"), FIELD_RULES).alias("fields"))
     return found.select("doc_id", *[
         F.array_join(f"fields.{name}", "|").alias(name) for name in FIELD_RULES])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlet.operators import history
 from martlet.plans.mart import FACT_KEY
-from martlet.streaming import pipeline
+from martlet.streaming import incremental
 
 
 FACT_LOG_SCHEMA = (
@@ -51,9 +51,9 @@ def run(
     A step that fails raises, so later steps do not run and the next pass starts where this one
     stopped. An empty fact is an error.
     """
-    pipeline.start_load(
+    incremental.start_load(
         spark, paths.landing, paths.raw, paths.checkpoint("load"), on_error).awaitTermination()
-    pipeline.start_merge(
+    incremental.start_merge(
         spark, paths.raw, paths.fact_log(target_schema),
         paths.checkpoint(f"merge_{target_schema}")).awaitTermination()
     rows = fact(spark, paths, target_schema).count()

@@ -10,7 +10,7 @@ from conftest import rows
 from martlet.operators import history
 from martlet.plans import mart
 from martlet.sources import ingest
-from martlet.streaming import job, pipeline
+from martlet.streaming import incremental, job
 
 FACT = list(mart.FACT_COLUMNS)
 
@@ -26,7 +26,7 @@ def paths(tmp_path):
 
 
 def load(spark, paths, **options):
-    pipeline.start_load(spark, paths.landing, paths.raw, paths.checkpoint("load"), **options
+    incremental.start_load(spark, paths.landing, paths.raw, paths.checkpoint("load"), **options
                         ).awaitTermination()
     return spark.read.parquet(paths.raw).count()
 
@@ -76,19 +76,19 @@ def test_failed_merge_is_delivered_again(spark, paths, tmp_path):
     log_path, tries = paths.fact_log("mart"), []
 
     def write_then_die(batch, path, batch_id, commit_ts):
-        pipeline.merge_purchase_events(batch, path, batch_id, commit_ts)
+        incremental.merge_purchase_events(batch, path, batch_id, commit_ts)
         tries.append(batch_id)
         raise RuntimeError("lost between write and commit")
 
     with pytest.raises(Exception, match="lost between write and commit"):
-        pipeline.start_merge(spark, paths.raw, log_path, paths.checkpoint("merge"),
+        incremental.start_merge(spark, paths.raw, log_path, paths.checkpoint("merge"),
                              merge=write_then_die).awaitTermination()
     assert spark.read.parquet(log_path).count() == 12
-    pipeline.start_merge(spark, paths.raw, log_path, paths.checkpoint("merge")).awaitTermination()
+    incremental.start_merge(spark, paths.raw, log_path, paths.checkpoint("merge")).awaitTermination()
     log = spark.read.parquet(log_path)
     assert tries == [0] and log.count() == 12 and log.select("_batch_id").distinct().count() == 1
     # The position has advanced: nothing is left to deliver.
-    pipeline.start_merge(spark, paths.raw, log_path, paths.checkpoint("merge")).awaitTermination()
+    incremental.start_merge(spark, paths.raw, log_path, paths.checkpoint("merge")).awaitTermination()
     assert spark.read.parquet(log_path).count() == 12
 
 
@@ -97,8 +97,8 @@ def test_forced_reload_leaves_the_fact_unchanged(spark, paths, tmp_path):
     job.run(spark, paths)
     before = job.fact(spark, paths)
     expected = rows(before)
-    pipeline.reload_files(spark, paths.landing, paths.raw)
-    pipeline.reload_files(spark, paths.landing, paths.raw)
+    incremental.reload_files(spark, paths.landing, paths.raw)
+    incremental.reload_files(spark, paths.landing, paths.raw)
     assert spark.read.parquet(paths.raw).count() == 24
     assert job.run(spark, paths) == 12
     # Even the insertion time stays: the reloaded rows update existing keys.
@@ -118,7 +118,7 @@ def test_dynamic_table_equals_batch(spark, paths, tmp_path):
     for name, part in (("a.json", documents[:6]), ("b.json", documents[6:])):
         land(tmp_path / "landing", name, part)
         load(spark, paths)
-        pipeline.start_dynamic_table(
+        incremental.start_dynamic_table(
             spark, paths.raw, table, checkpoint, interval=None).awaitTermination()
     raw = spark.read.parquet(paths.raw).drop("_load_id")
     assert rows(spark.read.parquet(table)) == rows(mart.dyn_stg_events(raw))
@@ -127,7 +127,7 @@ def test_dynamic_table_equals_batch(spark, paths, tmp_path):
 def test_dynamic_table_keeps_running(spark, paths, tmp_path):
     land(tmp_path / "landing", "a.json", golden.documents())
     load(spark, paths)
-    running = pipeline.start_dynamic_table(
+    running = incremental.start_dynamic_table(
         spark, paths.raw, f"{paths.root}/dyn", paths.checkpoint("dyn"), interval="1 minute")
     try:
         running.processAllAvailable()
