@@ -51,7 +51,8 @@ def desc(*names: str) -> list[Key]:
     return [Key(n, True) for n in names]
 
 
-def _position(keys: Sequence[str], order: Sequence[Key]) -> Column:
+def place(order: Sequence[Key], keys: Sequence[str] = ()) -> Column:
+    """A struct that compares like the rows do in ``order`` (after ``keys``)."""
     fields = [F.col(k) for k in keys] + [c for item in order for c in item.rising]
     return F.struct(*[f.alias(f"c{i}") for i, f in enumerate(fields)])
 
@@ -84,7 +85,7 @@ def cut(
     segments = segment_count(rows, rows_per_segment)
     if segments == 1:
         return None
-    position = _position(keys, order)
+    position = place(order, keys)
     bounds = _bounds(df, position, rows, segments)
     # Binary search, one projection per halving: the segment is the number of bounds <= position.
     # ``get`` is null past the end, which counts as "not passed".
@@ -254,17 +255,17 @@ def framed(
     if max(before, after) > rows_per_segment:
         raise ValueError("the frame is longer than a segment")
     numbered = running(df, keys, order, number="_number", rows_per_segment=rows_per_segment)
-    place = F.pmod(F.col("_number") - 1, F.lit(rows_per_segment))
+    offset = F.pmod(F.col("_number") - 1, F.lit(rows_per_segment))
     block = F.floor((F.col("_number") - 1) / rows_per_segment).cast("int")
     copies = F.array_compact(
         F.array(
             F.struct(block.alias("block"), F.lit(False).alias("copy")),
             F.when(
-                place >= rows_per_segment - before,
+                offset >= rows_per_segment - before,
                 F.struct((block + 1).alias("block"), F.lit(True).alias("copy")),
             ),
             F.when(
-                (place < after) & (block > 0),
+                (offset < after) & (block > 0),
                 F.struct((block - 1).alias("block"), F.lit(True).alias("copy")),
             ),
         )

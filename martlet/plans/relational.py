@@ -16,8 +16,13 @@ TIERS = [(10000, "high"), (3000, "mid")]
 TIERS_JA = [(10000, "高額"), (3000, "中額")]
 RANKS_JA = [(10000, "高額"), (5000, "中額")]
 
-AMOUNT = F.col("line_amount")
-TIME = F.col("event_time")
+
+def amount():
+    return F.col("line_amount")
+
+
+def moment():
+    return F.col("event_time")
 
 
 # ---- projections ---------------------------------------------------------------------------
@@ -41,7 +46,7 @@ def proj_tax(ws):
         "event_id", "sku", "qty", "price",
         (F.col("qty") * F.col("price")).alias("computed_amount"),
         "line_amount",
-        (AMOUNT * F.lit("1.1").cast("decimal(2,1)")).alias("amount_with_tax"),
+        (amount() * F.lit("1.1").cast("decimal(2,1)")).alias("amount_with_tax"),
     )
 
 
@@ -65,8 +70,8 @@ def _amounts(ws, condition):
 def filter_compare(ws):
     qty, price = F.col("qty"), F.col("price")
     return _amounts(ws, (
-        (AMOUNT >= 10000) & (qty != 13) & (price < 990) & (qty > 5) & (price <= 985)
-        & (F.col("user_id") == "7")) | (AMOUNT >= 45000))
+        (amount() >= 10000) & (qty != 13) & (price < 990) & (qty > 5) & (price <= 985)
+        & (F.col("user_id") == "7")) | (amount() >= 45000))
 
 
 @query("filter_bool", on_fact(
@@ -74,8 +79,8 @@ def filter_compare(ws):
     "OR (category = 'PROMO' AND NOT line_amount < 20000)"))
 def filter_bool(ws):
     category = F.col("category")
-    return _amounts(ws, ((category == "ECONOMY") & (AMOUNT >= 5000))
-                    | ((category == "PROMO") & ~(AMOUNT < 20000)))
+    return _amounts(ws, ((category == "ECONOMY") & (amount() >= 5000))
+                    | ((category == "PROMO") & ~(amount() < 20000)))
 
 
 @query("filter_in", on_fact(
@@ -104,7 +109,14 @@ def filter_ilike(ws):
 
 @query("filter_between", on_fact(EVENT_AMOUNT + "line_amount BETWEEN 1000 AND 5000"))
 def filter_between(ws):
-    return _amounts(ws, AMOUNT.between(1000, 5000))
+    return _amounts(ws, amount().between(1000, 5000))
+
+
+@query("filter_count", on_fact("""
+SELECT count(*) AS high_value_count FROM fact WHERE category = 'PROMO' AND line_amount >= 3000"""))
+def filter_count(ws):
+    return ws.fact.where((F.col("category") == "PROMO") & (amount() >= 3000)).agg(
+        F.count(F.lit(1)).alias("high_value_count"))
 
 
 @query("filter_null", on_fact(
@@ -131,7 +143,7 @@ def filter_recent_day(ws, as_of="2001-07-31", days=7):
     # Written as a half-open range on the stored column, so the file statistics can prune.
     day = F.date_sub(F.lit(as_of).cast("date"), days)
     start, end = day.cast("timestamp_ntz"), F.date_add(day, 1).cast("timestamp_ntz")
-    return ws.fact.where((TIME >= start) & (TIME < end)).agg(
+    return ws.fact.where((moment() >= start) & (moment() < end)).agg(
         F.count(F.lit(1)).alias("line_count"), F.sum("line_amount").alias("sales"))
 
 
@@ -139,10 +151,10 @@ def filter_recent_day(ws, as_of="2001-07-31", days=7):
     f"SELECT event_id, sku, {text('event_time')} FROM fact "
     "WHERE event_time >= TIMESTAMP '1998-03-01' AND event_time < TIMESTAMP '1998-04-01'"))
 def filter_time_range(ws):
-    def at(moment):
-        return F.lit(moment).cast("timestamp_ntz")
+    def at(text):
+        return F.lit(text).cast("timestamp_ntz")
 
-    return ws.fact.where((TIME >= at("1998-03-01")) & (TIME < at("1998-04-01"))).select(
+    return ws.fact.where((moment() >= at("1998-03-01")) & (moment() < at("1998-04-01"))).select(
         "event_id", "sku", "event_time")
 
 
@@ -232,7 +244,7 @@ IN_1995 = "event_time < TIMESTAMP '1996-01-01'"
 
 
 def _fact_1995(ws):
-    return ws.fact.where(TIME < F.lit("1996-01-01").cast("timestamp_ntz"))
+    return ws.fact.where(moment() < F.lit("1996-01-01").cast("timestamp_ntz"))
 
 
 @query("join_right", on_star(f"""
@@ -294,7 +306,7 @@ SELECT a.user_id, CAST(CAST(a.sale_month AS TIMESTAMP) AS VARCHAR) AS sale_month
 FROM monthly a JOIN monthly b
   ON b.user_id = a.user_id AND b.sale_month = a.sale_month - INTERVAL 1 MONTH""".lstrip()))
 def join_self(ws):
-    monthly = ws.fact.groupBy("user_id", month_start(TIME).alias("sale_month")).agg(
+    monthly = ws.fact.groupBy("user_id", month_start(moment()).alias("sale_month")).agg(
         F.sum("line_amount").alias("month_total"))
     now, before = monthly.alias("now"), monthly.alias("before")
     following = F.add_months(F.to_date("before.sale_month"), 1).cast("timestamp_ntz")
@@ -322,6 +334,17 @@ def join_coverage(ws):
         both.select(F.lit("LEFT JOIN").alias("join_type"), F.col("left").alias("row_count")))
 
 
+@query("join_three", on_star(f"""
+SELECT f.event_id, f.sku, u.user_name, u.prefecture, p.category, p.product_name, f.qty,
+       {double('line_amount')}
+FROM fact f JOIN users u ON u.user_id = f.user_id JOIN products p ON p.sku = f.sku"""))
+def join_three(ws):
+    fact = ws.fact.select("event_id", "sku", "user_id", "qty", "line_amount")
+    named = lookup_join(lookup_join(fact, ws.users, "user_id"), ws.products, "sku")
+    return named.select("event_id", "sku", "user_name", "prefecture", "category", "product_name",
+                        "qty", "line_amount")
+
+
 @query("prefecture_sales", on_star("""
 SELECT u.prefecture, CAST(sum(f.line_amount) AS DOUBLE) AS total_amount
 FROM fact f JOIN users u ON u.user_id = f.user_id GROUP BY u.prefecture"""))
@@ -395,7 +418,7 @@ def agg_having(ws):
 SELECT category, count(*) AS transaction_count, CAST(sum(line_amount) AS DOUBLE) AS total_sales
 FROM fact WHERE line_amount >= 1000 GROUP BY category HAVING count(*) >= 3"""))
 def agg_where_having(ws):
-    return ws.fact.where(AMOUNT >= 1000).groupBy("category").agg(
+    return ws.fact.where(amount() >= 1000).groupBy("category").agg(
         F.count(F.lit(1)).alias("transaction_count"), F.sum("line_amount").alias("total_sales"),
     ).where(F.col("transaction_count") >= 3).orderBy(F.desc("total_sales"))
 
@@ -410,7 +433,7 @@ def agg_user_having(ws):
 @query("agg_global_having", on_fact("""
 SELECT count(*) AS row_count FROM fact WHERE line_amount < 0 HAVING count(*) = 0"""))
 def agg_global_having(ws):
-    return ws.fact.where(AMOUNT < 0).agg(F.count(F.lit(1)).alias("row_count")).where(
+    return ws.fact.where(amount() < 0).agg(F.count(F.lit(1)).alias("row_count")).where(
         F.col("row_count") == 0)
 
 
@@ -431,7 +454,7 @@ FROM fact GROUP BY 1"""))
 def agg_case_bucket(ws):
     position = F.when(F.col("price_rank") == "高額", 1).when(
         F.col("price_rank") == "中額", 2).otherwise(3)
-    return ws.fact.groupBy(tier(AMOUNT, RANKS_JA, "少額").alias("price_rank")).agg(
+    return ws.fact.groupBy(tier(amount(), RANKS_JA, "少額").alias("price_rank")).agg(
         F.count(F.lit(1)).alias("purchase_count"), F.sum("line_amount").alias("total_amount"),
     ).orderBy(position)
 
@@ -444,7 +467,7 @@ SELECT category, count(*) AS total_count,
 FROM fact GROUP BY category"""))
 def agg_conditional(ws):
     return ws.fact.groupBy("category").agg(
-        F.count(F.lit(1)).alias("total_count"), F.count_if(AMOUNT >= 10000).alias("high_value_count"),
+        F.count(F.lit(1)).alias("total_count"), F.count_if(amount() >= 10000).alias("high_value_count"),
     ).withColumn("high_value_pct", share(F.col("high_value_count"), F.col("total_count"), 1))
 
 
@@ -474,10 +497,15 @@ SELECT CAST(CAST(date_trunc('month', event_time) AS TIMESTAMP) AS VARCHAR) AS mo
        count(*) AS event_count
 FROM fact GROUP BY 1"""))
 def agg_month(ws):
-    return ws.fact.groupBy(month_start(TIME).alias("month")).agg(
+    return ws.fact.groupBy(month_start(moment()).alias("month")).agg(
         F.count(F.lit(1)).alias("event_count")).orderBy("month")
 
 
+@query("distinct_categories", on_fact("SELECT DISTINCT category FROM fact"))
+def distinct_categories(ws):
+    return ws.fact.select("category").distinct().orderBy("category")
+
+
 @query("distinct_pairs", on_fact("SELECT DISTINCT user_id, category FROM fact"))
 def distinct_pairs(ws):
     return ws.fact.select("user_id", "category").distinct()
@@ -503,6 +531,14 @@ def topk_recent(ws):
         F.desc("event_time"), "event_id", "sku").limit(10)
 
 
+@query("topk_amount", on_fact(f"""
+SELECT event_id, sku, user_id, product_name, {double('line_amount')} FROM fact
+ORDER BY fact.line_amount DESC, event_id, sku LIMIT 5"""))
+def topk_amount(ws):
+    return ws.fact.select("event_id", "sku", "user_id", "product_name", "line_amount").orderBy(
+        F.desc_nulls_last("line_amount"), "event_id", "sku").limit(5)
+
+
 @query("topk_category", on_fact("""
 SELECT category, CAST(total AS DOUBLE) AS total_sales
 FROM (SELECT category, sum(line_amount) AS total FROM fact GROUP BY category) AS cat_sales
@@ -523,7 +559,7 @@ def scalar_avg_diff(ws):
     average = ws.fact.agg(mean("line_amount")).scalar()
     return ws.fact.select(
         "event_id", "sku", "category", "line_amount", average.alias("global_avg"),
-        F.round(AMOUNT.cast("double") - average, 4).alias("diff_from_avg"))
+        F.round(amount().cast("double") - average, 4).alias("diff_from_avg"))
 
 
 @query("above_average", on_fact(f"""
@@ -535,7 +571,7 @@ def above_average(ws):
     totals = ws.fact.agg(
         (F.sum("line_amount").cast("double") / F.count("line_amount")).alias("a"))
     average = totals.scalar()
-    return ws.fact.where(AMOUNT.cast("double") > average).select(
+    return ws.fact.where(amount().cast("double") > average).select(
         "event_id", "sku", "product_name", "line_amount", F.round(average, 2).alias("overall_avg"))
 
 
@@ -558,7 +594,7 @@ SELECT price_tier, category, count(*) AS transaction_count,
        CAST(sum(line_amount) AS DOUBLE) AS total_sales
 FROM with_tier GROUP BY price_tier, category""".lstrip()))
 def cte_tiers(ws):
-    with_tier = ws.fact.select("category", "line_amount", tier(AMOUNT, TIERS, "low").alias("price_tier"))
+    with_tier = ws.fact.select("category", "line_amount", tier(amount(), TIERS, "low").alias("price_tier"))
     return with_tier.groupBy("price_tier", "category").agg(
         F.count(F.lit(1)).alias("transaction_count"), F.sum("line_amount").alias("total_sales"),
     ).orderBy("price_tier", F.desc("total_sales"))
@@ -598,7 +634,7 @@ SELECT event_id, sku, category, {double('line_amount')},
 FROM fact"""))
 def fn_case(ws):
     return ws.fact.select("event_id", "sku", "category", "line_amount",
-                          tier(AMOUNT, TIERS_JA, "少額").alias("price_tier"))
+                          tier(amount(), TIERS_JA, "少額").alias("price_tier"))
 
 
 @query("fn_iff", on_fact(f"""
@@ -608,8 +644,8 @@ SELECT event_id, sku, {double('line_amount')},
 FROM fact"""))
 def fn_iff(ws):
     return ws.fact.select(
-        "event_id", "sku", "line_amount", iff(AMOUNT >= 5000, "高額", "通常").alias("tier_iff"),
-        F.when(AMOUNT >= 5000, "高額").otherwise("通常").alias("tier_case"))
+        "event_id", "sku", "line_amount", iff(amount() >= 5000, "高額", "通常").alias("tier_iff"),
+        F.when(amount() >= 5000, "高額").otherwise("通常").alias("tier_case"))
 
 
 @query("fn_coalesce", on_star(f"""
@@ -643,7 +679,7 @@ def fn_nullif(ws):
     over = F.col("qty") - 10
     return ws.fact.select(
         "event_id", "sku", "qty", F.nullif(over, F.lit(0)).alias("safe_qty"),
-        F.round(safe_divide(AMOUNT.cast("double"), over), 4).alias("unit_price"))
+        F.round(safe_divide(amount().cast("double"), over), 4).alias("unit_price"))
 
 
 @query("fn_dates", on_fact("""
@@ -687,7 +723,7 @@ def fn_cast(ws):
     return ws.fact.select(
         "event_id", "sku", F.col("event_id").cast("bigint").alias("event_number"),
         F.col("qty").cast("string").alias("qty_text"),
-        AMOUNT.cast("decimal(38,0)").cast("bigint").alias("whole_amount"),
+        amount().cast("decimal(38,0)").cast("bigint").alias("whole_amount"),
         F.to_date("event_time").alias("day"),
         F.col("product_name").try_cast("bigint").alias("not_a_number"))
 

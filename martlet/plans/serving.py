@@ -15,7 +15,11 @@ from martlet.plans.relational import v_sales_detail
 # Roles of the mart.
 ADMINS = frozenset({"engineer", "admin"})
 USER_MASK = {"user_id": governance.Mask(ADMINS)}
-SKU_POLICY = governance.RowPolicy(ADMINS, {"analyst": F.col("sku").like("1%")})
+
+
+def sku_policy():
+    return governance.RowPolicy(ADMINS, {"analyst": F.col("sku").like("1%")})
+
 
 FACT = (f"event_id, {text('event_time')}, sku, product_name, category, qty, "
         f"{double('price', 'line_amount')}, src_filename")
@@ -33,7 +37,7 @@ UNION ALL
 SELECT 'analyst', sku, count(*) FROM fact WHERE sku LIKE '1%' GROUP BY sku"""))
 def row_policy(ws):
     views = [
-        governance.apply_row_policy(ws.fact, role, SKU_POLICY).groupBy("sku").agg(
+        governance.apply_row_policy(ws.fact, role, sku_policy()).groupBy("sku").agg(
             F.count(F.lit(1)).alias("row_count")).select(F.lit(role).alias("role"), "*")
         for role in ("admin", "analyst", "visitor")
     ]
@@ -43,7 +47,7 @@ def row_policy(ws):
 @query("governed_read", on_fact(f"""
 SELECT {FACT}, regexp_replace(user_id, '.', '*', 'g') AS user_id FROM fact WHERE sku LIKE '1%'"""))
 def governed_read(ws):
-    return governance.governed(ws.fact, "analyst", SKU_POLICY, USER_MASK)
+    return governance.governed(ws.fact, "analyst", sku_policy(), USER_MASK)
 
 
 @query("rows_for_principal", on_fact(f"""

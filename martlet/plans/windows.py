@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from martlet.functions.scalar import month_start, share
-from martlet.operators.ordered import Key, asc, desc, framed, ranked, running
+from martlet.operators.ordered import Key, asc, desc, framed, place, ranked, running
 from martlet.plans.oracle import double, on_fact, on_star, text
 from martlet.plans.registry import query
-from martlet.sizing import lookup_join, stored, with_totals
+from martlet.sizing import lookup_join, with_totals
 
 BY_AMOUNT = [*desc("line_amount"), *asc("event_id", "sku")]
 BY_TIME = asc("event_time", "event_id", "sku")
@@ -146,8 +146,7 @@ WHERE rn = 1"""))
 def win_top1(ws):
     # The best row of a key is an aggregate: one candidate per key leaves each task.
     best = F.min_by(
-        F.struct("event_id", "sku", "product_name", "line_amount"),
-        F.struct(-F.col("line_amount"), "event_id", "sku")).alias("best")
+        F.struct("event_id", "sku", "product_name", "line_amount"), place(BY_AMOUNT)).alias("best")
     return ws.fact.groupBy("category").agg(best).select(
         "best.event_id", "best.sku", "category", "best.product_name", "best.line_amount")
 
@@ -161,7 +160,7 @@ def win_rank1(ws):
     fact = ws.fact.select("category", "event_id", "sku", "product_name", "line_amount")
     return (
         with_totals(fact, ["category"], {"_top": F.max("line_amount")})
-        .where(F.col("line_amount") == F.col("_top"))
+        .where(F.col("line_amount").eqNullSafe(F.col("_top")))
         .drop("_top").withColumn("rank", F.lit(1))
     )
 
@@ -190,8 +189,8 @@ WINDOW w AS (PARTITION BY category {SQL_BY_AMOUNT}
 def win_cum_share(ws):
     fact = running(ws.fact.select(*LINE), ["category"], BY_AMOUNT,
                    {"cumulative_in_cat": F.col("line_amount")})
-    totals = stored(ws.fact.groupBy("category").agg(F.sum("line_amount").alias("_total")))
-    return lookup_join(fact, totals, "category").withColumn(
+    fact = with_totals(fact, ["category"], {"_total": F.sum("line_amount")}, of=ws.fact)
+    return fact.withColumn(
         "cumulative_share_pct", share(F.col("cumulative_in_cat"), F.col("_total"), 1)
     ).drop("_total")
 
@@ -224,7 +223,7 @@ SELECT s.user_id, u.user_name, u.prefecture, s.category, s.purchase_count,
          AS pct_of_user_total
 FROM summary s JOIN users u ON u.user_id = s.user_id"""))
 def win_user_pct(ws):
-    # The temporary table of the session: a stored frame behind a view name.
+    # What a session would keep as a temporary table is simply a frame here.
     summary = ws.fact.groupBy("user_id", "category").agg(
         F.count(F.lit(1)).alias("purchase_count"), F.sum("line_amount").alias("total_amount"))
     named = lookup_join(summary, ws.users, "user_id")

@@ -6,13 +6,15 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from martlet.plans import mart
 from martlet.session import shared_folder
 from martlet.sources import fixtures
 
-# Tables this application has finished writing. The shared folder is new for every application.
-_BUILT: set[str] = set()
+# Tables this application has finished writing, with their schema where it is known. The shared
+# folder is new for every application.
+_BUILT: dict[str, StructType | None] = {}
 
 
 class Workspace:
@@ -36,18 +38,23 @@ class Workspace:
     def location(self, name: str) -> str:
         return f"{shared_folder(self.spark)}/tables/{self.digest}/{name}"
 
-    def once(self, name: str, write: Callable[[], None]) -> str:
+    def once(self, name: str, write: Callable[[], StructType | None]) -> str:
         """Location of ``name``, after ``write`` has run once in this application."""
         where = self.location(name)
         if where not in _BUILT:
-            write()
-            _BUILT.add(where)
+            _BUILT[where] = write()
         return where
 
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         where = self.location(name)
-        self.once(name, lambda: build().write.mode("overwrite").parquet(where))
-        return self.spark.read.parquet(where)
+
+        def write() -> StructType:
+            rows = build()
+            rows.write.mode("overwrite").parquet(where)
+            return rows.schema
+
+        self.once(name, write)
+        return self.spark.read.schema(_BUILT[where]).parquet(where)
 
     # RAW
     @property

@@ -21,7 +21,7 @@ LIMITS = {
     "broadcastRows": 500_000,
     "broadcastBytes": 256 * 1024 * 1024,
     # Rows one task should sort at most when an ordered computation is split into segments.
-    "segmentRows": 4_000_000,
+    "segmentRows": 8_000_000,
     # Rows per output file of a clustered write (about 128-256 MB of fact rows).
     "fileRows": 4_000_000,
 }
@@ -67,19 +67,30 @@ def lookup_join(
 
 
 def with_totals(
-    df: DataFrame, keys: Sequence[str], totals: dict, max_rows: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    totals: dict[str, Column],
+    max_rows: int | None = None,
+    of: DataFrame | None = None,
 ) -> DataFrame:
     """Put per-key totals on every row without moving a key's rows into one task.
 
     ``sum(x) over (partition by k)`` would shuffle all rows of a key together. Here the totals are
-    aggregated first (partial sums before the shuffle), stored, and joined back.
+    aggregated first (partial sums before the shuffle), stored, and joined back; NULL is a key like
+    any other. ``of`` is what to aggregate where that is simpler than ``df`` itself.
     """
+    of = df if of is None else of
     if not keys:
         for name, expression in totals.items():
-            df = df.withColumn(name, df.agg(expression.alias(name)).scalar())
+            df = df.withColumn(name, of.agg(expression.alias(name)).scalar())
         return df
-    per_key = stored(df.groupBy(*keys).agg(*[e.alias(n) for n, e in totals.items()]))
-    return lookup_join(df, per_key, list(keys), "inner", max_rows)
+    per_key = stored(of.groupBy(*keys).agg(*[e.alias(n) for n, e in totals.items()]))
+    for key in keys:
+        per_key = per_key.withColumnRenamed(key, f"_total_{key}")
+    same = F.lit(True)
+    for key in keys:
+        same = same & df[key].eqNullSafe(F.col(f"_total_{key}"))
+    return lookup_join(df, per_key, same, "inner", max_rows).drop(*[f"_total_{k}" for k in keys])
 
 
 def segment_count(rows: int, rows_per_segment: int) -> int:

@@ -57,6 +57,9 @@ def test_totals(fact):
         found = with_totals(fact, ["sku"], {"t": F.sum("amount")}, limit)
         assert rows(found.select("event_id", "sku", "t")) == [
             ("e1", "A1", 20), ("e1", "B1", 25), ("e2", "A1", 20), ("e3", "B1", 25), ("e4", "A2", 7)]
+        by_user = with_totals(fact, ["user_id"], {"t": F.sum("amount")}, limit)
+        assert rows(by_user.select("event_id", "t"))[-1] == ("e4", 7)  # NULL is a key too
+        assert by_user.columns == [*fact.columns, "t"]
     assert {r.t for r in with_totals(fact, [], {"t": F.sum("amount")}).collect()} == {52}
 
 
