@@ -23,10 +23,15 @@ DIGITS = 6
 
 
 def postings(docs: DataFrame, key: str, text: str, attributes: Sequence[str] = ()) -> DataFrame:
-    counted = docs.select(key, *attributes, tokens(F.col(text)).alias("_tokens"))
-    return counted.select(
-        key, *attributes, F.size("_tokens").alias("length"), F.explode("_tokens").alias("term")
-    ).groupBy(key, *attributes, "length", "term").agg(F.count(F.lit(1)).alias("tf"))
+    """``key``, attributes, ``length``, ``term``, ``tf``: one row per distinct term of a document."""
+    kept = [key, *attributes, "length"]
+    words = docs.select(key, *attributes, tokens(F.col(text)).alias("_tokens"))
+    sized = words.select(key, *attributes, F.size("_tokens").alias("length"), "_tokens")
+    # explode_outer: for a plain explode the optimizer infers a filter on the array's size, moves it
+    # to the scan and tokenises every text a second time.
+    terms = sized.select(*kept, F.explode_outer("_tokens").alias("term"))
+    return terms.where(F.col("term").isNotNull()).groupBy(*kept, "term").agg(
+        F.count(F.lit(1)).alias("tf"))
 
 
 def statistics(docs: DataFrame, text: str) -> DataFrame:
