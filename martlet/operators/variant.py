@@ -45,9 +45,14 @@ def flatten(df: DataFrame, where: str, raw: str = "raw") -> DataFrame:
     return df.lateralJoin(element)
 
 
-def flatten_with_meta(df: DataFrame, row_key: str, where: str, raw: str = "raw") -> DataFrame:
+def flatten_with_meta(
+    df: DataFrame, row_key: str, where: str, raw: str = "raw", keep: Sequence[str] = ()
+) -> DataFrame:
     """Flatten with the bookkeeping columns SEQ, KEY, PATH, INDEX, VALUE and THIS.
 
+    ``keep`` are further columns of the input. THIS repeats the whole array on every element, so what
+    is derived from it is better computed before flattening and kept.
+
     SEQ identifies the input row. It is a hash of the row's key, so it needs no numbering pass over
     the table and stays the same when a task is retried.
     """
@@ -55,6 +60,7 @@ def flatten_with_meta(df: DataFrame, row_key: str, where: str, raw: str = "raw")
     is_element = F.col("key").isNull()
     return flat.select(
         F.col(row_key),
+        *keep,
         F.xxhash64(row_key).alias("seq"),
         F.col("key"),
         F.when(is_element, F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]")))
@@ -85,7 +91,7 @@ def nest(
     keys: Sequence[str],
     item_fields: Sequence[str],
     order: Sequence[Key],
-    carry: dict[str, Column],
+    carry: dict[str, Column] | None = None,
     items: str = "items",
     max_items: int = 1000,
     rows_per_segment: int | None = None,
@@ -102,7 +108,7 @@ def nest(
         .groupBy(*keys, "_part")
         .agg(
             F.array_sort(F.collect_list(F.struct("line_no", *item_fields))).alias(items),
-            *[expression.alias(name) for name, expression in carry.items()],
+            *[expression.alias(name) for name, expression in (carry or {}).items()],
         )
     )
     return gathered.drop("_part")

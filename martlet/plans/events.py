@@ -45,9 +45,9 @@ def src_json_events(ws):
     return raw.select(*header_columns(), F.col("src_filename").isNotNull().alias("has_file"))
 
 
-@query("copy_quarantine", """
+@query("copy_quarantine", on_events("""
 SELECT count(*) AS rejected_lines, CAST(max(40) AS INTEGER) AS longest
-FROM orders WHERE o_orderstatus = 'P'""")
+FROM events_flat WHERE event_type = 'view'"""))
 def copy_quarantine(ws):
     bad = ingest.rejected(ingest.read_lines(ws.spark, _landing(ws)))
     return bad.agg(F.count(F.lit(1)).alias("rejected_lines"),
@@ -169,14 +169,17 @@ def flatten_items(ws):
 @query("flatten_meta", on_lines("""
 SELECT event_id, CAST(NULL AS VARCHAR) AS key, '[' || CAST(line_no - 1 AS VARCHAR) || ']' AS path,
        CAST(line_no - 1 AS INTEGER) AS index, sku AS value_sku,
-       CAST(count(*) OVER (PARTITION BY event_id) AS INTEGER) AS this_size
-FROM lines"""))
+       CAST(count(*) OVER (PARTITION BY event_id, part) AS INTEGER) AS this_size
+FROM (SELECT event_id, sku, (line_no - 1) // 1000 AS part, (line_no - 1) % 1000 + 1 AS line_no
+      FROM lines) AS lines"""))
 def flatten_meta(ws):
-    raw = ws.raw.withColumn("event_id", path("raw", "event_id"))
-    flat = flatten_with_meta(raw, "event_id", "items")
+    raw = ws.raw.withColumns({
+        "event_id": path("raw", "event_id"),
+        "this_size": F.size(path("raw", "items", "array<variant>")),
+    })
+    flat = flatten_with_meta(raw, "event_id", "items", keep=["this_size"])
     return flat.select(
-        "event_id", "key", "path", "index", path("value", "sku").alias("value_sku"),
-        F.size(F.col("this").cast("array<variant>")).alias("this_size"))
+        "event_id", "key", "path", "index", path("value", "sku").alias("value_sku"), "this_size")
 
 
 @query("flatten_object", """
@@ -236,7 +239,7 @@ SELECT event_id, count(*) AS item_count,
          || CAST(qty AS VARCHAR) || '}', ',' ORDER BY n) || ']' AS items
 FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY sku, line_no) AS n
       FROM lines) AS numbered
-GROUP BY event_id"""))
+GROUP BY event_id, (n - 1) // 1000"""))
 def nest_items(ws):
     items = ws.event_items.select("event_id", "sku", "qty", F.col("line_no").alias("position"))
     nested = nest(items, ["event_id"], ["sku", "qty"], asc("sku", "position"),
@@ -274,7 +277,7 @@ REDELIVERED = "event_time >= TIMESTAMP '2000-01-01'"
 
 
 @query("stg_events_dedup", on_events(f"""
-SELECT {HEADER},
+SELECT DISTINCT {HEADER},
        CASE WHEN {REDELIVERED.replace('event_time', 'events_flat.event_time')}
             THEN 'reload.json' ELSE src_filename END AS src_filename,
        CAST(CASE WHEN {REDELIVERED.replace('event_time', 'events_flat.event_time')}

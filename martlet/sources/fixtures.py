@@ -13,6 +13,9 @@ from martlet.sizing import lookup_join
 DEVICE_SYSTEMS = ("iOS", "Android", "PC")
 APP_VERSION = "2.0.0"
 
+# Items one event document holds at most; a larger order is delivered in several documents.
+MAX_ITEMS = 1000
+
 # Columns that put the lines of one order in a fixed sequence: later deliveries come last.
 LINE_ORDER = (
     "l_shipdate", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -64,19 +67,20 @@ def event_documents(orders: DataFrame, lineitem: DataFrame, part: DataFrame) ->
     """Raw event documents as JSON text with their load metadata.
 
     Columns: ``line`` (one JSON object), ``src_filename``, ``loaded_at``. An order without lines has
-    an empty item array. One order in fifty reports its device as a plain string.
+    an empty item array, an order with more than MAX_ITEMS lines has several documents. One order in
+    fifty reports its device as a plain string.
     """
     items = nest(
         purchased_items(lineitem, part), ["l_orderkey"],
-        ["sku", "product_name", "category", "qty", "price"],
-        asc(*LINE_ORDER), {"loaded_at": F.max("l_shipdate").cast("timestamp_ntz")},
-    )
-    header = event_header(orders)
+        ["sku", "product_name", "category", "qty", "price"], asc(*LINE_ORDER), {}, max_items=MAX_ITEMS,
+    ).withColumnRenamed("l_orderkey", "o_orderkey")
+    loads = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.max("l_shipdate").cast("timestamp_ntz").alias("loaded_at"))
+    header = event_header(orders).join(loads, "o_orderkey", "left")
     # An inner join can split an order that fills many documents; a left join could not, so the
     # orders without lines are added separately.
-    filled = lookup_join(items.withColumnRenamed("l_orderkey", "o_orderkey"), header, "o_orderkey")
-    lines = lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
-    empty = header.join(lines, "o_orderkey", "left_anti").withColumns({
+    filled = lookup_join(items, header, "o_orderkey")
+    empty = header.where(F.col("loaded_at").isNull()).withColumns({
         "items": F.from_json(F.lit("[]"), items.schema["items"].dataType),
         "loaded_at": F.col("order_time"),
     })
