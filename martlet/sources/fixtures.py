@@ -77,9 +77,10 @@ def event_documents(orders: DataFrame, lineitem: DataFrame, part: DataFrame) ->
     loads = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.max("l_shipdate").cast("timestamp_ntz").alias("loaded_at"))
     header = event_header(orders).join(loads, "o_orderkey", "left")
-    # An inner join can split an order that fills many documents; a left join could not, so the
-    # orders without lines are added separately.
-    filled = lookup_join(items, header, "o_orderkey")
+    # Both sides grow with the orders, so this is a shuffle join. As an inner join it can split an
+    # order that fills many documents; a left join could not, so the orders without lines are added
+    # separately.
+    filled = items.join(header, "o_orderkey")
     empty = header.where(F.col("loaded_at").isNull()).withColumns({
         "items": F.from_json(F.lit("[]"), items.schema["items"].dataType),
         "loaded_at": F.col("order_time"),
