@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from martlet.operators.ordered import asc, desc, running
 from martlet.operators.text import tokens
-from martlet.sizing import lookup_join, spread
+from martlet.sizing import spread
 
 # Fixed values of the published formulas.
 K1, B = 1.2, 0.75
@@ -138,8 +138,9 @@ def fuse(by_keyword: DataFrame, by_vector: DataFrame, key: str) -> DataFrame:
 
 
 def with_columns(found: DataFrame, docs: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Columns of the found documents; ``found`` has at most a search limit of rows."""
-    return lookup_join(docs.select(key, *[c for c in columns if c != key]), found, key)
+    """Columns of the found documents. ``found`` has at most a search limit of (key, score) rows, so
+    it may be broadcast without counting it, which would run the search twice."""
+    return docs.select(key, *[c for c in columns if c != key]).join(F.broadcast(found), key)
 
 
 def as_response(found: DataFrame, columns: Sequence[str], limit: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.sizing import lookup_join
+from martlet.sizing import lookup_join, stored
 
 ON_ERROR = ("continue", "abort", "skip_file")
 
@@ -59,7 +59,8 @@ def rejected(lines: DataFrame) -> DataFrame:
 def without_bad_files(lines: DataFrame, file_column: str = "src_path") -> DataFrame:
     """Lines of files in which every line parses. A line without a file stands for itself."""
     bad = rejected(lines.where(F.col(file_column).isNotNull())).select(file_column).distinct()
-    return lookup_join(lines, bad, file_column, "left_anti")
+    # Stored, because counting and joining the list would otherwise parse every line twice more.
+    return lookup_join(lines, stored(bad), file_column, "left_anti")
 
 
 def read_json_events(
