@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import suffix_dedup
+from martlet.llm import ngram_join, suffix_dedup
 
 ORACLE: dict[str, str] = {}
 
@@ -20,6 +20,13 @@ def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(_table(spark, folder, "documents")))
 
 
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of documents linked by 4-word shingles at a Jaccard similarity of 0.85."""
+    classes = ngram_join.similar_classes(_table(spark, folder, "documents"), words=4, num=85, den=100)
+    return classes.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
 }
