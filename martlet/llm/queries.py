@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martlet.llm import ngram_join, suffix_dedup
+from martlet.llm import ngram_join, packing, poisson_mix, ring_shards, suffix_dedup
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_poisson_mix": poisson_mix.ORACLE}
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,7 +27,27 @@ def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return classes.select("doc_id", "n_shingles", "component_id")
 
 
+def op5_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents at rates that give each source a share by the root of its bytes, shuffled."""
+    mixed = poisson_mix.mix(_table(spark, folder, "documents"), epochs=1.0, power=0.5, seed=0)
+    return mixed.select("doc_id", "source", "copy", "copies", F.md5("text").alias("text_md5"))
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of all documents in windows of 2048 tokens with the sources' own shares."""
+    return packing.digest(packing.pack(_table(spark, folder, "documents")))
+
+
+def op8_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents on a ring of 40 shards with equal room."""
+    placed = ring_shards.assign(_table(spark, folder, "documents"), shards=40)
+    return placed.select("*", F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op5_poisson_mix": op5_poisson_mix,
+    "op6_packing": op6_packing,
+    "op8_ring_shards": op8_ring_shards,
 }
