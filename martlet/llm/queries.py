@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm import ngram_join, packing, poisson_mix, ring_shards, suffix_dedup
+from martlet.llm import (
+    learned_partitions, ngram_join, norm_search, packing, poisson_mix, ring_shards, suffix_dedup,
+)
 
-ORACLE: dict[str, str] = {"op5_poisson_mix": poisson_mix.ORACLE}
+ORACLE: dict[str, str] = {"op5_poisson_mix": poisson_mix.ORACLE, "op9_norm_buckets": norm_search.ORACLE}
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +23,11 @@ def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(_table(spark, folder, "documents")))
 
 
+def op2_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """10 nearest of every hundredth vector, in 24 of 32 learned partitions."""
+    return learned_partitions.nearest(_table(spark, folder, "embeddings"), k=10, every=100)
+
+
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of documents linked by 4-word shingles at a Jaccard similarity of 0.85."""
     classes = ngram_join.similar_classes(_table(spark, folder, "documents"), words=4, num=85, den=100)
@@ -44,10 +51,17 @@ def op8_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("*", F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_norm_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """10 largest whole-number products of every hundredth vector, exactly."""
+    return norm_search.top_products(_table(spark, folder, "embeddings"), k=10, every=100, scale=1024.0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_learned_partitions": op2_learned_partitions,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op5_poisson_mix": op5_poisson_mix,
     "op6_packing": op6_packing,
     "op8_ring_shards": op8_ring_shards,
+    "op9_norm_buckets": op9_norm_buckets,
 }
