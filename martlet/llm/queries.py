@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.llm import (
-    learned_partitions, ngram_join, norm_search, packing, poisson_mix, ring_shards, suffix_dedup,
+    cross_entropy, language_mix, learned_partitions, ngram_join, norm_search, packing, poisson_mix, ring_shards,
+    suffix_dedup, surrogates,
 )
 
 ORACLE: dict[str, str] = {"op5_poisson_mix": poisson_mix.ORACLE, "op9_norm_buckets": norm_search.ORACLE}
 
+#: Key of the surrogates in the registered query; a user passes one of their own.
+KEY = b"registered query"
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -34,6 +38,14 @@ def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return classes.select("doc_id", "n_shingles", "component_id")
 
 
+def op4_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with keyed surrogates for personal data."""
+    changed = surrogates.pseudonymise(_table(spark, folder, "documents"), key=KEY)
+    return changed.select(
+        "doc_id", F.size("entities").cast("long").alias("n_entities"),
+        F.transform("entities", lambda e: e["kind"]).alias("kinds"), "text")
+
+
 def op5_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
     """All documents at rates that give each source a share by the root of its bytes, shuffled."""
     mixed = poisson_mix.mix(_table(spark, folder, "documents"), epochs=1.0, power=0.5, seed=0)
@@ -45,6 +57,12 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.digest(packing.pack(_table(spark, folder, "documents")))
 
 
+def op7_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
+    """Loss of all documents by a model of those labelled good, less that by a model of all."""
+    good = _table(spark, folder, "labels").where("quality = 1")
+    return cross_entropy.score(_table(spark, folder, "documents"), good)
+
+
 def op8_ring_shards(spark: SparkSession, folder: str) -> DataFrame:
     """All documents on a ring of 40 shards with equal room."""
     placed = ring_shards.assign(_table(spark, folder, "documents"), shards=40)
@@ -56,12 +74,21 @@ def op9_norm_buckets(spark: SparkSession, folder: str) -> DataFrame:
     return norm_search.top_products(_table(spark, folder, "embeddings"), k=10, every=100, scale=1024.0)
 
 
+def op10_language_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages of all documents, learned from those that are not held out."""
+    found = language_mix.identify(_table(spark, folder, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.to_json("shares").alias("shares"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_learned_partitions": op2_learned_partitions,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_surrogates": op4_surrogates,
     "op5_poisson_mix": op5_poisson_mix,
     "op6_packing": op6_packing,
+    "op7_cross_entropy": op7_cross_entropy,
     "op8_ring_shards": op8_ring_shards,
     "op9_norm_buckets": op9_norm_buckets,
+    "op10_language_mix": op10_language_mix,
 }
