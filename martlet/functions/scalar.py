@@ -29,9 +29,10 @@ def share(part: Column, whole: Column, digits: int) -> Column:
     return F.round(part.cast("double") / whole.cast("double") * 100, digits)
 
 
-def mean(amount: str, digits: int = 4) -> Column:
-    """Average as a double: total and count are exact, one division at the end."""
-    return F.round(F.sum(amount).cast("double") / F.count(amount), digits)
+def mean(amount: str, digits: int | None = 4) -> Column:
+    """Average as a double: total and count are exact, one division at the end; rounded if asked."""
+    average = F.sum(amount).cast("double") / F.count(amount)
+    return average if digits is None else F.round(average, digits)
 
 
 def month_start(moment: Column) -> Column:

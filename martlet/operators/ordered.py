@@ -136,7 +136,7 @@ def running(
     local = df if segmented is None else segmented
     added = {name: F.sum(e).over(to_here) for name, e in sums.items()}
     if number:
-        added[number] = F.row_number().over(spec)
+        added[number] = F.row_number().over(spec).cast("bigint")
     local = local.withColumns(added)
     if segmented is None:
         return local
@@ -159,7 +159,7 @@ def running(
         for name in sums
     }
     if number:
-        total[number] = (F.col(number) + F.coalesce("_add_rows", F.lit(0))).cast("int")
+        total[number] = F.col(number) + F.coalesce("_add_rows", F.lit(0))
     return out.withColumns(total).drop(*carried)
 
 
@@ -181,7 +181,7 @@ def ranked(
     if segmented is None:
         spec = _window(keys, by.sort)
         return df.withColumns(
-            {rank: F.rank().over(spec), dense: F.dense_rank().over(spec)}
+            {rank: F.rank().over(spec).cast("bigint"), dense: F.dense_rank().over(spec).cast("bigint")}
         )
     spec = _window([SEGMENT, *keys], by.sort)
     local = segmented.withColumns({rank: F.rank().over(spec), dense: F.dense_rank().over(spec)})
@@ -225,12 +225,12 @@ def ranked(
         {
             rank: F.when(continues, F.col("_tie_rank"))
             .otherwise(F.col(rank) + F.coalesce("_before", F.lit(0)))
-            .cast("int"),
+            .cast("bigint"),
             dense: (
                 F.col(dense)
                 + F.coalesce("_dense_before", F.lit(0))
                 - F.coalesce(F.col("_tied").cast("int"), F.lit(0))
-            ).cast("int"),
+            ).cast("bigint"),
         }
     ).drop("_before", "_dense_before", "_tied", "_first", "_tie_rank")
 
@@ -252,11 +252,11 @@ def framed(
     rows_per_segment = rows_per_segment or limit(df.sparkSession, "segmentRows")
     if segment_count(df.count(), rows_per_segment) == 1:
         return df.withColumns(columns(_window(keys, *[item.sort for item in order])))
-    if max(before, after) > rows_per_segment:
-        raise ValueError("the frame is longer than a segment")
+    # A block is at least as long as the frame, so that copies come from the next block only.
+    rows_per_segment = max(rows_per_segment, before, after)
     numbered = running(df, keys, order, number="_number", rows_per_segment=rows_per_segment)
     offset = F.pmod(F.col("_number") - 1, F.lit(rows_per_segment))
-    block = F.floor((F.col("_number") - 1) / rows_per_segment).cast("int")
+    block = F.floor((F.col("_number") - 1) / rows_per_segment).cast("bigint")
     copies = F.array_compact(
         F.array(
             F.struct(block.alias("block"), F.lit(False).alias("copy")),
@@ -284,9 +284,13 @@ def framed(
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str]) -> DataFrame:
     """The row of every key that is greatest in ``newest_by``, compared column by column.
 
+    Rows equal there are compared by all their other columns, so the winner never depends on the order
+    of arrival. Other columns must be orderable. NULL is a key value like any other.
+
     This is an aggregate, not a window: each task keeps one row per key before the shuffle, so the
     copies of one key cannot pile up in a single task.
     """
     payload = [c for c in df.columns if c not in keys]
-    latest = F.max_by(F.struct(*payload), F.struct(*newest_by)).alias("_row")
+    total = [*newest_by, *[c for c in payload if c not in newest_by]]
+    latest = F.max(F.struct(*[F.col(f"`{c}`") for c in total])).alias("_row")
     return df.groupBy(*keys).agg(latest).select(*keys, "_row.*").select(*df.columns)

@@ -38,8 +38,7 @@ fact AS (
 USERS = """
 users AS (
   SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_name AS user_name, n_name AS prefecture
-  FROM customer JOIN nation ON n_nationkey = c_nationkey
-  WHERE c_acctbal >= 0)"""
+  FROM customer JOIN nation ON n_nationkey = c_nationkey)"""
 
 PRODUCTS = """
 products AS (SELECT DISTINCT sku, product_name, category FROM fact)"""

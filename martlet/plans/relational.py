@@ -232,47 +232,46 @@ def star_month_category(ws):
     ).orderBy("year_num", "month_num", "category")
 
 
-@query("join_left", on_star(f"""
-SELECT f.event_id, f.sku, f.user_id, u.user_name, {double('line_amount')}
-FROM fact f LEFT JOIN users u ON u.user_id = f.user_id"""))
+@query("join_left", """
+SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
 def join_left(ws):
-    fact = ws.fact.select("event_id", "sku", "user_id", "line_amount")
-    return lookup_join(fact, ws.users.select("user_id", "user_name"), "user_id", "left")
-
-
-IN_1995 = "event_time < TIMESTAMP '1996-01-01'"
+    # Some documents have no label.
+    documents = ws.source("documents").select("doc_id", "lang", "source")
+    return lookup_join(documents, ws.source("labels"), "doc_id", "left")
 
 
-def _fact_1995(ws):
-    return ws.fact.where(moment() < F.lit("1996-01-01").cast("timestamp_ntz"))
+def _user_events(ws):
+    return ws.source("events").select(
+        "event_id", F.col("user_id").cast("string").alias("user_id"), "event_type")
 
 
-@query("join_right", on_star(f"""
-SELECT f.event_id, f.sku, u.user_id, u.user_name, {double('line_amount')}
-FROM (SELECT * FROM fact WHERE {IN_1995}) f RIGHT JOIN users u ON u.user_id = f.user_id"""))
+@query("join_right", on_star("""
+SELECT e.event_id, e.event_type, u.user_id, u.user_name
+FROM events e RIGHT JOIN users u ON u.user_id = CAST(e.user_id AS VARCHAR)"""))
 def join_right(ws):
-    fact = _fact_1995(ws).select("event_id", "sku", "user_id", "line_amount")
-    return joins.keep_lookup_rows(fact, ws.users.select("user_id", "user_name"), "user_id")
+    # Most users never appear in the event stream.
+    return joins.keep_lookup_rows(_user_events(ws), ws.users.select("user_id", "user_name"), "user_id")
 
 
-@query("join_full_unmatched", on_star(f"""
-SELECT f.event_id, f.sku, u.user_id AS dim_user_id, u.user_name, {double('line_amount')}
-FROM (SELECT * FROM fact WHERE {IN_1995}) f FULL JOIN users u ON u.user_id = f.user_id
-WHERE f.event_id IS NULL OR u.user_id IS NULL"""))
+@query("join_full_unmatched", """
+SELECT e.event_id, e.event_type, CAST(l.doc_id AS VARCHAR) AS labelled_id, l.quality
+FROM events e FULL JOIN labels l ON l.doc_id = e.user_id
+WHERE e.event_id IS NULL OR l.doc_id IS NULL""")
 def join_full_unmatched(ws):
-    fact = _fact_1995(ws).select("event_id", "sku", "user_id", "line_amount")
-    users = ws.users.select("user_id", "user_name")
-    both = joins.unmatched(fact, users, "user_id", "dim_user_id")
-    return both.select("event_id", "sku", "dim_user_id", "user_name", "line_amount")
+    # Users without a label of their number, and labels beyond the users: both sides keep rows.
+    labels = ws.source("labels").select(F.col("doc_id").cast("string").alias("user_id"), "quality")
+    both = joins.unmatched(_user_events(ws), labels, "user_id", "labelled_id")
+    return both.select("event_id", "event_type", "labelled_id", "quality")
 
 
-@query("join_anti", on_star(f"""
+@query("join_anti", on_star("""
 SELECT u.user_id, u.user_name FROM users u
-LEFT JOIN (SELECT * FROM fact WHERE {IN_1995}) f ON u.user_id = f.user_id
-WHERE f.user_id IS NULL"""))
+LEFT JOIN events e ON u.user_id = CAST(e.user_id AS VARCHAR)
+WHERE e.user_id IS NULL"""))
 def join_anti(ws):
-    buyers = _fact_1995(ws).select("user_id").distinct()
-    return ws.users.select("user_id", "user_name").join(buyers, "user_id", "left_anti")
+    seen = _user_events(ws).select("user_id").distinct()
+    return ws.users.select("user_id", "user_name").join(seen, "user_id", "left_anti")
 
 
 @query("join_semi", on_star(f"""
@@ -317,21 +316,22 @@ def join_self(ws):
              F.col("before.month_total").alias("earlier_total"))
 
 
-@query("join_coverage", on_star("""
+@query("join_coverage", """
 SELECT 'INNER JOIN' AS join_type, count(*) AS row_count
-FROM fact f JOIN users u ON u.user_id = f.user_id
+FROM documents d JOIN labels l ON l.doc_id = d.doc_id
 UNION ALL
-SELECT 'LEFT JOIN', count(*) FROM fact f LEFT JOIN users u ON u.user_id = f.user_id"""))
+SELECT 'LEFT JOIN', count(*) FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
 def join_coverage(ws):
-    # Count per user first: the joins then see one row per user instead of every line.
-    per_user = ws.fact.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    users = ws.users.select("user_id", F.lit(True).alias("known"))
-    both = per_user.join(users, "user_id", "left").agg(
-        F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0)).alias("inner"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("left"))
-    inner = both.select(F.lit("INNER JOIN").alias("join_type"), F.col("inner").alias("row_count"))
-    return inner.unionByName(
-        both.select(F.lit("LEFT JOIN").alias("join_type"), F.col("left").alias("row_count")))
+    # Counts per key on both sides, then one aggregate for both numbers: each table is read once.
+    documents = ws.source("documents").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    labels = ws.source("labels").groupBy("doc_id").agg(F.count(F.lit(1)).alias("partners"))
+    pairs = F.col("rows") * F.col("partners")
+    totals = documents.join(labels, "doc_id", "left").agg(
+        F.coalesce(F.sum(pairs), F.lit(0)).alias("inner"),
+        F.coalesce(F.sum(F.coalesce(pairs, F.col("rows"))), F.lit(0)).alias("left"))
+    return totals.select(F.inline(F.array(
+        F.struct(F.lit("INNER JOIN").alias("join_type"), F.col("inner").alias("row_count")),
+        F.struct(F.lit("LEFT JOIN").alias("join_type"), F.col("left").alias("row_count")))))
 
 
 @query("join_three", on_star(f"""

@@ -11,6 +11,7 @@ from martlet.plans.metrics import Dimension, MetricModel, Relationship
 from martlet.plans.oracle import double, on_detail, on_events, on_fact, on_star, text
 from martlet.plans.registry import query
 from martlet.plans.relational import v_sales_detail
+from martlet.sizing import limit
 
 # Roles of the mart.
 ADMINS = frozenset({"engineer", "admin"})
@@ -77,12 +78,7 @@ def share_fact(ws):
 def _clustered(ws):
     return ws.table("fact_clustered", lambda: layout.clustered(
         ws.fact, [F.to_date("event_time"), F.col("category")], ["event_id", "sku"],
-        CLUSTERED_ROWS_PER_FILE))
-
-
-# Rows per file of the clustered copy. Small here so that test tables give several files; a real
-# table would leave it to the session's limit.
-CLUSTERED_ROWS_PER_FILE = 20_000
+        limit(ws.spark, "fileRows")))
 
 
 @query("clustered_copy", on_fact(f"SELECT {FACT}, user_id FROM fact"))
@@ -132,7 +128,7 @@ def purchase_model(ws) -> MetricModel:
             "total_sales": F.sum("line_amount"),
             "total_qty": F.sum("qty"),
             "order_count": F.count_distinct("event_id"),
-            "avg_price": mean("price"),
+            "avg_price": mean("price", None),
             "max_line_amount": F.max("line_amount"),
             "bulk_sales": F.sum("bulk_amount"),
         },
@@ -151,7 +147,7 @@ def metric_sales_by_region(ws):
 SELECT u.prefecture AS prefecture_dim, p.category AS product_category_dim,
        CAST(sum(f.line_amount) AS DOUBLE) AS total_sales, CAST(sum(f.qty) AS BIGINT) AS total_qty,
        count(DISTINCT f.event_id) AS order_count,
-       round(CAST(sum(f.price) AS DOUBLE) / count(f.price), 4) AS avg_price
+       CAST(sum(f.price) AS DOUBLE) / count(f.price) AS avg_price
 FROM fact f JOIN users u ON u.user_id = f.user_id JOIN products p ON p.sku = f.sku
 GROUP BY u.prefecture, p.category"""))
 def metric_all(ws):

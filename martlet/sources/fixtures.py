@@ -104,11 +104,9 @@ def event_documents(orders: DataFrame, lineitem: DataFrame, part: DataFrame) ->
 
 
 def user_dimension(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Users with a name and a prefecture. Customers in debt are not registered, so some purchases
-    have no user and outer joins have something to keep."""
-    registered = customer.where(F.col("c_acctbal") >= 0)
+    """All users with a name and a prefecture."""
     return lookup_join(
-        registered, nation.select("n_nationkey", "n_name"),
+        customer, nation.select("n_nationkey", "n_name"),
         F.col("c_nationkey") == F.col("n_nationkey"),
     ).select(
         F.col("c_custkey").cast("string").alias("user_id"),

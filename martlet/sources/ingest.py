@@ -74,10 +74,5 @@ def stamp(rows: DataFrame) -> DataFrame:
     return rows.withColumn("loaded_at", F.localtimestamp())
 
 
-def reload_files(spark: SparkSession, path: str | list[str], raw_path: str) -> None:
-    """Load files again on purpose; RAW then holds copies and the merge resolves them."""
-    read_json_events(spark, path).write.mode("append").parquet(raw_path)
-
-
 def rows_per_file(raw: DataFrame) -> DataFrame:
     return raw.groupBy("src_filename").agg(F.count(F.lit(1)).alias("row_count"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +24,9 @@ RAW_SCHEMA = T.StructType([
     T.StructField("loaded_at", T.TimestampNTZType()),
 ])
 LOAD_BATCH = "_load_id"
+# A file is new if it has not been loaded, however old it is: the source's default would leave out files
+# more than a week older than the newest one seen.
+ANY_AGE = {"maxFileAge": "36500d"}
 
 
 def _trigger(interval: str | None) -> dict:
@@ -43,7 +47,7 @@ def start_load(
 
     A file is never split over micro-batches, so the verdict of ``skip_file`` is final.
     """
-    reader = spark.readStream
+    reader = spark.readStream.options(**ANY_AGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     lines = ingest.as_lines(reader.text(landing))
@@ -59,7 +63,10 @@ def start_load(
 def reload_files(spark: SparkSession, files: str | list[str], raw_path: str) -> None:
     """Load files once more, past the checkpoint. The copies get a partition of their own."""
     again = ingest.read_json_events(spark, files)
-    last = spark.read.parquet(raw_path).agg(F.min(LOAD_BATCH)).first()[0]
+    try:
+        last = spark.read.parquet(raw_path).agg(F.min(LOAD_BATCH)).first()[0]
+    except AnalysisException:  # nothing has been loaded so far
+        last = None
     # Forced loads count downward from -1, so they never meet the number of a streamed batch.
     _write_batch(again, raw_path, LOAD_BATCH, min(last or 0, 0) - 1)
 
@@ -69,7 +76,7 @@ def read_raw_stream(
 ) -> DataFrame:
     """Rows appended to RAW since the last successful read of the query that uses this."""
     stored = T.StructType([*RAW_SCHEMA.fields, T.StructField(LOAD_BATCH, T.LongType())])
-    reader = spark.readStream.schema(stored)
+    reader = spark.readStream.schema(stored).options(**ANY_AGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(raw_path).drop(LOAD_BATCH)

@@ -1,6 +1,7 @@
 """Incremental loading, exactly-once merging, forced reloads and the chained job."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -140,3 +141,31 @@ def test_dynamic_table_keeps_running(spark, paths, tmp_path):
 def test_has_data(spark):
     feed = spark.range(3)
     assert history.has_data(feed) and not history.has_data(feed.where("id > 5"))
+
+
+def test_files_older_than_the_newest_are_loaded(spark, paths, tmp_path):
+    documents = golden.documents()
+    land(tmp_path / "landing", "new.json", documents[:4])
+    assert load(spark, paths) == 4
+    land(tmp_path / "landing", "late.json", documents[4:])
+    weeks_ago = (tmp_path / "landing" / "new.json").stat().st_mtime - 40 * 86400
+    os.utime(tmp_path / "landing" / "late.json", (weeks_ago, weeks_ago))
+    assert load(spark, paths) == 8
+
+
+def test_backlog_of_months_one_file_at_a_time(spark, paths, tmp_path):
+    for n, document in enumerate(golden.documents()):
+        land(tmp_path / "landing", f"{n}.json", [document])
+        when = 1_700_000_000 + (n * 5 % 8) * 30 * 86400
+        os.utime(tmp_path / "landing" / f"{n}.json", (when, when))
+    assert load(spark, paths, files_per_batch=1) == 8
+
+
+def test_arrival_order_does_not_pick_the_winner(spark):
+    copies = [("e", "s", 1, "t", "f", 1), ("e", "s", 2, "t", "f", 1), ("e", None, 5, "t", "f", 1), ("e", None, 4, "t", "f", 1)]
+    names = ["event_id", "sku", "qty", "loaded_at", "src_filename", "line_no"]
+    for order in (copies, copies[::-1]):
+        for parts in (1, 4):
+            items = spark.createDataFrame(order, names).repartition(parts)
+            found = rows(mart.merge_source(items).select("sku", "qty"))
+            assert found == [("s", 2), (None, 5)] or found == [(None, 5), ("s", 2)]
