@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.operators.ordered import asc, running
-from martlet.sizing import limit, segment_count
+from martlet.sizing import limit, segment_count, stored
 
 
 def clustered(
@@ -68,4 +68,5 @@ def overlap_report(ranges: DataFrame) -> DataFrame:
 
 
 def clustering_report(df: DataFrame, by: Column) -> DataFrame:
-    return overlap_report(file_ranges(df, by))
+    # Stored: a row for each file, so the sweep does not read the table again for each of its steps.
+    return overlap_report(stored(file_ranges(df, by)))

@@ -113,7 +113,24 @@ def insert_select_lines(ws):
     return ws.spark.read.parquet(where)
 
 
-@query("gen_events")
+def _drawn(low: int, high: int, use: str) -> str:
+    digits = f"substr(md5(CAST(o_orderkey AS VARCHAR) || '|42|{use}'), 1, 13)"
+    return f"({low} + CAST('0x' || {digits} AS BIGINT) % {high - low + 1})"
+
+
+@query("gen_events", f"""
+WITH drawn AS (
+  SELECT o_orderkey, {_drawn(1, 100, 'sku')} AS s, {_drawn(0, 7776000, 'time')} AS t,
+         {_drawn(1, 30, 'user')} AS u, {_drawn(1, 3, 'qty')} AS qty, {_drawn(100, 9999, 'price')} AS price
+  FROM orders)
+SELECT 'gen_' || o_orderkey AS event_id, 'u' || lpad(CAST(u AS VARCHAR), 3, '0') AS user_id,
+       'purchase' AS event_type, ['iOS', 'Android', 'PC'][o_orderkey % 3 + 1] AS device_os,
+       '2.0.0' AS app_version, CAST(NULL AS VARCHAR) AS review_text,
+       CAST(TIMESTAMP '2025-12-01' + t * INTERVAL 1 SECOND AS VARCHAR) AS event_time,
+       'SKU' || lpad(CAST(s AS VARCHAR), 4, '0') AS sku, 'Product_' || lpad(CAST(s AS VARCHAR), 4, '0') AS product_name,
+       ['Sports', 'Food', 'Home', 'Electronics', 'Fashion'][(s - 1) % 5 + 1] AS category, qty,
+       CAST(price AS DOUBLE) AS price, CAST(qty * price AS DOUBLE) AS line_amount, 'generated' AS src_filename
+FROM drawn""")
 def gen_events(ws):
     raw = generator.generate_events(ws.source("orders").select("o_orderkey"), "o_orderkey")
     return flatten(raw, "items").select(

@@ -728,14 +728,18 @@ def fn_cast(ws):
         F.col("product_name").try_cast("bigint").alias("not_a_number"))
 
 
-@query("fn_typeof")
+@query("fn_typeof", on_fact("""
+SELECT 'string' AS event_id_type, 'bigint' AS qty_type, 'decimal(10,2)' AS price_type,
+       'decimal(12,2)' AS line_amount_type, 'timestamp_ntz' AS event_time_type, count(*) AS row_count
+FROM fact"""))
 def fn_typeof(ws):
     names = ("event_id", "qty", "price", "line_amount", "event_time")
     typed = ws.fact.select(*[F.typeof(n).alias(f"{n}_type") for n in names])
     return typed.groupBy(*typed.columns).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-@query("fn_load_stamp")
+@query("fn_load_stamp", on_fact("""
+SELECT src_filename, count(*) AS row_count, 1 AS stamps FROM fact GROUP BY src_filename"""))
 def fn_load_stamp(ws):
     stamped = ws.fact.select("src_filename", F.localtimestamp().alias("inserted_at"))
     return stamped.groupBy("src_filename").agg(

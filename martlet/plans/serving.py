@@ -94,6 +94,23 @@ def clustering_report(ws):
         F.lit("clustered").alias("layout"), "*"))
 
 
+@query("range_overlap", """
+WITH ranges AS (
+  SELECT o_custkey AS file, min(o_orderdate) AS low, max(o_orderdate) AS high FROM orders GROUP BY 1),
+counted AS (
+  SELECT a.file, a.low, a.high, count(*) - 1 AS overlaps,
+         count(*) FILTER (WHERE b.low <= a.low AND b.high >= a.low) AS depth
+  FROM ranges a JOIN ranges b ON b.low <= a.high AND b.high >= a.low GROUP BY a.file, a.low, a.high)
+SELECT count(*) AS total_partition_count, count(*) FILTER (WHERE low = high) AS total_constant_partition_count,
+       round(avg(overlaps), 4) AS average_overlaps, round(avg(depth), 4) AS average_depth
+FROM counted""")
+def range_overlap(ws):
+    # The sweep of the clustering report over ranges of a table: the days on which a user ordered.
+    ranges = ws.source("orders").groupBy(F.col("o_custkey").alias("file")).agg(
+        F.min("o_orderdate").alias("low"), F.max("o_orderdate").alias("high"))
+    return layout.overlap_report(ranges)
+
+
 @query("pruned_day_sales", on_fact("""
 SELECT CAST(sum(line_amount) AS DOUBLE) AS sales FROM fact
 WHERE CAST(event_time AS DATE) = DATE '1998-07-31' - 7"""))

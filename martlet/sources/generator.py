@@ -15,9 +15,10 @@ MIN_PRICE, MAX_PRICE = 100, 9999
 
 
 def uniform(low: int, high: int, sequence: Column, seed: int, use: str) -> Column:
-    """Whole number in [low, high], a hash of the sequence number: the same on every retry and for
-    every partitioning, unlike ``rand``."""
-    drawn = F.pmod(F.xxhash64(sequence, F.lit(seed), F.lit(use)), F.lit(high - low + 1))
+    """Whole number in [low, high] from 52 bits of an MD5 of the sequence number: the same on every
+    retry, for every partitioning and on other engines, unlike ``rand``."""
+    text = F.concat_ws("|", sequence.cast("string"), F.lit(str(seed)), F.lit(use))
+    drawn = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint") % (high - low + 1)
     return (drawn + low).cast("int")
 
 

@@ -2,7 +2,7 @@
 
 Each step is a streaming query that processes what is new and stops (``availableNow``), or keeps
 running when a processing interval is given. The checkpoint is the read position: it moves only
-after a micro-batch has been written, and a batch that is replayed overwrites what it wrote before.
+after a micro-batch has been written, and a batch that is replayed finds its own partition and leaves it.
 """
 
 from __future__ import annotations
@@ -33,8 +33,23 @@ def _trigger(interval: str | None) -> dict:
     return {"availableNow": True} if interval is None else {"processingTime": interval}
 
 
+def has_batch(spark: SparkSession, path: str, column: str, batch_id: int) -> bool:
+    """Whether a batch is already in a table.
+
+    A partition is moved to its place whole when its job commits, so one that is there is complete.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={batch_id}")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def _write_batch(rows: DataFrame, path: str, column: str, batch_id: int) -> None:
-    """Write one batch as its own partition, replacing it if it is there from an earlier try."""
+    """Write one batch as its own partition.
+
+    A batch that is there from an earlier try is left as it is: readers that have taken its files would
+    take rewritten ones again, and its load time would move.
+    """
+    if has_batch(rows.sparkSession, path, column, batch_id):
+        return
     rows.withColumn(column, F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
@@ -93,8 +108,10 @@ def start_merge(
     interval: str | None = None, files_per_batch: int | None = None,
     merge: Callable[[DataFrame, str, int, Column], None] = merge_purchase_events,
 ):
-    """Merge new RAW rows into the fact log."""
+    """Merge new RAW rows into the fact log. A batch that is delivered again keeps its commit time."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        if has_batch(spark, log_path, history.BATCH, batch_id):
+            return
         merge(batch, log_path, batch_id, F.localtimestamp())
 
     return read_raw_stream(spark, raw_path, files_per_batch).writeStream.foreachBatch(write).option(

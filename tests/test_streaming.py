@@ -2,6 +2,7 @@
 
 import json
 import os
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,3 +170,29 @@ def test_arrival_order_does_not_pick_the_winner(spark):
             items = spark.createDataFrame(order, names).repartition(parts)
             found = rows(mart.merge_source(items).select("sku", "qty"))
             assert found == [("s", 2), (None, 5)] or found == [(None, 5), ("s", 2)]
+
+
+def test_replays_change_nothing(spark, paths, tmp_path):
+    """A load and a merge whose commits are lost are delivered again, and nothing downstream sees it."""
+    land(tmp_path / "landing", "a.json", golden.documents())
+    load(spark, paths)
+    dyn = lambda: incremental.start_dynamic_table(
+        spark, paths.raw, f"{paths.root}/dyn", paths.checkpoint("dyn"), interval=None).awaitTermination()
+    log = paths.fact_log("mart")
+    merge = lambda: incremental.start_merge(spark, paths.raw, log, paths.checkpoint("merge")).awaitTermination()
+    dyn(), merge()
+    raw, fact = rows(spark.read.parquet(paths.raw).select("loaded_at")), rows(job.fact(spark, paths))
+    for step in ("load", "merge"):
+        for commit in (pathlib.Path(paths.checkpoint(step)) / "commits").glob("*0*"):
+            commit.unlink()
+    load(spark, paths)
+    dyn(), merge()
+    assert rows(spark.read.parquet(paths.raw).select("loaded_at")) == raw
+    assert rows(job.fact(spark, paths)) == fact
+    assert spark.read.parquet(f"{paths.root}/dyn").count() == 8
+
+
+def test_forced_reload_into_an_empty_table(spark, paths, tmp_path):
+    land(tmp_path / "landing", "a.json", golden.documents())
+    incremental.reload_files(spark, paths.landing, paths.raw)
+    assert spark.read.parquet(paths.raw).count() == 8
