@@ -3,11 +3,13 @@
 The table is an append-only log partitioned by batch. Each row is an upsert (``U``) or a delete
 (``D``) of one key; a batch holds at most one row per key. The state at any point is the latest row
 per key up to there, minus deleted keys. A replayed batch overwrites its own partition, so writing
-it twice changes nothing. Reads cost base plus recent log; ``compact`` folds the old part into a base.
+it twice changes nothing. ``fold`` stores the state of the older batches as a base, published by one
+rename; ``read_folded`` reads the newest base and the batches after it.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -93,6 +95,81 @@ def compact(log: DataFrame, key: Sequence[str], keep_after: Column) -> DataFrame
     return base.select(*log.columns).unionByName(log.where(F.col(COMMIT) > keep_after))
 
 
+def _listed(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """Numbers of the sub-folders ``prefix`` N."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    names = [entry.getPath().getName() for entry in system.listStatus(path)]
+    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+
+
+def _bases(log_path: str) -> str:
+    return f"{log_path.rstrip('/')}_bases"
+
+
+def newest_base(spark: SparkSession, log_path: str) -> int | None:
+    """Last batch that the newest published base holds."""
+    return max(_listed(spark, _bases(log_path), "upto="), default=None)
+
+
+def open_batches(spark: SparkSession, log_path: str) -> list[int]:
+    """Batches of the log that no base holds yet."""
+    base = newest_base(spark, log_path)
+    return [n for n in _listed(spark, log_path, f"{BATCH}=") if base is None or n > base]
+
+
+def read_folded(spark: SparkSession, log_path: str, schema) -> DataFrame:
+    """The newest base and the batches after it: for the current state the same as the whole log."""
+    base = newest_base(spark, log_path)
+    if base is None:
+        return read_log(spark, log_path, schema)
+    rows = spark.read.schema(schema).parquet(f"{_bases(log_path)}/upto={base}")
+    if not open_batches(spark, log_path):
+        return rows
+    return rows.unionByName(read_log(spark, log_path, schema).where(F.col(BATCH) > base))
+
+
+def fold(spark: SparkSession, log_path: str, key: Sequence[str], schema) -> int | None:
+    """Store base and open batches as a new base; returns its last batch, or None if nothing is open.
+
+    The base is written aside and moved to its place whole, so a reader sees the old one or the new
+    one, and a job that dies leaves a folder nobody reads. The log keeps its batches until ``expire``.
+    """
+    batches = open_batches(spark, log_path)
+    if not batches:
+        return None
+    last, log = batches[-1], read_folded(spark, log_path, schema)
+    when = log.agg(F.max(COMMIT)).first()[0]
+    rows = current_state(log, key).withColumns({
+        OP: F.lit(UPSERT), BATCH: F.lit(last).cast("bigint"), COMMIT: F.lit(when).cast("timestamp_ntz")})
+    aside = f"{_bases(log_path)}/aside-{uuid.uuid4().hex}"
+    rows.select(*log.columns).write.parquet(aside)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(aside).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.rename(path(aside), path(f"{_bases(log_path)}/upto={last}")):
+        raise RuntimeError(f"the base of batch {last} could not be published")
+    return last
+
+
+def expire(spark: SparkSession, log_path: str) -> list[int]:
+    """Delete what the newest base replaces: older bases and the batches it holds. Past states before it
+    are given up. Call it when no reader of the older files is left."""
+    base = newest_base(spark, log_path)
+    if base is None:
+        return []
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(log_path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for older in _listed(spark, _bases(log_path), "upto="):
+        if older < base:
+            system.delete(path(f"{_bases(log_path)}/upto={older}"), True)
+    held = [n for n in _listed(spark, log_path, f"{BATCH}=") if n <= base]
+    for batch in held:
+        system.delete(path(f"{log_path}/{BATCH}={batch}"), True)
+    return held
+
+
 def only_new(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of ``source`` whose key ``target`` lacks: a merge that inserts but never updates."""
     return source.join(target.select(*key), list(key), "left_anti")

@@ -110,7 +110,8 @@ def start_merge(
 ):
     """Merge new RAW rows into the fact log. A batch that is delivered again keeps its commit time."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        if has_batch(spark, log_path, history.BATCH, batch_id):
+        base = history.newest_base(spark, log_path)
+        if has_batch(spark, log_path, history.BATCH, batch_id) or (base is not None and batch_id <= base):
             return
         merge(batch, log_path, batch_id, F.localtimestamp())
 

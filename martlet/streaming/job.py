@@ -38,24 +38,29 @@ class Paths:
 
 
 def fact(spark: SparkSession, paths: Paths, target_schema: str = "mart") -> DataFrame:
-    """Current state of the purchase fact."""
-    log = history.read_log(spark, paths.fact_log(target_schema), FACT_LOG_SCHEMA)
+    """Current state of the purchase fact: its newest base and the batches since."""
+    log = history.read_folded(spark, paths.fact_log(target_schema), FACT_LOG_SCHEMA)
     return history.current_state(log, FACT_KEY)
 
 
 def run(
-    spark: SparkSession, paths: Paths, target_schema: str = "mart", on_error: str = "continue"
+    spark: SparkSession, paths: Paths, target_schema: str = "mart", on_error: str = "continue",
+    fold_after: int = 16,
 ) -> int:
     """One pass: new files to RAW, new RAW rows to the fact, and its row count.
 
     A step that fails raises, so later steps do not run and the next pass starts where this one
-    stopped. An empty fact is an error.
+    stopped. An empty fact is an error. After ``fold_after`` batches they are folded into a new base, so
+    a pass reads the fact once and a bounded number of batches, however long the history is.
     """
     incremental.start_load(
         spark, paths.landing, paths.raw, paths.checkpoint("load"), on_error).awaitTermination()
     incremental.start_merge(
         spark, paths.raw, paths.fact_log(target_schema),
         paths.checkpoint(f"merge_{target_schema}")).awaitTermination()
+    log = paths.fact_log(target_schema)
+    if len(history.open_batches(spark, log)) >= fold_after:
+        history.fold(spark, log, FACT_KEY, FACT_LOG_SCHEMA)
     rows = fact(spark, paths, target_schema).count()
     if rows == 0:
         raise RuntimeError("the purchase fact is empty")

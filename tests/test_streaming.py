@@ -196,3 +196,22 @@ def test_forced_reload_into_an_empty_table(spark, paths, tmp_path):
     land(tmp_path / "landing", "a.json", golden.documents())
     incremental.reload_files(spark, paths.landing, paths.raw)
     assert spark.read.parquet(paths.raw).count() == 8
+
+
+def test_folding_keeps_the_fact_and_survives_a_lost_fold(spark, paths, tmp_path):
+    log = paths.fact_log("mart")
+    for n, document in enumerate(golden.documents()):
+        land(tmp_path / "landing", f"{n}.json", [document, golden.documents()[0]])
+        job.run(spark, paths, fold_after=3)
+    assert history.newest_base(spark, log) is not None and len(history.open_batches(spark, log)) < 3
+    expected = rows(batch_fact(spark, paths).select(*FACT))
+    assert rows(job.fact(spark, paths).select(*FACT)) == expected
+    whole = history.current_state(history.read_log(spark, log, job.FACT_LOG_SCHEMA), mart.FACT_KEY)
+    assert rows(job.fact(spark, paths)) == rows(whole)
+    (pathlib.Path(f"{log}_bases") / "aside-dead").mkdir()
+    assert history.fold(spark, log, mart.FACT_KEY, job.FACT_LOG_SCHEMA) is not None
+    assert history.fold(spark, log, mart.FACT_KEY, job.FACT_LOG_SCHEMA) is None
+    assert rows(job.fact(spark, paths)) == rows(whole)
+    gone = history.expire(spark, log)
+    assert len(gone) == 8 and rows(job.fact(spark, paths).select(*FACT)) == expected
+    assert job.run(spark, paths, fold_after=3) == 12
