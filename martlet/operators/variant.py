@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.operators.ordered import Key, running
+from martlet.sizing import limit
 
 MONEY = "decimal(10,2)"
 AMOUNT = "decimal(12,2)"
@@ -46,7 +47,8 @@ def flatten(df: DataFrame, where: str, raw: str = "raw") -> DataFrame:
 
 
 def flatten_with_meta(
-    df: DataFrame, row_key: str, where: str, raw: str = "raw", keep: Sequence[str] = ()
+    df: DataFrame, row_key: str, where: str, raw: str = "raw", keep: Sequence[str] = (),
+    offset: Column | None = None,
 ) -> DataFrame:
     """Flatten with the bookkeeping columns SEQ, KEY, PATH, INDEX, VALUE and THIS.
 
@@ -57,6 +59,8 @@ def flatten_with_meta(
     the table and stays the same when a task is retried.
     """
     flat = flatten(df, where, raw)
+    if offset is not None:  # elements of the same key in earlier documents; INDEX and PATH go on from there
+        flat = flat.withColumn("pos", (F.col("pos") + offset).cast("int"))
     is_element = F.col("key").isNull()
     return flat.select(
         F.col(row_key),
@@ -93,22 +97,25 @@ def nest(
     order: Sequence[Key],
     carry: dict[str, Column] | None = None,
     items: str = "items",
-    max_items: int = 1000,
+    max_items: int | None = None,
+    part: str | None = None,
     rows_per_segment: int | None = None,
 ) -> DataFrame:
     """Relational rows back to one document per key: the inverse of flatten.
 
-    A document holds at most ``max_items`` items; a key with more continues in further documents,
-    so no task ever gathers an unbounded group. ``carry`` are aggregates kept beside the items.
+    A document holds at most ``max_items`` items (by default the session's limit); a key with more
+    continues in further documents, so no task ever gathers an unbounded group. ``part`` names a column
+    for a document's number within its key, from 0. ``carry`` are aggregates kept beside the items.
     """
+    max_items = max_items or limit(df.sparkSession, "documentItems")
     numbered = running(df, keys, order, number="line_no", rows_per_segment=rows_per_segment)
-    part = F.floor((F.col("line_no") - 1) / max_items).cast("int")
+    number = F.floor((F.col("line_no") - 1) / max_items).cast("bigint")
     gathered = (
-        numbered.withColumn("_part", part)
+        numbered.withColumn("_part", number)
         .groupBy(*keys, "_part")
         .agg(
             F.array_sort(F.collect_list(F.struct("line_no", *item_fields))).alias(items),
             *[expression.alias(name) for name, expression in (carry or {}).items()],
         )
     )
-    return gathered.drop("_part")
+    return gathered.withColumnRenamed("_part", part) if part else gathered.drop("_part")

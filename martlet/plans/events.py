@@ -27,7 +27,8 @@ def _event_type(raw="raw"):
 def _landing(ws) -> str:
     """A folder of text files: every event, and a cut-off transmission of every view event."""
     documents = ws.documents
-    cut_off = documents.where(_event_type(F.parse_json("line")) == "view").select(
+    views = mart.headers(documents.withColumn("raw", F.parse_json("line"))).where(_event_type() == "view")
+    cut_off = views.select(
         F.substring("line", 1, 40).alias("line"))
     where = ws.location("landing")
     ws.once("landing", lambda: documents.select("line").unionByName(cut_off).write.mode(
@@ -41,7 +42,7 @@ HEADER = ("event_id, user_id, event_type, device_os, app_version, CAST(NULL AS V
 
 @query("src_json_events", on_events(f"SELECT {HEADER}, true AS has_file FROM events_flat"))
 def src_json_events(ws):
-    raw = ingest.read_json_events(ws.spark, _landing(ws), "continue")
+    raw = mart.headers(ingest.read_json_events(ws.spark, _landing(ws), "continue"))
     return raw.select(*header_columns(), F.col("src_filename").isNotNull().alias("has_file"))
 
 
@@ -65,7 +66,7 @@ def copy_skip_file(ws):
         F.col("src_filename").isNull() | (F.col("src_filename") == "part-2.json"))
     lines = ws.documents.withColumn(
         "line", F.when(broken, F.substring("line", 1, 40)).otherwise(F.col("line")))
-    raw = ingest.to_raw(lines, "skip_file", "src_filename")
+    raw = mart.headers(ingest.to_raw(lines, "skip_file", "src_filename"))
     return raw.select(path("raw", "event_id").alias("event_id"),
                       path("raw", "user_id").alias("user_id"), "src_filename")
 
@@ -140,17 +141,17 @@ def gen_events(ws):
 @query("load_audit", on_events("""
 SELECT src_filename, count(*) AS row_count FROM events_flat GROUP BY src_filename"""))
 def load_audit(ws):
-    return ingest.rows_per_file(ws.raw).orderBy("src_filename")
+    return ingest.rows_per_file(mart.headers(ws.raw)).orderBy("src_filename")
 
 
 @query("json_header", on_events(f"SELECT {HEADER} FROM events_flat"))
 def json_header(ws):
-    return ws.raw.select(*header_columns())
+    return mart.headers(ws.raw).select(*header_columns())
 
 
 @query("json_nested", on_events("SELECT event_id, device_os, app_version FROM events_flat"))
 def json_nested(ws):
-    return ws.raw.select(
+    return mart.headers(ws.raw).select(
         path("raw", "event_id").alias("event_id"), path("raw", "device.os").alias("device_os"),
         path("raw", "device.app_version").alias("app_version"))
 
@@ -161,7 +162,7 @@ DEVICE_TEXT = """CASE WHEN device_os IS NULL THEN 'mobile'
 
 @query("json_object_text", on_events(f"SELECT event_id, {DEVICE_TEXT} FROM events_flat"))
 def json_object_text(ws):
-    return ws.raw.select(path("raw", "event_id").alias("event_id"),
+    return mart.headers(ws.raw).select(path("raw", "event_id").alias("event_id"),
                          path("raw", "device").alias("device"))
 
 
@@ -185,18 +186,19 @@ def flatten_items(ws):
 
 @query("flatten_meta", on_lines("""
 SELECT event_id, CAST(NULL AS VARCHAR) AS key, '[' || CAST(line_no - 1 AS VARCHAR) || ']' AS path,
-       CAST(line_no - 1 AS INTEGER) AS index, sku AS value_sku,
-       CAST(count(*) OVER (PARTITION BY event_id, part) AS INTEGER) AS this_size
-FROM (SELECT event_id, sku, (line_no - 1) // 1000 AS part, (line_no - 1) % 1000 + 1 AS line_no
-      FROM lines) AS lines"""))
+       CAST(line_no - 1 AS INTEGER) AS index, sku AS value_sku, sku AS this_sku
+FROM lines"""))
 def flatten_meta(ws):
+    # Positions go on over the documents of a large event; THIS is the array of one document.
     raw = ws.raw.withColumns({
         "event_id": path("raw", "event_id"),
-        "this_size": F.size(path("raw", "items", "array<variant>")),
+        "before": F.coalesce(path("raw", "offset", "bigint"), F.lit(0)),
     })
-    flat = flatten_with_meta(raw, "event_id", "items", keep=["this_size"])
+    flat = flatten_with_meta(raw, "event_id", "items", keep=["before"], offset=F.col("before"))
+    here = F.get(F.col("this").cast("array<variant>"), (F.col("index") - F.col("before")).cast("int"))
     return flat.select(
-        "event_id", "key", "path", "index", path("value", "sku").alias("value_sku"), "this_size")
+        "event_id", "key", "path", "index", path("value", "sku").alias("value_sku"),
+        path(here, "sku").alias("this_sku"))
 
 
 @query("flatten_object", """
@@ -251,17 +253,18 @@ def object_build(ws):
 
 
 @query("nest_items", on_lines("""
-SELECT event_id, count(*) AS item_count,
-       '[' || string_agg('{"line_no":' || CAST(n AS VARCHAR) || ',"sku":"' || sku || '","qty":'
-         || CAST(qty AS VARCHAR) || '}', ',' ORDER BY n) || ']' AS items
-FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY sku, line_no) AS n
-      FROM lines) AS numbered
-GROUP BY event_id, (n - 1) // 1000"""))
+SELECT event_id, row_number() OVER (PARTITION BY event_id ORDER BY sku, line_no) AS line_no,
+       '{"line_no":' || CAST(row_number() OVER (PARTITION BY event_id ORDER BY sku, line_no) AS VARCHAR)
+         || ',"sku":"' || sku || '","qty":' || CAST(qty AS VARCHAR) || '}' AS item
+FROM lines"""))
 def nest_items(ws):
     items = ws.event_items.select("event_id", "sku", "qty", F.col("line_no").alias("position"))
-    nested = nest(items, ["event_id"], ["sku", "qty"], asc("sku", "position"),
-                  {"item_count": F.count(F.lit(1))})
-    return nested.select("event_id", "item_count", F.to_json("items").alias("items"))
+    nested = nest(items, ["event_id"], ["sku", "qty"], asc("sku", "position"))
+    # Round trip: the documents as JSON text, and their items back as rows, in however many parts.
+    documents = nested.select("event_id", F.to_json("items").alias("items"))
+    item = F.explode(F.from_json("items", "array<struct<line_no:bigint,sku:string,qty:bigint>>"))
+    return documents.select("event_id", item.alias("item")).select(
+        "event_id", "item.line_no", F.to_json("item").alias("item"))
 
 
 @query("qualify_latest", on_events(f"""

@@ -27,9 +27,14 @@ def raw_events(documents: DataFrame) -> DataFrame:
     return documents.select(F.parse_json("line").alias("raw"), "src_filename", "loaded_at")
 
 
+def headers(raw: DataFrame) -> DataFrame:
+    """One document per landed event: the first, where a large event is delivered in several."""
+    return raw.where(F.coalesce(path("raw", "part", "bigint"), F.lit(0)) == 0)
+
+
 def stg_events(raw: DataFrame) -> DataFrame:
     """One typed header row per landed event."""
-    return raw.select(*header_columns(), "src_filename", "loaded_at")
+    return headers(raw).select(*header_columns(), "src_filename", "loaded_at")
 
 
 def stg_events_latest(raw: DataFrame) -> DataFrame:
@@ -40,7 +45,7 @@ def stg_events_latest(raw: DataFrame) -> DataFrame:
 
 def dyn_stg_events(raw: DataFrame) -> DataFrame:
     """The continuously refreshed staging table: device stays JSON text."""
-    return raw.select(
+    return headers(raw).select(
         path("raw", "event_id").alias("event_id"),
         path("raw", "user_id").alias("user_id"),
         path("raw", "event_type").alias("event_type"),

@@ -63,7 +63,7 @@ detail AS (
 
 EVENTS = """
 loads AS (
-  SELECT l_orderkey, max(l_shipdate) AS last_ship, count(*) AS line_count
+  SELECT l_orderkey, max(l_shipdate) AS last_ship
   FROM lineitem GROUP BY l_orderkey),
 events_flat AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS event_id, CAST(o_custkey AS VARCHAR) AS user_id,
@@ -75,9 +75,7 @@ events_flat AS (
          CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE '2.0.0' END AS app_version,
          CASE WHEN o_orderkey % 10 = 0 THEN NULL
               ELSE 'part-' || CAST(o_orderkey % 4 AS VARCHAR) || '.json' END AS src_filename,
-         coalesce(last_ship, o_orderdate) AS loaded_at,
-         -- one row per document of at most 1000 items
-         unnest(range(CAST(greatest(1, ceil(coalesce(line_count, 0) / 1000.0)) AS BIGINT))) AS part
+         coalesce(last_ship, o_orderdate) AS loaded_at
   FROM orders LEFT JOIN loads ON l_orderkey = o_orderkey)"""
 
 

@@ -1,7 +1,7 @@
 """Decisions that depend on measured sizes: what may be broadcast, how far to split or spread.
 
 The limits can be set per session: ``spark.martlet.broadcastRows``, ``spark.martlet.broadcastBytes``,
-``spark.martlet.segmentRows`` and ``spark.martlet.fileRows``.
+``spark.martlet.segmentRows`` ``spark.martlet.fileRows`` and ``spark.martlet.documentItems``.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ LIMITS = {
     "segmentRows": 8_000_000,
     # Rows per output file of a clustered write (about 128-256 MB of fact rows).
     "fileRows": 4_000_000,
+    # Items of one JSON document; a larger event is delivered in several documents.
+    "documentItems": 1_000,
 }
 
 _FIXED_WIDTH = (

@@ -7,15 +7,12 @@ from pyspark.sql import functions as F
 
 from martlet.operators.ordered import asc
 from martlet.operators.variant import AMOUNT, MONEY, nest
-from martlet.sizing import lookup_join
+from martlet.sizing import limit, lookup_join
 
 # Devices an event may come from, by order number.
 DEVICE_SYSTEMS = ("iOS", "Android", "PC")
 APP_VERSION = "2.0.0"
 
-# Items one event document holds at most; a larger order is delivered in several documents.
-MAX_ITEMS = 1000
-
 # Columns that put the lines of one order in a fixed sequence: later deliveries come last.
 LINE_ORDER = (
     "l_shipdate", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -67,12 +64,15 @@ def event_documents(orders: DataFrame, lineitem: DataFrame, part: DataFrame) ->
     """Raw event documents as JSON text with their load metadata.
 
     Columns: ``line`` (one JSON object), ``src_filename``, ``loaded_at``. An order without lines has
-    an empty item array, an order with more than MAX_ITEMS lines has several documents. One order in
+    an empty item array. An order with more lines than a document holds has several documents: all but
+    the first carry their number ``part`` and the number of items before them, ``offset``. One order in
     fifty reports its device as a plain string.
     """
+    per_document = limit(orders.sparkSession, "documentItems")
     items = nest(
         purchased_items(lineitem, part), ["l_orderkey"],
-        ["sku", "product_name", "category", "qty", "price"], asc(*LINE_ORDER), {}, max_items=MAX_ITEMS,
+        ["sku", "product_name", "category", "qty", "price"], asc(*LINE_ORDER), {},
+        max_items=per_document, part="part",
     ).withColumnRenamed("l_orderkey", "o_orderkey")
     loads = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.max("l_shipdate").cast("timestamp_ntz").alias("loaded_at"))
@@ -83,6 +83,7 @@ def event_documents(orders: DataFrame, lineitem: DataFrame, part: DataFrame) ->
     filled = items.join(header, "o_orderkey")
     empty = header.where(F.col("loaded_at").isNull()).withColumns({
         "items": F.from_json(F.lit("[]"), items.schema["items"].dataType),
+        "part": F.lit(0).cast("bigint"),
         "loaded_at": F.col("order_time"),
     })
     events = filled.unionByName(empty)
@@ -93,6 +94,8 @@ def event_documents(orders: DataFrame, lineitem: DataFrame, part: DataFrame) ->
             F.concat(F.translate(F.col("event_time").cast("string"), " ", "T"), F.lit("Z"))
             .alias("event_time"),
             device.alias("device"), "items",
+            F.when(F.col("part") > 0, F.col("part")).alias("part"),
+            F.when(F.col("part") > 0, F.col("part") * per_document).alias("offset"),
         ))
 
     as_object = F.struct(F.col("device_os").alias("os"), F.lit(APP_VERSION).alias("app_version"))
