@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from martlet.operators.ordered import asc, desc, running
 from martlet.operators.text import tokens
-from martlet.sizing import spread
+from martlet.sizing import spread, stored
 
 # Fixed values of the published formulas.
 K1, B = 1.2, 0.75
@@ -115,8 +115,9 @@ def vector_scores(vectors: DataFrame, key: str, vector: str, query: Sequence[flo
                   equal: dict | None = None) -> DataFrame:
     for column, value in (equal or {}).items():
         vectors = vectors.where(F.col(column) == F.lit(value))
-    return vectors.select(key, cosine(F.col(vector), query).alias("score")).where(
-        F.col("score").isNotNull())
+    # A filter on the score itself would be pushed below it and compute it twice.
+    directed = F.exists(vector, lambda x: x != 0) & ~F.exists(vector, lambda x: x.isNull())
+    return vectors.where(directed).select(key, cosine(F.col(vector), query).alias("score"))
 
 
 def top(scores: DataFrame, key: str, limit: int) -> DataFrame:
@@ -130,7 +131,8 @@ def fuse(by_keyword: DataFrame, by_vector: DataFrame, key: str) -> DataFrame:
     order is exact.
     """
     def ranks(scores: DataFrame, name: str) -> DataFrame:
-        return running(scores, [], [*desc("score"), *asc(key)], number=name).select(key, name)
+        # Stored: numbering a large list reads it several times.
+        return running(stored(scores), [], [*desc("score"), *asc(key)], number=name).select(key, name)
 
     both = ranks(by_keyword, "_k").join(ranks(by_vector, "_v"), key, "full")
     share = [F.coalesce(1 / (FUSION_K + F.col(c)), F.lit(0.0)) for c in ("_k", "_v")]

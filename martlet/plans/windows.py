@@ -13,7 +13,7 @@ from martlet.functions.scalar import month_start, share
 from martlet.operators.ordered import Key, asc, desc, framed, place, ranked, running
 from martlet.plans.oracle import double, on_fact, on_star, text
 from martlet.plans.registry import query
-from martlet.sizing import lookup_join, with_totals
+from martlet.sizing import lookup_join, with_totals, stored
 
 BY_AMOUNT = [*desc("line_amount"), *asc("event_id", "sku")]
 BY_TIME = asc("event_time", "event_id", "sku")
@@ -241,7 +241,7 @@ FROM (SELECT *, rank() OVER (ORDER BY total DESC) AS rank FROM named) AS numbere
 WHERE rank <= 3"""))
 def top_users_named(ws, top=3):
     totals = ws.fact.groupBy("user_id").agg(F.sum("line_amount").alias("total_amount"))
-    named = totals.join(ws.users.select("user_id", "user_name"), "user_id")
+    named = stored(totals.join(ws.users.select("user_id", "user_name"), "user_id"))
     # Rank over the whole table without a key: a rank is decided by the top distinct totals, so
     # rank those and join the few that qualify.
     counts = named.groupBy("total_amount").agg(F.count(F.lit(1)).alias("_n"))
