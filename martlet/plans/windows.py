@@ -13,7 +13,8 @@ from martlet.functions.scalar import month_start, share
 from martlet.operators.ordered import Key, asc, desc, framed, place, ranked, running
 from martlet.plans.oracle import double, on_fact, on_star, text
 from martlet.plans.registry import query
-from martlet.sizing import lookup_join, with_totals, stored
+from martlet.sizing import lookup_join, stored, with_totals
+from martlet.sources import tables
 
 BY_AMOUNT = [*desc("line_amount"), *asc("event_id", "sku")]
 BY_TIME = asc("event_time", "event_id", "sku")
@@ -223,11 +224,12 @@ SELECT s.user_id, u.user_name, u.prefecture, s.category, s.purchase_count,
          AS pct_of_user_total
 FROM summary s JOIN users u ON u.user_id = s.user_id"""))
 def win_user_pct(ws):
-    # What a session would keep as a temporary table is simply a frame here.
-    summary = ws.fact.groupBy("user_id", "category").agg(
-        F.count(F.lit(1)).alias("purchase_count"), F.sum("line_amount").alias("total_amount"))
+    # The summary is a temporary table of the session: computed once, read twice, in SQL by its name.
+    name = f"user_summary_{ws.digest}"
+    summary = tables.temporary_table(ws.fact.groupBy("user_id", "category").agg(
+        F.count(F.lit(1)).alias("purchase_count"), F.sum("line_amount").alias("total_amount")), name)
     named = lookup_join(summary, ws.users, "user_id")
-    totals = ws.fact.groupBy("user_id").agg(F.sum("line_amount").alias("_total"))
+    totals = ws.spark.sql(f"SELECT user_id, sum(total_amount) AS _total FROM {name} GROUP BY user_id")
     return named.join(totals, "user_id").select(
         "user_id", "user_name", "prefecture", "category", "purchase_count", "total_amount",
         share(F.col("total_amount"), F.col("_total"), 1).alias("pct_of_user_total"))

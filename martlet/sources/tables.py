@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martlet.sizing import stored
+
 
 def create_table(
     spark: SparkSession, name: str, columns: str, location: str | None = None
@@ -68,7 +70,11 @@ def drop_view(spark: SparkSession, name: str) -> None:
 
 
 def temporary_table(df: DataFrame, name: str) -> DataFrame:
-    """A frame computed once and visible to this session's SQL under ``name``."""
-    kept = df.persist()
+    """A frame computed once and visible to this session's SQL under ``name``.
+
+    Its rows are in the shared folder, so they outlive an executor; Spark removes them when nothing
+    refers to them any more, if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    """
+    kept = stored(df)
     kept.createOrReplaceTempView(name)
     return kept
