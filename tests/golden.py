@@ -1,5 +1,6 @@
 """Literal rows with known totals, for tests only."""
 
+# Users, products, prices by sku, orders.
 USERS = [
     ("u001", "田中 太郎", "東京"), ("u002", "山田 花子", "大阪"), ("u003", "佐藤 健", "愛知"),
     ("u004", "鈴木 恵", "福岡"), ("u005", "高橋 誠", "北海道"), ("u006", "伊藤 めぐみ", "東京"),
@@ -33,29 +34,64 @@ ORDERS = [
     ("o1017", "u002", "2026-02-07"), ("o1018", "u012", "2026-02-12"),
     ("o1019", "u001", "2026-02-18"), ("o1020", "u013", "2026-02-25"),
 ]
-# order number -> (sku, qty) pairs
-ITEMS = {
-    1001: "A001 1 B001 2", 1002: "C001 1 B002 3", 1003: "D001 1 E001 2", 1004: "A002 1 B003 2",
-    1005: "C002 1 D002 1", 1006: "A001 1 E002 1", 1007: "B001 3 C003 1", 1008: "D003 1 A003 2",
-    1009: "E003 1 B002 2", 1010: "C001 1 A002 1", 1011: "D001 2 B003 3", 1012: "E001 1 A003 2",
-    1013: "C002 2 B001 1", 1014: "D002 1 E002 1", 1015: "A001 1 C003 1", 1016: "B002 4 D001 1",
-    1017: "E003 1 A002 2", 1018: "C001 1 B003 2", 1019: "D003 1 E001 3", 1020: "A003 1 C002 1",
-}
-# event, user, time, system, version, review, items
+# Order, sku, quantity, price.
+ORDER_ITEMS = [
+    ("o1001", "A001", 1, 12000),
+    ("o1001", "B001", 2, 900),
+    ("o1002", "C001", 1, 4500),
+    ("o1002", "B002", 3, 350),
+    ("o1003", "D001", 1, 3200),
+    ("o1003", "E001", 2, 1500),
+    ("o1004", "A002", 1, 4800),
+    ("o1004", "B003", 2, 600),
+    ("o1005", "C002", 1, 2800),
+    ("o1005", "D002", 1, 8500),
+    ("o1006", "A001", 1, 12000),
+    ("o1006", "E002", 1, 3600),
+    ("o1007", "B001", 3, 900),
+    ("o1007", "C003", 1, 18000),
+    ("o1008", "D003", 1, 12000),
+    ("o1008", "A003", 2, 2500),
+    ("o1009", "E003", 1, 6800),
+    ("o1009", "B002", 2, 350),
+    ("o1010", "C001", 1, 4500),
+    ("o1010", "A002", 1, 4800),
+    ("o1011", "D001", 2, 3200),
+    ("o1011", "B003", 3, 600),
+    ("o1012", "E001", 1, 1500),
+    ("o1012", "A003", 2, 2500),
+    ("o1013", "C002", 2, 2800),
+    ("o1013", "B001", 1, 900),
+    ("o1014", "D002", 1, 8500),
+    ("o1014", "E002", 1, 3600),
+    ("o1015", "A001", 1, 12000),
+    ("o1015", "C003", 1, 18000),
+    ("o1016", "B002", 4, 350),
+    ("o1016", "D001", 1, 3200),
+    ("o1017", "E003", 1, 6800),
+    ("o1017", "A002", 2, 4800),
+    ("o1018", "C001", 1, 4500),
+    ("o1018", "B003", 2, 600),
+    ("o1019", "D003", 1, 12000),
+    ("o1019", "E001", 3, 1500),
+    ("o1020", "A003", 1, 2500),
+    ("o1020", "C002", 1, 2800),
+]
+# Event, user, time, system, version, review, items as (sku, quantity).
 EVENTS = [
     ("e001", "u001", "2026-02-01T09:00:00Z", "iOS", "2.0.0",
-     "Fast delivery and good quality. I would buy again.", "A001 1 B001 2"),
+     "Fast delivery and good quality. I would buy again.", [("A001", 1), ("B001", 2)]),
     ("e002", "u002", "2026-02-01T11:30:00Z", "Android", "2.1.0",
-     "Coffee aroma was strong, but the packaging was slightly damaged.", "B001 3"),
-    ("e003", "u003", "2026-02-02T14:15:00Z", "PC", "2.0.1", None, "C001 1 D001 1"),
+     "Coffee aroma was strong, but the packaging was slightly damaged.", [("B001", 3)]),
+    ("e003", "u003", "2026-02-02T14:15:00Z", "PC", "2.0.1", None, [("C001", 1), ("D001", 1)]),
     ("e004", "u001", "2026-02-03T10:00:00Z", "iOS", "2.0.0",
-     "Exactly as described. Will order again.", "A002 1"),
-    ("e005", "u004", "2026-02-04T16:45:00Z", "Android", "1.2.0", None, "E001 2"),
+     "Exactly as described. Will order again.", [("A002", 1)]),
+    ("e005", "u004", "2026-02-04T16:45:00Z", "Android", "1.2.0", None, [("E001", 2)]),
     ("e006", "u002", "2026-02-05T09:30:00Z", "Android", "2.1.0",
-     "Good value for money. Quick delivery.", "B002 5 B003 2"),
+     "Good value for money. Quick delivery.", [("B002", 5), ("B003", 2)]),
     ("e007", "u005", "2026-02-06T20:00:00Z", "iOS", "2.0.1",
-     "The speaker quality exceeded my expectations.", "D003 1"),
-    ("e008", "u003", "2026-02-07T13:20:00Z", "PC", "2.0.1", None, "C003 1 A003 2"),
+     "The speaker quality exceeded my expectations.", [("D003", 1)]),
+    ("e008", "u003", "2026-02-07T13:20:00Z", "PC", "2.0.1", None, [("C003", 1), ("A003", 2)]),
 ]
 REVIEWS = [
     ("r001", "u001", "配送がとても速く、品質も申し分ありませんでした。シューズはトレイルランニングに最適で快適に使えました。"),
@@ -64,13 +100,8 @@ REVIEWS = [
 ]
 
 
-def pairs(text):
-    words = text.split()
-    return [(sku, int(qty)) for sku, qty in zip(words[::2], words[1::2])]
-
-
 def order_items():
-    return [(f"o{n}", sku, qty, PRICES[sku]) for n, text in ITEMS.items() for sku, qty in pairs(text)]
+    return list(ORDER_ITEMS)
 
 
 def documents():
@@ -82,7 +113,7 @@ def documents():
             "device": {"os": system, "app_version": version},
             "items": [
                 {"sku": sku, "product_name": names[sku][0], "category": names[sku][1],
-                 "qty": qty, "price": PRICES[sku]} for sku, qty in pairs(items)],
+                 "qty": qty, "price": PRICES[sku]} for sku, qty in items],
         }
         if review:
             document["review_text"] = review
