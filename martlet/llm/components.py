@@ -22,9 +22,10 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stored(large.where("u <> v").distinct())
+        drop(least)
         # Now every node's neighbours here are smaller than it.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")

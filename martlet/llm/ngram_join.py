@@ -13,8 +13,8 @@ n-gram are independent of each other, and only branches that two different sets
 * Sets already known to be in one component need no further comparison. Rounds with other pivots
   follow while many pairs across components are left; then all pairs that are left are compared, so
   no link between components is lost, whatever the groups look like.
-* Pairs are filtered by length, by the places of their shared n-gram, and by counts of n-grams in
-  64 classes, which bound the overlap from above.
+* Pairs are filtered by length, by the places of their shared n-gram, and by the parities of their
+  n-grams in ``CLASSES`` classes: every parity that differs is an n-gram that only one of them has.
 
 Copies (equal sets) are one member from the start. Hot n-grams are hot keys of joins, which adaptive
 execution splits; no branch is gathered in one task.
@@ -37,7 +37,7 @@ from martlet.llm.shingles import shingle_set
 ORDER_BITS = 1 << 24  # 2 MB for each task, at any input size
 FREQUENT = 8
 BLOCK = 256
-CLASSES = 64
+CLASSES = 512
 
 
 def _needed(size: int, num: int, den: int) -> int:
@@ -70,8 +70,8 @@ def _keys(words: int):
                 low.append(None if key is None else (key & ((1 << 64) - 1)) - (1 << 63))
                 sizes.append(len(grams))
             yield pa.RecordBatch.from_arrays(
-                [batch["row"], pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(sizes, pa.int64())],
-                ["row", "high", "low", "size"])
+                [batch["row"], batch["doc_id"], pa.array(high, pa.int64()), pa.array(low, pa.int64()),
+                 pa.array(sizes, pa.int64())], ["row", "doc_id", "high", "low", "size"])
     return run
 
 
@@ -123,14 +123,15 @@ def _whole_sets(words: int, order):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = Order(order.value)
         for batch in batches:
-            sets, counts = [], []
+            sets, odd = [], []
             for data in batch["data"].to_pylist():
                 grams = shingle_set(data, words)
                 sets.append(ranks.sort(grams).tobytes())
-                counts.append(np.bincount((grams >> np.uint64(58)).astype(np.int64), minlength=CLASSES).tolist())
+                counts = np.bincount((grams % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES)
+                odd.append(np.packbits((counts & 1).astype(np.uint8)).view(np.int64).tolist())
             yield pa.RecordBatch.from_arrays(
-                [batch["row"], pa.array(sets, pa.binary()), pa.array(counts, pa.list_(pa.int32()))],
-                ["row", "grams", "classes"])
+                [batch["row"], pa.array(sets, pa.binary()), pa.array(odd, pa.list_(pa.int64()))],
+                ["row", "grams", "odd"])
     return run
 
 
@@ -146,7 +147,7 @@ def frequent_order(base: DataFrame, words: int, num: int, den: int):
         often.groupBy((F.floor(bit / 64)).cast("int").alias("word"))
         .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(gram, {ORDER_BITS}) % 64 as int))")).alias("mask")))
     bits = np.zeros(ORDER_BITS // 64, np.int64)
-    found = words64.toArrow()  # ORDER_BITS / 64 rows at most
+    found = stored(words64).toArrow()  # ORDER_BITS / 64 rows at most
     bits[found["word"].to_numpy()] = found["mask"].to_numpy()
     return spark.sparkContext.broadcast(bits.view(np.uint8))
 
@@ -203,10 +204,12 @@ def tree_overlaps(sets: list[np.ndarray], probe: np.ndarray, rank, needed: list[
 def _compare(num: int, den: int, order):
     def run(table: pa.Table) -> pa.Table:
         ranks = Order(order.value)
-        probe = np.frombuffer(table["probe_grams"][0].as_py(), np.uint64)
+        is_probe = table["is_probe"].to_pylist()
+        arrays = [np.frombuffer(x, np.uint64) for x in table["grams"].to_pylist()]
+        probe = arrays[is_probe.index(True)]
+        sets = [a for a, own in zip(arrays, is_probe) if not own]
         last = ranks.last(probe)
         early, late = probe[~last], probe[last]
-        sets = [np.frombuffer(x, np.uint64) for x in table["grams"].to_pylist()]
 
         def rank(gram) -> int:
             if ranks.last(np.array([gram]))[0]:
@@ -215,103 +218,145 @@ def _compare(num: int, den: int, order):
 
         needed = [-(-num * (len(s) + len(probe)) // (num + den)) for s in sets]
         keep = tree_overlaps(sets, probe, rank, needed)
-        return table.select(["x", "p"]).filter(pa.array(keep))
+        partners = table.filter(pa.array([not own for own in is_probe]))
+        return pa.table({"x": partners["row"], "p": partners["p"]}).filter(pa.array(keep, pa.bool_()))
     return run
 
 
 def compare(pairs: DataFrame, sets: DataFrame, num: int, den: int, order) -> DataFrame:
-    """Those of the pairs (x, p) whose sets reach the threshold; a pivot's partners come in blocks."""
+    """Those of the pairs (x, p) whose sets reach the threshold; a pivot's partners come in blocks.
+
+    The sets are read once, and only those of the pairs are moved to the blocks.
+    """
     block = F.pmod(F.xxhash64("x"), F.greatest(F.lit(1), F.ceil(F.col("partners") / BLOCK))).cast("long")
     partners = pairs.groupBy("p").agg(F.count(F.lit(1)).alias("partners"))
-    left = (
-        pairs.join(partners, "p").withColumn("block", block)
-        .join(sets.select(F.col("row").alias("x"), "grams"), "x"))
-    both = left.join(sets.select(F.col("row").alias("p"), F.col("grams").alias("probe_grams")), "p")
-    return stored(
-        both.select("p", "block", "x", "grams", "probe_grams").groupBy("p", "block")
+    blocks = pairs.join(partners, "p").withColumn("block", block)
+    uses = stored(
+        blocks.select(F.col("x").alias("row"), "p", "block", F.lit(False).alias("is_probe"))
+        .union(blocks.select(F.col("p").alias("row"), "p", "block", F.lit(True)).distinct()))
+    found = stored(
+        sets.select("row", "grams").join(uses, "row").groupBy("p", "block")
         .applyInArrow(_compare(num, den, order), "x long, p long"))
+    drop(uses)
+    return found
+
 
+def _may_link(num: int, den: int) -> Column:
+    """Lengths allow a link, and so does the least number of n-grams that only one of the two has."""
+    a, b = F.col("size"), F.col("p_size")
+    differ = F.aggregate(
+        F.zip_with("odd", "p_odd", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, v: s + v)
+    return (den * F.least(a, b) >= num * F.greatest(a, b)) & (differ * (num + den) <= (den - num) * (a + b))
+
+
+def _pairs_across(named: DataFrame, counts: DataFrame, num: int, den: int) -> DataFrame:
+    """All pairs of different components in each open branch that may link.
+
+    Left of the n-gram that brings two sets together first, they share nothing: what remains of the
+    shorter rest bounds their overlap.
+    """
+    mine = stored(named.join(counts.select("gram"), "gram"))
+    other = mine.select("gram", *[F.col(c).alias(f"p_{c}") for c in ("row", "root", "size", "place", "odd")])
+    left = F.least(F.col("size") - F.col("place"), F.col("p_size") - F.col("p_place"))
+    return (
+        mine.join(other, (mine["gram"] == other["gram"]) & F.expr("row > p_row AND root <> p_root")
+                  & (left * (num + den) >= num * (F.col("size") + F.col("p_size"))) & _may_link(num, den))
+        .select(F.col("row").alias("x"), F.col("p_row").alias("p")).distinct())
 
-def _may_link(num: int, den: int, size: str = "size", other: str = "p_size") -> Column:
-    """Lengths allow a link, and so do the places of the n-gram if it is the first that both have."""
-    a, b = F.col(size), F.col(other)
-    left = F.least(a - F.col("place"), b - F.col("p_place"))
-    return (den * F.least(a, b) >= num * F.greatest(a, b)) & (left * (num + den) >= num * (a + b))
 
+def _pairs_with_pivots(named: DataFrame, counts: DataFrame, num: int, den: int, turn: int) -> DataFrame:
+    """Members of each open branch with one of them.
 
-def link(base: DataFrame, keys: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """(node, root) of components of linked sets, one node for each different set; others are alone."""
+    That is first the one with the fewest n-grams of its own, which a group of copies is likely to be made
+    from; in later turns the smallest hash with the turn.
+    """
+    by = F.struct("own", "row") if turn == 0 else F.struct(F.xxhash64("row", F.lit(turn)), F.col("row"))
+    pivots = stored(
+        named.join(counts.select("gram"), "gram")
+        .groupBy("gram").agg(F.min(F.struct(by.alias("by"), "root", "size", "odd")).alias("o"))
+        .select(F.col("gram").alias("p_gram"), F.col("o.by.row").alias("p_row"), F.col("o.root").alias("p_root"),
+                F.col("o.size").alias("p_size"), F.col("o.odd").alias("p_odd")))
+    return (
+        named.join(pivots, (F.col("gram") == F.col("p_gram")) & F.expr("row <> p_row AND root <> p_root")
+                   & _may_link(num, den))
+        .select(F.col("row").alias("x"), F.col("p_row").alias("p")).distinct())
+
+
+def link(base: DataFrame, keys: DataFrame, words: int, num: int, den: int, owned: bool) -> DataFrame:
+    """(node, root) of components of linked sets, one node for each different set; others are alone.
+
+    A base that is ``owned`` is deleted as soon as the sets are there.
+    """
     data = base.select("row", "data")
     order = frequent_order(base, words, num, den)
-    branches = (
+    branches = stored(
         data.mapInArrow(_keyed_grams(words, num, den, order), "gram long, key long")
         .groupBy("gram").agg(F.min("key").alias("a"), F.max("key").alias("b"))
         .where("a <> b").select("gram"))
     one = keys.where("size > 0").groupBy("high", "low").agg(F.min("row").alias("row")).select("row")
-    entries = stored(
+    found = stored(
         data.mapInArrow(_first_grams(words, num, den, order, True), "gram long, row long, size int, place int")
         .join(branches, "gram").join(one, "row", "left_semi"))
     sets = stored(
-        base.join(entries.select("row").distinct(), "row").select("row", "data")
-        .mapInArrow(_whole_sets(words, order), "row long, grams binary, classes array<int>"))
-    classes = sets.select("row", "classes")
+        base.join(found.select("row").distinct(), "row").select("row", "data")
+        .mapInArrow(_whole_sets(words, order), "row long, grams binary, odd array<long>"))
+    drop(branches)
+    if owned:
+        drop(base)
+    first = F.col("size") - F.ceil(F.col("size") * num / den) + 1
+    own = found.groupBy("row").agg((F.max(first) - F.count(F.lit(1))).alias("own"))
+    entries = stored(found.join(sets.select("row", "odd").join(own, "row"), "row"))
+    drop(found)
     links = stored(entries.select(F.col("row").alias("a"), F.col("row").alias("b")).limit(0))
-    labels = None
-    rows = entries.count()
-    rounds = 0
-    while True:
-        named = entries if labels is None else (
+    labels = components(links)
+    rows, before, turn, last = entries.count(), None, 0, False
+    while not last:
+        named = stored(
             entries.join(labels.withColumnRenamed("node", "row"), "row", "left")
             .withColumn("root", F.coalesce("root", "row")))
-        if labels is None:
-            named = named.withColumn("root", F.col("row"))
-        named = stored(named)
-        per_root = named.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("n"))
-        counts = (
-            per_root.groupBy("gram")
-            .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same")).where("n * n > same"))
-        counts = stored(counts)
-        left = counts.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()[0] or 0
-        if not left:
-            drop(named, counts)
-            break
-        open_ = named.join(counts.select("gram"), "gram")
-        last_round = left <= 2 * rows or rounds >= 6
-        if last_round:
-            other = open_.select(
-                "gram", F.col("row").alias("p"), F.col("root").alias("p_root"), F.col("size").alias("p_size"),
-                F.col("place").alias("p_place"))
-            pairs = (
-                open_.join(other, "gram").where("row > p AND root <> p_root").where(_may_link(num, den))
-                .select(F.col("row").alias("x"), "p", "size", "p_size").distinct())
-        else:
-            # Another pivot each round: the smallest number, then the smallest hash with the round.
-            by = F.col("row") if rounds == 0 else F.xxhash64("row", F.lit(rounds))
-            pivot = (
-                open_.groupBy("gram").agg(F.min_by(F.struct("row", "root", "size", "place"), by).alias("o"))
-                .select("gram", F.col("o.row").alias("p"), F.col("o.root").alias("p_root"),
-                        F.col("o.size").alias("p_size"), F.col("o.place").alias("p_place")))
-            pairs = (
-                open_.join(pivot, "gram").where("row <> p AND root <> p_root")
-                .where(den * F.least("size", "p_size") >= num * F.greatest("size", "p_size"))
-                .select(F.col("row").alias("x"), "p", "size", "p_size").distinct())
-        pairs = (
-            pairs.join(classes.select(F.col("row").alias("x"), F.col("classes").alias("x_classes")), "x")
-            .join(classes.select(F.col("row").alias("p"), F.col("classes").alias("p_classes")), "p")
-            .where(F.aggregate(F.zip_with("x_classes", "p_classes", lambda a, b: F.least(a, b)), F.lit(0),
-                               lambda s, v: s + v) * (num + den) >= num * (F.col("size") + F.col("p_size")))
-            .select("x", "p"))
-        pairs = stored(pairs)
+        sizes = named.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("n"))
+        counts = stored(
+            sizes.groupBy("gram").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
+            .where("n * n > same"))
+        # Pairs across components that are still open; pivots go on as long as they settle most of them.
+        left = counts.agg(F.sum(F.col("n") * F.col("n") - F.col("same"))).first()[0] or 0
+        last = left <= 4 * rows or (before is not None and 2 * left > before)
+        pairs = stored(
+            _pairs_across(named, counts, num, den) if last else _pairs_with_pivots(named, counts, num, den, turn))
         found = compare(pairs, sets, num, den, order)
         more = stored(links.union(found.select(F.col("x").alias("a"), F.col("p").alias("b"))))
         drop(links, found, pairs, named, counts)
-        links = more
-        labels = components(links)
-        rounds += 1
-        if last_round:
-            break
+        links, labels, before, turn = more, components(more), left, turn + 1
     drop(entries, sets)
-    return labels if labels is not None else links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return labels
+
+
+def classes_of(base: DataFrame, words: int, num: int, den: int, owned: bool) -> DataFrame:
+    """:func:`similar_classes` of stored and numbered rows (row, doc_id, data)."""
+    doc_id = base.schema["doc_id"].dataType.simpleString()
+    keys = stored(base.select("row", "doc_id", "data").mapInArrow(
+        _keys(words), f"row long, doc_id {doc_id}, high long, low long, size long"))
+    labels = link(base, keys, words, num, den, owned)
+    named = keys.where("size > 0")
+    sets = named.groupBy("high", "low").agg(
+        F.min("row").alias("node"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    rooted = stored(sets.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    smallest = stored(rooted.groupBy("root").agg(F.min("first").alias("least")))
+    classes = stored(rooted.join(smallest, "root").select("high", "low", "least"))
+    drop(rooted, smallest)
+    linked = (
+        named.join(classes, ["high", "low"])
+        .select("row", "doc_id", F.col("size").alias("n_shingles"), F.col("least.doc_id").alias("component_id"),
+                (F.col("least.row") == F.col("row")).alias("leader")))
+    alone = keys.where("size = 0").select(
+        "row", "doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"),
+        F.lit(True).alias("leader"))
+    return linked.union(alone)
+
+
+def _check(num: int, den: int) -> None:
+    if not 0 < num <= den:
+        raise ValueError("the threshold is above 0 and at most 1")
 
 
 def similar_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -324,23 +369,15 @@ def similar_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     leader. Equal rows are linked like any copies. Null doc_ids never name a class with another doc_id.
     Other columns are not read; an empty table gives an empty result.
     """
-    if not 0 < num <= den:
-        raise ValueError("the threshold is above 0 and at most 1")
+    _check(num, den)
     base = numbered(spread(docs), F.col("doc_id"), F.coalesce(F.encode("text", "UTF-8"), F.lit(b"")).alias("data"))
-    keys = stored(base.select("row", "data").mapInArrow(_keys(words), "row long, high long, low long, size long"))
-    labels = link(base, keys, words, num, den)
-    named = keys.where("size > 0").join(base.select("row", "doc_id"), "row")
-    sets = stored(named.groupBy("high", "low").agg(
-        F.min("row").alias("node"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")))
-    rooted = sets.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("least"))
-    classes = rooted.join(smallest, "root").select("high", "low", "least")
-    linked = (
-        named.join(classes, ["high", "low"])
-        .select("row", "doc_id", F.col("size").alias("n_shingles"), F.col("least.doc_id").alias("component_id"),
-                (F.col("least.row") == F.col("row")).alias("leader")))
-    alone = (
-        base.select("row", "doc_id").join(keys.where("size = 0"), "row")
-        .select("row", "doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"),
-                F.lit(True).alias("leader")))
-    return linked.union(alone)
+    return classes_of(base, words, num, den, owned=True)
+
+
+def distinct_documents(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """Rows of ``docs``, all columns, without those that :func:`similar_classes` links to a leader."""
+    _check(num, den)
+    whole = numbered(spread(docs), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    base = whole.select("row", "doc.doc_id", F.coalesce(F.encode("doc.text", "UTF-8"), F.lit(b"")).alias("data"))
+    leaders = classes_of(base, words, num, den, owned=False).where("leader").select("row")
+    return whole.join(leaders, "row").select("doc.*")
