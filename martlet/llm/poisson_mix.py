@@ -61,13 +61,13 @@ def rates(
         for name, value in weights.items():
             weight = F.when(F.col("source") == name, F.lit(float(value))).otherwise(weight)
     sizes = sizes.withColumn("weight", weight)
-    total = sizes.where("bytes > 0").agg(
-        F.sum("weight").alias("all_weight"), F.sum("bytes").alias("all_bytes"))
+    weighed = sizes.where("bytes > 0")
+    all_weight, all_bytes = (weighed.agg(F.sum(c)).scalar() for c in ("weight", "bytes"))
     rate = F.when(F.col("bytes") > 0, F.coalesce(
-        F.lit(float(epochs)) * F.col("all_bytes") * F.col("weight") / (F.col("all_weight") * F.col("bytes")),
+        F.lit(float(epochs)) * all_bytes * F.col("weight") / (all_weight * F.col("bytes")),
         F.lit(0.0))).otherwise(F.lit(float(epochs)))
     return stored(
-        sizes.crossJoin(F.broadcast(total)).select("source", "docs", "bytes", rate.alias("rate"))  # one row
+        sizes.select("source", "docs", "bytes", rate.alias("rate"))
         .mapInPandas(_with_steps, "source string, docs long, bytes long, rate double, steps array<double>"))
 
 
