@@ -145,7 +145,8 @@ def repeated_windows(base: DataFrame, window: int = WINDOW) -> DataFrame:
     """Ranges (row, first, last) of starts of windows that also start elsewhere in ``base``(row, data)."""
     count = F.count(F.lit(1))
     grams = base.select("data").mapInArrow(_grams(window), "gram long")
-    multiple = grams.groupBy("gram").agg(count.alias("n")).where("n > 1").select("gram")
+    # Stored, as are the other sides of joins with hot keys: a join of two plain inputs can be split.
+    multiple = stored(grams.groupBy("gram").agg(count.alias("n")).where("n > 1").select("gram"))
     members = stored(
         base.select("row", "data")
         .mapInArrow(_spans(window), "gram long, span long, row long, at int, first int, last int")
@@ -156,7 +157,7 @@ def repeated_windows(base: DataFrame, window: int = WINDOW) -> DataFrame:
         .agg(count.alias("n"), F.min(F.struct("row", "at", "first", "last")).alias("one")))
     settled = members.join(parts.where("n > 1").select("gram", "span"), ["gram", "span"])
     alone = parts.where("n = 1")
-    unsettled = alone.select("gram").distinct()
+    unsettled = stored(alone.select("gram").distinct())
     place = F.struct(F.col("one.at"), F.col("one.first"), F.col("one.last"), (F.col("n") == 1).alias("open"),
                      F.least("n", F.lit(2)).cast("int").alias("weight"))
     needed = (
@@ -165,7 +166,7 @@ def repeated_windows(base: DataFrame, window: int = WINDOW) -> DataFrame:
     schema = ("row long, at int, first int, last int, open boolean, weight int, block int, core long, "
               "left binary, right binary")
     blocks = stored(base.join(needed, "row").select("row", "data", "places").mapInArrow(_blocks(window), schema))
-    live = (
+    live = stored(
         blocks.groupBy("core").agg(F.sum("weight").alias("n"), F.max("open").alias("open"))
         .where("n > 1 AND open").select("core"))
     live_blocks = stored(blocks.join(live, "core"))
@@ -181,7 +182,7 @@ def repeated_windows(base: DataFrame, window: int = WINDOW) -> DataFrame:
         .select("row", F.greatest("first", F.col("at") - far).cast("int").alias("first"),
                 F.least("last", F.col("at") - near).cast("int").alias("last")))
     # Single strings: k bytes of the left remainder and width - k of the right one round the core.
-    unequal = contents.where("n = 1 AND open").select("core").distinct()
+    unequal = stored(contents.where("n = 1 AND open").select("core").distinct())
     width = far - near
     k = F.col("k")
     strings = (
@@ -199,14 +200,14 @@ def repeated_windows(base: DataFrame, window: int = WINDOW) -> DataFrame:
             (F.col("one.at") - F.col("near") - k).cast("int").alias("start"),
             F.col("one.first").alias("first"), F.col("one.last").alias("last")))
     strings = stored(strings)
-    again = (
+    again = stored(
         strings.groupBy("string").agg(F.sum("n").alias("n"), F.max("open").alias("open"))
         .where("n > 1 AND open").select("string"))
     single = (
         strings.where("open AND start BETWEEN first AND last").join(again, "string")
         .select("row", F.col("start").alias("first"), F.col("start").alias("last")))
     ranges = stored(settled.select("row", "first", "last").union(same).union(single))
-    drop(members, parts, blocks, live_blocks, contents, strings)
+    drop(multiple, members, parts, unsettled, blocks, live, live_blocks, contents, unequal, strings, again)
     return ranges
 
 
