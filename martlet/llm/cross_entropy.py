@@ -1,138 +1,177 @@
 """Score documents by the difference of two language models' losses per word.
 
-A target model and a background model share one vocabulary: the ``words`` most frequent words of the whole
-corpus, and classes of unknown words by length. Both are bigram models, interpolated with unigrams by the
-variety of followers, from counts over all their documents; the background is all documents. A model is a
-square table over the vocabulary, so its size is a parameter, while what is counted follows the corpus.
+A target model and a background model share one vocabulary, all words of the corpus. Both are bigram models,
+interpolated with unigrams by the variety of followers, from counts over all their documents; the background is
+all documents. Counts of words and bigrams are tables keyed by hash that grow with the corpus. No machine holds
+them whole: the losses of the bigrams are joined to the bigrams of each text and summed. This is done in slices
+of the words that come first, each over all texts, so that fewer bigrams are on disk at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.common import spread
+from martlet.llm.common import drop, spread, stored
 from martlet.llm.shingles import word_hashes
 from martlet.sizing import lookup_join
 
-WORDS = 2000
 _CLASSES = 15  # unknown words by number of bytes
-_EDGE = 1
-
-
-class Vocabulary:
-    """Numbers of words: the known ones in order of their hash, unknown ones by length, the text's edge last."""
-
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = np.sort(hashes)
-        self.size = len(hashes) + _CLASSES + _EDGE
-
-    def ids(self, data: bytes) -> np.ndarray:
-        """Word numbers of a text with an edge before the first."""
-        hashes = word_hashes(data)
-        known = len(self.hashes)
-        edge = np.array([self.size - 1])
-        if not len(hashes):
-            return edge
-        raw = np.frombuffer(data, np.uint8)
-        space = (raw == 0x20) | ((raw >= 0x09) & (raw <= 0x0D))
-        word = np.flatnonzero(~space)
-        starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1] + 1)))
-        lengths = np.diff(np.concatenate((starts, [len(word)])))
-        ids = known + np.minimum(lengths, _CLASSES) - 1
-        if known:
-            at = np.minimum(np.searchsorted(self.hashes, hashes), known - 1)
-            ids = np.where(self.hashes[at] == hashes, at, ids)
-        return np.concatenate((edge, ids))
-
-
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [word_hashes(x) for x in batch["data"].to_pylist()]
-        words, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64))], ["word", "n"])
-
-
-def _pair_counts(vocabulary):
+_EDGE = 0  # stands for the text's edge before its first word
+SLICES = 3
+_CHUNK = 1 << 20  # bytes of text hashed at a time
+_UNIT = 2.0**-24  # losses are summed as whole numbers of it, so that their order does not matter
+
+
+def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``_CHUNK`` bytes, or of one text."""
+    begin, size = 0, 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > _CHUNK:
+            yield begin, i
+            begin, size = i, 0
+        size += len(text) + 1
+    if texts:
+        yield begin, len(texts)
+
+
+def hashed_words(texts: list[bytes], known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of each word. With ``known`` (sorted) any other word is the number of its bytes, up to 15."""
+    data = b"\n".join(texts)
+    words = word_hashes(data)
+    if not len(words):
+        return np.zeros(0, np.int64), words
+    raw = np.frombuffer(data, np.uint8)
+    kept = np.flatnonzero((raw != 0x20) & ((raw < 0x09) | (raw > 0x0D)))
+    starts = np.flatnonzero(np.concatenate(([True], kept[1:] != kept[:-1] + 1)))
+    if known is not None:
+        at = np.minimum(np.searchsorted(known, words), max(len(known) - 1, 0))
+        lengths = np.minimum(np.diff(np.concatenate((starts, [len(kept)]))), _CLASSES).astype(np.uint64)
+        words = np.where(known[at] == words, words, lengths) if len(known) else lengths
+    return np.searchsorted(np.cumsum([len(x) + 1 for x in texts]), kept[starts], side="right"), words
+
+
+def _words(known):
+    """Rows (b, n, target): a word, how often it occurs, and how often in target documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = vocabulary.value
         for batch in batches:
-            for begin in range(0, batch.num_rows, 2000):
-                part = batch.slice(begin, 2000)
-                keys = []
-                for data, target in zip(part["data"].to_pylist(), part["target"].to_pylist()):
-                    ids = names.ids(data)
-                    keys.append((ids[:-1] * names.size + ids[1:]) * 2 + bool(target))
-                pairs, counts = np.unique(np.concatenate([np.zeros(0, np.int64), *keys]), return_counts=True)
-                target = counts * (pairs & 1)
+            texts, flags = batch["data"].to_pylist(), np.array(batch["target"].to_pylist(), bool)
+            for begin, end in _chunks(texts):
+                text, words = hashed_words(texts[begin:end], known and known.value)
+                kinds, of, n = np.unique(words, return_inverse=True, return_counts=True)
+                target = np.bincount(of, flags[begin:end][text], len(kinds)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(pairs >> 1), pa.array(counts.astype(np.int64)), pa.array(target.astype(np.int64))],
-                    ["pair", "n", "target"])
+                    [pa.array(kinds.view(np.int64)), pa.array(n), pa.array(target)], ["b", "n", "target"])
     return run
 
 
-def losses(counts: np.ndarray) -> np.ndarray:
-    """Loss (negative natural logarithm) of each word after each word, from a square of counts."""
-    size = len(counts)
-    words = counts.sum(0)
-    alone = (words + 1) / (words.sum() + size)
-    total = counts.sum(1, keepdims=True)
-    kinds = (counts > 0).sum(1, keepdims=True)
-    return -np.log((counts + np.maximum(kinds, 1) * alone) / (total + np.maximum(kinds, 1))).astype(np.float32)
-
-
-def _score(vocabulary, tables):
+def _bigrams(known, part: int, parts: int, columns: list[str]):
+    """Rows (a, b, n) and ``columns`` of a text: ``n`` times word b after word a of slice ``part`` of ``parts``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, (target, background) = vocabulary.value, tables.value
         for batch in batches:
-            rows = []
-            for data in batch["data"].to_pylist():
-                ids = names.ids(data)
-                n = len(ids) - 1
-                sums = [float(t[ids[:-1], ids[1:]].sum(dtype=np.float64)) / n if n else 0.0 for t in (target, background)]
-                rows.append((n, *sums, sums[0] - sums[1]))
-            columns = list(zip(*rows)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(columns[0], pa.int64()), *(pa.array(c, pa.float64()) for c in columns[1:])],
-                ["doc_id", "n_words", "target_loss", "background_loss", "score"])
+            texts = batch["data"].to_pylist()
+            for begin, end in _chunks(texts):
+                text, b = hashed_words(texts[begin:end], known and known.value)
+                a = np.concatenate((np.full(min(1, len(b)), _EDGE, np.uint64), b[:-1]))
+                a[1:][text[1:] != text[:-1]] = _EDGE
+                own = a % np.uint64(parts) == part
+                text, a, b = text[own], a[own], b[own]
+                order = np.lexsort((b, a, text))
+                text, a, b = text[order], a[order], b[order]
+                new = np.ones(len(b), bool)
+                new[1:] = (text[1:] != text[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+                first = np.flatnonzero(new)
+                n = np.diff(np.concatenate((first, [len(b)])))
+                of = pa.array(text[first] + begin)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a[first].view(np.int64)), pa.array(b[first].view(np.int64)), pa.array(n),
+                     *(batch[c].take(of) for c in columns)], ["a", "b", "n", *columns])
     return run
 
 
-def score(docs: DataFrame, targets: DataFrame, words: int = WORDS) -> DataFrame:
+def _loss(n: Column, total: Column, kinds: Column, word: Column, words: int, size: int) -> Column:
+    """Loss (negative natural logarithm) of a word after another one, in units."""
+    kinds = F.greatest(kinds, F.lit(1))
+    alone = (word + 1) / F.lit(float(words + size))
+    return F.round(-F.log((n + kinds * alone) / (total + kinds)) / _UNIT).cast("long")
+
+
+def _bigram_losses(counts: DataFrame, single: DataFrame, words: int, target_words: int, size: int) -> DataFrame:
+    """(pair, target_loss, background_loss), losses in units, of bigrams (a, b, n, target) with all followers of each a."""
+    followed = stored(counts.groupBy("a").agg(
+        F.sum("n").alias("n_a"), F.sum("target").alias("target_a"),
+        F.count(F.lit(1)).alias("kinds"), F.sum((F.col("target") > 0).cast("long")).alias("target_kinds")))
+    c = F.col
+    losses = stored(counts.join(followed, "a").join(single, "b").select(
+        _pair().alias("pair"),
+        _loss(c("target"), c("target_a"), c("target_kinds"), c("target_b"), target_words, size).alias("target_loss"),
+        _loss(c("n"), c("n_a"), c("kinds"), c("n_b"), words, size).alias("background_loss")))
+    drop(followed)
+    return losses
+
+
+def _pair() -> Column:
+    return F.xxhash64("a", "b")
+
+
+def score(docs: DataFrame, targets: DataFrame, words: int | None = None, slices: int = SLICES) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, target_loss, background_loss, score (their difference).
 
     ``targets`` holds the doc_ids of target documents; a low score is close to them. Words are split at
     ASCII white space and A-Z lowered. Losses are natural logarithms per word, the first word following the
     text's edge; a null or wordless text has 0 words and score 0. Repeated ids in ``targets`` count once;
     null ids match nothing. With no target document the target model is uniform. Equal rows count each.
-    Words of equal frequency enter the vocabulary by their hash. Other columns are not read; an empty table
-    gives an empty result.
+    Other columns are not read; an empty table gives an empty result.
+
+    All words are known. On request only the ``words`` most frequent are, of equal ones those of the lower
+    hash, and the others are classes by length; the hashes of the known ones are then sent to all tasks. Words
+    and bigrams are compared by 64-bit hashes, texts by two. ``slices`` changes no result.
     """
     spark = docs.sparkSession
     wanted = targets.select(F.col("doc_id").alias("_target")).where("_target IS NOT NULL").distinct()
     data = F.coalesce(F.encode("text", "UTF-8"), F.lit(b"")).alias("data")
+    digest = [F.xxhash64("text").alias("d1"), F.xxhash64(F.lit(1), "text").alias("d2")]
+    texts = spread(docs.select("doc_id", "text"))
     flagged = (
-        lookup_join(spread(docs.select("doc_id", "text")), wanted, F.col("doc_id") == F.col("_target"), "left")
-        .select("doc_id", data, F.col("_target").isNotNull().alias("target")))
-    common = (
-        spread(docs.select("text")).select(data).mapInArrow(_word_counts, "word long, n long")
-        .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words).toArrow())
-    vocabulary = Vocabulary(common["word"].to_numpy().astype(np.int64).view(np.uint64))
-    names = spark.sparkContext.broadcast(vocabulary)
-    pairs = (
-        flagged.select("data", "target").mapInArrow(_pair_counts(names), "pair long, n long, target long")
-        .groupBy("pair").agg(F.sum("n").alias("n"), F.sum("target").alias("target")).toArrow())  # vocabulary squared at most
-    tables = []
-    for column in ("target", "n"):
-        counts = np.zeros(vocabulary.size**2)
-        counts[pairs["pair"].to_numpy()] = pairs[column].to_numpy()
-        tables.append(losses(counts.reshape(vocabulary.size, -1)))
-    doc_id = docs.schema["doc_id"].dataType.simpleString()
-    return spread(docs.select("doc_id", "text")).select("doc_id", data).mapInArrow(
-        _score(names, spark.sparkContext.broadcast(tuple(tables))),
-        f"doc_id {doc_id}, n_words long, target_loss double, background_loss double, score double")
+        lookup_join(texts, wanted, F.col("doc_id") == F.col("_target"), "left")
+        .select(data, F.col("_target").isNotNull().alias("target")))
+
+    def word_counts(known):
+        return flagged.mapInArrow(_words(known), "b long, n long, target long").groupBy("b").agg(
+            F.sum("n").alias("n_b"), F.sum("target").alias("target_b"))
+
+    known = None
+    if words is not None:
+        common = word_counts(None).orderBy(F.desc("n_b"), "b").limit(words).select("b").toArrow()
+        known = spark.sparkContext.broadcast(np.sort(common["b"].to_numpy().astype(np.int64).view(np.uint64)))
+    single = stored(word_counts(known))
+    distinct, total, target_total = single.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("n_b"), F.lit(0)), F.coalesce(F.sum("target_b"), F.lit(0))).first()
+    size = (distinct if known is None else len(known.value)) + _CLASSES + 1
+    n, sums = F.col("n"), []
+    for part in range(slices):
+        counts = stored(
+            flagged.mapInArrow(_bigrams(known, part, slices, ["target"]), "a long, b long, n long, target boolean")
+            .groupBy("a", "b").agg(F.sum(n).alias("n"), F.sum(F.when(F.col("target"), n).otherwise(0)).alias("target")))
+        losses = _bigram_losses(counts, single, total, target_total, size)
+        drop(counts)
+        own = texts.select(data, *digest).mapInArrow(
+            _bigrams(known, part, slices, ["d1", "d2"]), "a long, b long, n long, d1 long, d2 long")
+        sums.append(stored(
+            own.select("d1", "d2", _pair().alias("pair"), "n").join(losses, "pair").groupBy("d1", "d2").agg(
+                F.sum("n").alias("n"), *(F.sum(n * F.col(c)).alias(c) for c in ("target_loss", "background_loss")))))
+        drop(losses)
+    drop(single)
+    means = [(F.sum(c) * F.lit(_UNIT) / F.sum("n")).alias(c) for c in ("target_loss", "background_loss")]
+    scored = stored(reduce(DataFrame.unionAll, sums).groupBy("d1", "d2").agg(*means))
+    drop(*sums)
+    n_words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    none = F.lit(0.0)
+    return docs.select("doc_id", n_words.alias("n_words"), *digest).join(scored, ["d1", "d2"], "left").select(
+        "doc_id", "n_words", *(F.coalesce(c, none).alias(c) for c in ("target_loss", "background_loss")),
+        (F.coalesce("target_loss", none) - F.coalesce("background_loss", none)).alias("score"))

@@ -146,6 +146,31 @@ def test_scores_equal_plain_models(spark):
     assert cross_entropy.score(table(spark, []), targets).count() == 0
 
 
+def test_all_words_are_known(spark):
+    r = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{x}" for x in r.permutation(2100))) for i in range(3)]
+    rows += [(10, "rosy fern"), (11, "rosy  FERN"), (12, "drab clay"), (13, "\u2003 x"), (14, " \n"), (10, "rosy fern")]
+    got = cross_entropy.score(table(spark, rows), spark.createDataFrame([(10,)], "doc_id long")).collect()
+    assert sorted(x.doc_id for x in got) == sorted(i for i, _ in rows)
+    texts = [["^", *(w for w in t.lower().replace("\n", " ").split(" ") if w)] for _, t in rows]
+    good = [t for (i, _), t in zip(rows, texts) if i == 10]
+    size = len({w for t in texts for w in t[1:]}) + 15 + 1
+
+    def loss(model, text):
+        pairs, single = Counter(p for t in model for p in zip(t, t[1:])), Counter(w for t in model for w in t[1:])
+        after, kinds = Counter(w for t in model for w in t[:-1]), Counter(a for a, _ in pairs)
+        return -sum(
+            math.log((pairs[a, b] + max(1, kinds[a]) * (single[b] + 1) / (single.total() + size)) / (after[a] + max(1, kinds[a])))
+            for a, b in zip(text, text[1:])) / max(1, len(text) - 1)
+
+    want = {i: (loss(good, t), loss(texts, t), len(t) - 1) for (i, _), t in zip(rows, texts)}
+    for x in got:
+        assert abs(x.target_loss - want[x.doc_id][0]) < 1e-5 and abs(x.background_loss - want[x.doc_id][1]) < 1e-5
+        assert x.n_words == want[x.doc_id][2]
+    scores = {x.doc_id: x.score for x in got}
+    assert scores[10] == scores[11] < scores[12] - 1  # they differ in rare words of equal lengths only
+
+
 def test_scores_tell_good_documents_apart(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
