@@ -32,7 +32,7 @@ END = 1
 _UNITS = 1 << 16  # resolution of weights
 
 
-def _tokenise(path: str, end: int):
+def _tokenise(path: str, end: int, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, sums = TaskContext.get().partitionId(), {}
         for batch in batches:
@@ -40,7 +40,7 @@ def _tokenise(path: str, end: int):
                 part = batch.slice(begin, 500)
                 ids, sizes, before = [], [], []
                 for text, queue in zip(part["text"].to_pylist(), part["queue"].to_pylist()):
-                    found = token_ids(text, path) if text else np.zeros(0, "<u4")
+                    found = token_ids(text, path, added) if text else np.zeros(0, "<u4")
                     ids.append(found.tobytes() + int(end).to_bytes(4, "little"))
                     sizes.append(len(found) + 1)
                     before.append(sums.get(queue, 0))
@@ -118,12 +118,12 @@ def _cut(queues: list[str], lengths: list[int], weights: list[int], quantum: int
 
 def pack(
     docs: DataFrame, weights: dict[str, float] | None = None, length: int = LENGTH, quantum: int = QUANTUM,
-    path: str = VOCABULARY, end: int = END,
+    path: str = VOCABULARY, end: int = END, added: bool = False,
 ) -> DataFrame:
     """Pieces of all documents: doc_id, queue, start, length, ids, doc_tokens, sequence_id, offset.
 
-    A document is the ids of its text (strings of special tokens are ordinary text) and ``end``; a null
-    or empty text is ``end`` alone. Its queue is its source, null included (named ``\\0``). ``weights``
+    A document is the ids of its text and ``end``; a null or empty text is ``end`` alone. Strings of the
+    vocabulary's added tokens are ordinary text, or with ``added`` their own ids. Its queue is its source, null included (named ``\\0``). ``weights``
     are target shares by source (0 or missing: the smallest share); by default the sources' own shares
     of all tokens, so that all queues run dry together. Every id is in exactly one piece, and all windows
     but the last are full. ``ids`` are little-endian unsigned 32-bit numbers. Equal rows are packed each.
@@ -135,7 +135,7 @@ def pack(
     doc_id = docs.schema["doc_id"].dataType.simpleString()
     base = stored(
         spread(docs).select("doc_id", "text", F.coalesce(F.col("source").cast("string"), F.lit("\u0000")).alias("queue"))
-        .mapInArrow(_tokenise(path, end),
+        .mapInArrow(_tokenise(path, end, added),
                     f"doc_id {doc_id}, queue string, task int, before long, tokens long, ids binary"))
     per_task = base.groupBy("queue", "task").agg(F.sum("tokens").alias("tokens"))
     earlier = F.sum("tokens").over(

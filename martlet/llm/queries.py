@@ -80,7 +80,7 @@ def op5_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in windows of 2048 tokens with the sources' own shares."""
-    return packing.digest(packing.pack(_table(spark, folder, "documents")))
+    return packing.digest(packing.pack(_table(spark, folder, "documents"), added=True))
 
 
 def op7_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:

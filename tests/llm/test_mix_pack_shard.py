@@ -5,7 +5,9 @@ import duckdb
 import numpy as np
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from martlet.llm import packing, poisson_mix, ring_shards
+from martlet.llm.queries import QUERIES
 from martlet.llm.tokens import VOCABULARY, token_ids
 
 SCHEMA = "doc_id long, text string, source string, copy int"
@@ -129,6 +131,21 @@ def test_ids_are_those_of_the_vocabulary_file():
         assert token_ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_the_ids_of_the_library(spark, tmp_path):
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    draw = np.random.default_rng(5)
+    parts = ["<|endoftext|>", "<|endoftext|", ">", " ", "  \n", "a", " b", "été", "🙂", "12"]
+    texts = ["a<|endoftext|>b", *("".join(draw.choice(parts, 8)) for _ in range(300))]
+    want = {t: tokenizer.encode(t, add_special_tokens=False).ids for t in texts}
+    assert want[texts[0]] == [64, 50256, 65]
+    assert all(token_ids(t, added=True).tolist() == ids for t, ids in want.items())
+    docs = spark.createDataFrame([(i, t, "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for out in (QUERIES["op6_packing"](spark, str(tmp_path)), corpus_pipeline.packed(spark, docs, "")):
+        got = {r.doc_id: r.doc_tokens for r in out.select("doc_id", "doc_tokens").collect()}
+        assert got == {i: len(want[t]) + 1 for i, t in enumerate(texts)}
+
+
 # Ring with bounded loads
 
 def test_ring_balances_and_numbers(spark):
