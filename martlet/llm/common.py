@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martlet.session import shared_folder
 
@@ -84,3 +85,22 @@ def spread(df: DataFrame) -> DataFrame:
     """Enough tasks for work that is heavy per row, where a small input has few splits."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def column(name: str) -> Column:
+    """A column by its name, whatever signs it holds."""
+    return F.col("`{}`".format(name.replace("`", "``")))
+
+
+def with_columns_mapped(df: DataFrame, run: Callable, added: list[T.StructField]) -> DataFrame:
+    """``df`` through ``mapInArrow`` with ``added`` columns in place of any of the same name.
+
+    ``run(names, at)`` makes the function of batches: ``names`` are those of its result, the kept columns first,
+    and ``at`` gives the place of a kept column. Inside, columns have plain names, so any name is allowed outside.
+    """
+    kept = [c for c in df.columns if c not in {f.name for f in added}]
+    rows = df.select(*[column(c) for c in kept])
+    fields = [*rows.schema.fields, *added]
+    plain = [f"c{i}" for i in range(len(fields))]
+    schema = T.StructType([T.StructField(n, f.dataType, f.nullable) for n, f in zip(plain, fields)])
+    return rows.toDF(*plain[:len(kept)]).mapInArrow(run(plain, kept.index), schema).toDF(*[f.name for f in fields])

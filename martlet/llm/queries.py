@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.llm import (
-    cross_entropy, language_mix, learned_partitions, ngram_join, norm_search, packing, poisson_mix, ring_shards,
+    bpe_stream, cross_entropy, language_mix, learned_partitions, ngram_join, norm_search, packing, poisson_mix, ring_shards,
     suffix_dedup, surrogates,
 )
 
@@ -106,6 +106,15 @@ def op10_language_mix(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", F.to_json("shares").alias("shares"))
 
 
+def op13_bpe_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of all documents by a streaming transducer, and the text that they decode to."""
+    encoded = bpe_stream.encode(_table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "ids")
+    numbers = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return bpe_stream.decode(encoded).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(numbers, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_learned_partitions": op2_learned_partitions,
@@ -117,4 +126,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ring_shards": op8_ring_shards,
     "op9_norm_buckets": op9_norm_buckets,
     "op10_language_mix": op10_language_mix,
+    "op13_bpe_stream": op13_bpe_stream,
 }
