@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.llm import (
-    bpe_stream, cross_entropy, language_mix, learned_partitions, ngram_join, norm_search, packing, poisson_mix, ring_shards,
-    suffix_dedup, surrogates,
+    bpe_stream, centroid_search, cross_entropy, language_mix, learned_partitions, ngram_join, norm_search, packing,
+    poisson_mix, ring_shards, suffix_dedup, surrogates,
 )
 
 #: Classes of documents as a join on shingles and the closure of its links; for small tables.
@@ -38,6 +38,7 @@ GROUP BY d.doc_id
 
 ORACLE: dict[str, str] = {
     "op3_ngram_jaccard": NGRAM_CLASSES, "op5_poisson_mix": poisson_mix.ORACLE, "op9_norm_buckets": norm_search.ORACLE,
+    "op11_centroid_search": centroid_search.oracle(),
 }
 
 #: Key of the surrogates in the registered query; a user passes one of their own.
@@ -106,6 +107,11 @@ def op10_language_mix(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", F.to_json("shares").alias("shares"))
 
 
+def op11_centroid_search(spark: SparkSession, folder: str) -> DataFrame:
+    """8 clusters of all vectors after 10 rounds, in whole numbers."""
+    return centroid_search.cluster(_table(spark, folder, "embeddings"), k=8, rounds=10, width=64, seed=3)
+
+
 def op13_bpe_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of all documents by a streaming transducer, and the text that they decode to."""
     encoded = bpe_stream.encode(_table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "ids")
@@ -126,5 +132,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ring_shards": op8_ring_shards,
     "op9_norm_buckets": op9_norm_buckets,
     "op10_language_mix": op10_language_mix,
+    "op11_centroid_search": op11_centroid_search,
     "op13_bpe_stream": op13_bpe_stream,
 }
