@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.llm import (
-    bpe_stream, centroid_search, cross_entropy, language_mix, learned_partitions, ngram_join, norm_search, packing,
-    poisson_mix, ring_shards, suffix_dedup, surrogates,
+    ball_tree, bpe_stream, centroid_search, cross_entropy, language_mix, learned_partitions, ngram_join, norm_search,
+    packing, poisson_mix, ring_shards, suffix_dedup, surrogates,
 )
 
 #: Classes of documents as a join on shingles and the closure of its links; for small tables.
@@ -39,6 +39,7 @@ GROUP BY d.doc_id
 ORACLE: dict[str, str] = {
     "op3_ngram_jaccard": NGRAM_CLASSES, "op5_poisson_mix": poisson_mix.ORACLE, "op9_norm_buckets": norm_search.ORACLE,
     "op11_centroid_search": centroid_search.oracle(),
+    "op12_ball_tree": ball_tree.ORACLE,
 }
 
 #: Key of the surrogates in the registered query; a user passes one of their own.
@@ -112,6 +113,11 @@ def op11_centroid_search(spark: SparkSession, folder: str) -> DataFrame:
     return centroid_search.cluster(_table(spark, folder, "embeddings"), k=8, rounds=10, width=64, seed=3)
 
 
+def op12_ball_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """10 documents with the highest scores for each benchmark item, exactly."""
+    return ball_tree.top_documents(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), k=10)
+
+
 def op13_bpe_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of all documents by a streaming transducer, and the text that they decode to."""
     encoded = bpe_stream.encode(_table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "ids")
@@ -133,5 +139,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_norm_buckets": op9_norm_buckets,
     "op10_language_mix": op10_language_mix,
     "op11_centroid_search": op11_centroid_search,
+    "op12_ball_tree": op12_ball_tree,
     "op13_bpe_stream": op13_bpe_stream,
 }
