@@ -36,7 +36,7 @@ TERMS = 1 << 20  # terms of items, repeated ones included, that are searched at
 DOCUMENTS = 1024  # documents of a tree
 ENTRIES = 1 << 18  # and their terms, from which on a tree is closed
 LEAF = 32
-GROUP = 16  # coordinates whose distances share a radius
+GROUP = 4  # coordinates whose distances share a radius; with all in one, leaves are hardly ever left out
 _PIECE = 1 << 20  # bytes of a text split at a time
 _ROOM = 1e-12  # share of the squares that a radius may lose to rounding
 _UP = 1 + 1e-6  # by how much bounds are raised; centroids are kept in single precision
@@ -83,7 +83,7 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 class Tree:
     """A ball tree of a block's documents; its parts are plain arrays, so that it can be stored."""
 
-    FIELDS = ("local", "lo", "hi", "child", "radii", "centre_at", "centre_node", "centre", "ptr", "term", "impact", "rows", "ids")
+    FIELDS = ("local", "lo", "hi", "child", "radii", "centre_at", "centre_node", "centre", "ptr", "term", "impact", "rows", "ids", "group")
 
     def __init__(self, **parts: np.ndarray):
         self.__dict__.update(parts)
@@ -141,7 +141,7 @@ class Tree:
             radii=np.array(radii), centre_at=np.searchsorted(places[order], np.arange(width + 1)).astype(np.int32),
             centre_node=nodes[order].astype(np.int16 if len(lo) < 1 << 15 else np.int32),
             centre=values[order].astype(np.float32), ptr=np.concatenate(([0], np.cumsum(sizes[perm]))),
-            term=term[at].astype(np.int32), impact=impact[at].astype(np.int32), rows=rows[perm], ids=ids[perm])
+            term=term[at].astype(np.int32), impact=impact[at].astype(np.int32), rows=rows[perm], ids=ids[perm], group=np.array(group))
 
     def dump(self) -> bytes:
         out = io.BytesIO()
@@ -155,12 +155,11 @@ class Tree:
 
     def bounds(self, place: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """What no document below each node exceeds, for a query's terms by their local place."""
-        group = -(-len(self.local) // self.radii.shape[1])
         root = np.sqrt(weight.astype(np.float64))
         sizes = self.centre_at[place + 1] - self.centre_at[place]
         at = _ranges(self.centre_at[place], sizes)
         middle = np.bincount(self.centre_node[at], self.centre[at] * np.repeat(root, sizes), len(self.lo))
-        own, of = np.unique(place // group, return_inverse=True)
+        own, of = np.unique(place // int(self.group), return_inverse=True)
         return (middle + self.radii[:, own] @ np.sqrt(np.bincount(of, weight))) * _UP + 1
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, least: int, leaves: int | None = None):

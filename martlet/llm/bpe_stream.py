@@ -19,6 +19,7 @@ import codecs
 import heapq
 import json
 import re
+import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -34,10 +35,11 @@ from martlet.llm.common import spread, with_columns_mapped
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 WINDOW = 4096  # symbols a transducer reads at a time beyond its lookahead
-_KEPT = 1 << 17  # words kept with their ids, and as many parts of words
+_KEPT = 3 << 16  # words kept with their ids, and as many parts of words
 _LONG = 256  # letters from which on a word is read as a stream
 _CHUNK = 1 << 16  # letters of a text split at a time
-_BATCH = 1 << 23  # letters of texts whose ids are returned together
+_NONE = (1 << 62, -1)  # no merge
+_BATCH = 1 << 22  # letters of texts whose ids are returned together
 # The contractions that the file's splitting pattern lists, and white space as it sees it.
 _SHORTS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 _BLANKS = "\t\n\v\f\r \x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
@@ -96,16 +98,19 @@ class Merges:
         """Tokens of a sequence of symbols."""
         if len(symbols) > 48:
             return self._apply_long(symbols)
-        out, rule, size = list(symbols), self.rule, self.size
-        while len(out) > 1:
-            best = at = None
-            for i in range(len(out) - 1):
-                found = rule.get(out[i] * size + out[i + 1])
-                if found is not None and (best is None or found < best):
-                    best, at = found, i
-            if best is None:
+        out, rule, size = list(symbols), self.rule.get, self.size
+        found = [rule(a * size + b, _NONE) for a, b in zip(out, out[1:])]  # the merge of each neighbouring pair
+        while found:
+            best = min(found)
+            if best is _NONE:
                 break
+            at = found.index(best)
             out[at:at + 2] = [best[1]]
+            del found[at]
+            if at:
+                found[at - 1] = rule(out[at - 1] * size + best[1], _NONE)
+            if at < len(found):
+                found[at] = rule(best[1] * size + out[at + 1], _NONE)
         return out
 
     def _apply_long(self, symbols: list[int]) -> list[int]:
@@ -229,50 +234,60 @@ class Vocabulary:
         self.parts = _Parts(self)
         self.words = _Words(self)
 
+    def symbols(self, part: str) -> list[int]:
+        """A symbol for each byte of a whole part of a word, the last one with the mark."""
+        data = part.encode()
+        out = list(map(self.inner.__getitem__, data))
+        out[-1] = self.last[data[-1]]
+        return out
 
-class _Parts(dict):
-    """Part of a word (letters, a number or other marks) to its ids."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.own = vocabulary
+class _Recent(dict):
+    """Results by word: the latest ``_KEPT`` ones, and those used among as many before them."""
 
-    def __missing__(self, part: str) -> list[int]:
-        data = part.encode()
-        ids = self.own.merges.apply([*(self.own.inner[b] for b in data[:-1]), self.own.last[data[-1]]])
+    def __init__(self, vocabulary: Vocabulary):
+        self.own, self.older = vocabulary, {}
+
+    def __missing__(self, key: str):
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+            if len(key) > _LONG:
+                return value
         if len(self) >= _KEPT:
+            self.older = dict(self)
             self.clear()
-        self[part] = ids
-        return ids
+        self[key] = value
+        return value
 
 
-class _Words(dict):
-    """What stands between white space to its ids as little-endian bytes."""
+class _Parts(_Recent):
+    """Part of a word (letters, a number or other marks) to its ids."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.own = vocabulary
+    def compute(self, part: str) -> list[int]:
+        return self.own.merges.apply(self.own.symbols(part))
+
+
+class _Words(_Recent):
+    """What stands between white space to its ids as little-endian bytes."""
 
-    def __missing__(self, word: str) -> bytes:
-        if len(word) > _LONG:
+    def compute(self, word: str) -> bytes:
+        if len(word) > _LONG or "<|" in word or ("'" in word and not word.isascii()):
             return b"".join(_bytes(x) for x in encoded((word,), self.own))
-        if word.isascii() and "<|" not in word:
-            parts = _ASCII.findall(word.lower())
-        elif "'" in word or "<|" in word:
-            parts = None
+        if word.isascii():
+            low = word.lower()
+            if low.isalpha():
+                return _bytes(self.own.merges.apply(self.own.symbols(low)))
+            parts = _ASCII.findall(low)
         else:
             low = self.own.normal(word)
-            parts = [low[m.start():m.end()] for m in _RUNS.finditer("".join(map(self.own.kinds.__getitem__, low)))]
-        if parts is None:
-            ids = [i for x in encoded((word,), self.own) for i in x]
-        else:
-            ids = [i for part in parts for i in self.own.parts[part]]
-        if len(self) >= _KEPT:
-            self.clear()
-        self[word] = _bytes(ids)
-        return self[word]
+            kinds = "".join(map(self.own.kinds.__getitem__, low))
+            parts = [low[m.start():m.end()] for m in _RUNS.finditer(kinds)]
+        return _bytes([i for part in parts for i in self.own.parts[part]])
 
 
 def _bytes(ids: list[int]) -> bytes:
-    return np.array(ids, "<i4").tobytes()
+    return struct.pack(f"<{len(ids)}i", *ids)
 
 
 @lru_cache(maxsize=4)
