@@ -96,19 +96,20 @@ def clustering_report(ws):
 
 @query("range_overlap", """
 WITH ranges AS (
-  SELECT o_custkey AS file, min(o_orderdate) AS low, max(o_orderdate) AS high FROM orders GROUP BY 1),
+  SELECT o_custkey, min(o_orderdate) AS low, max(o_orderdate) AS high FROM orders GROUP BY 1),
 counted AS (
-  SELECT a.file, a.low, a.high, count(*) - 1 AS overlaps,
-         count(*) FILTER (WHERE b.low <= a.low AND b.high >= a.low) AS depth
-  FROM ranges a JOIN ranges b ON b.low <= a.high AND b.high >= a.low GROUP BY a.file, a.low, a.high)
-SELECT count(*) AS total_partition_count, count(*) FILTER (WHERE low = high) AS total_constant_partition_count,
-       round(avg(overlaps), 4) AS average_overlaps, round(avg(depth), 4) AS average_depth
+  SELECT a.o_custkey, a.low, a.high, count(*) - 1 AS others,
+         count(*) FILTER (WHERE b.low <= a.low AND b.high >= a.low) AS at_start
+  FROM ranges a JOIN ranges b ON b.low <= a.high AND b.high >= a.low GROUP BY a.o_custkey, a.low, a.high)
+SELECT count(*) AS users, count(*) FILTER (WHERE low = high) AS users_of_one_moment,
+       round(avg(others), 4) AS average_overlapping, round(avg(at_start), 4) AS average_active_at_start
 FROM counted""")
 def range_overlap(ws):
-    # The sweep of the clustering report over ranges of a table: the days on which a user ordered.
+    """How many users' times from first to last order overlap, by a sweep over their ends."""
     ranges = ws.source("orders").groupBy(F.col("o_custkey").alias("file")).agg(
         F.min("o_orderdate").alias("low"), F.max("o_orderdate").alias("high"))
-    return layout.overlap_report(ranges)
+    return layout.overlap_report(ranges).toDF(
+        "users", "users_of_one_moment", "average_overlapping", "average_active_at_start")
 
 
 @query("pruned_day_sales", on_fact("""
