@@ -48,6 +48,15 @@ def read_log(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return reader.parquet(path)
 
 
+def _beside(right: DataFrame, key: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``right`` with its key renamed, and the condition that keys are equal, NULL equal to NULL."""
+    on = F.lit(True)
+    for i, name in enumerate(key):
+        right = right.withColumnRenamed(name, f"_other_{i}")
+        on = on & F.col(name).eqNullSafe(F.col(f"_other_{i}"))
+    return right, on
+
+
 def current_state(log: DataFrame, key: Sequence[str]) -> DataFrame:
     """Latest row per key that is not deleted, with the time the key was (last) inserted.
 
@@ -56,7 +65,8 @@ def current_state(log: DataFrame, key: Sequence[str]) -> DataFrame:
     """
     deleted = log.where(F.col(OP) == DELETE).groupBy(*key).agg(F.max(BATCH).alias("_deleted_in"))
     upserts = log.where(F.col(OP) == UPSERT)
-    alive = lookup_join(upserts, deleted, list(key), "left").where(
+    deleted, same = _beside(deleted, key)
+    alive = lookup_join(upserts, deleted, same, "left").where(
         F.col("_deleted_in").isNull() | (F.col(BATCH) > F.col("_deleted_in"))
     )
     payload = [c for c in log.columns if c not in key and c not in LOG_COLUMNS]
@@ -172,7 +182,8 @@ def expire(spark: SparkSession, log_path: str) -> list[int]:
 
 def only_new(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of ``source`` whose key ``target`` lacks: a merge that inserts but never updates."""
-    return source.join(target.select(*key), list(key), "left_anti")
+    other, same = _beside(target.select(*key), key)
+    return source.join(other, same, "left_anti")
 
 
 def update_rows(state: DataFrame, condition: Column, changes: dict[str, Column]) -> DataFrame:
@@ -198,8 +209,8 @@ def change_feed(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame
     """
     values = list(old.columns)
     before = old.select(*key, F.struct(*values).alias("_before"))
-    after = new.select(*key, F.struct(*values).alias("_after"))
-    both = before.join(after, list(key), "full").where(
+    after, same = _beside(new.select(*key, F.struct(*values).alias("_after")), key)
+    both = before.join(after, same, "full").where(
         ~F.col("_before").eqNullSafe(F.col("_after"))
     )
     is_update = F.col("_before").isNotNull() & F.col("_after").isNotNull()
@@ -220,8 +231,8 @@ def inserts(feed: DataFrame) -> DataFrame:
 
 def apply_feed(old: DataFrame, feed: DataFrame, key: Sequence[str]) -> DataFrame:
     """The table after the feed: the inverse of ``change_feed``."""
-    touched = feed.select(*key).distinct()
-    return old.join(touched, list(key), "left_anti").unionByName(
+    touched, same = _beside(feed.select(*key).distinct(), key)
+    return old.join(touched, same, "left_anti").unionByName(
         inserts(feed).drop("_action", "_is_update")
     )
 

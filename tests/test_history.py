@@ -98,8 +98,22 @@ def test_feed_actions(spark):
     assert not history.has_data(history.change_feed(old, old, KEY))
 
 
+def test_null_keys(spark):
+    """NULL is a key value: such rows are deleted, updated and left alone like any other."""
+    base = table(spark, [(None, 1, "x"), ("a", 1, "x")])
+    log = history.log_rows(base, 1, at("2026-01-01"))
+    gone = log.unionByName(history.log_rows(base.where("k IS NULL"), 2, at("2026-01-02"), "D"))
+    assert [tuple(r)[:2] for r in history.current_state(gone, KEY).collect()] == [("a", 1)]
+    assert not history.has_data(history.change_feed(base, base, KEY))
+    assert history.only_new(base, base, KEY).count() == 0
+    changed = table(spark, [(None, 2, "x"), ("a", 1, "x")])
+    feed = history.change_feed(base, changed, KEY)
+    assert rows(feed) == sorted([(None, 1, "x", "DELETE", True), (None, 2, "x", "INSERT", True)], key=repr)
+    assert rows(history.apply_feed(base, feed, KEY)) == rows(changed)
+
+
 keyed = st.dictionaries(
-    st.sampled_from("abcdef"),
+    st.sampled_from([*"abcde", None]),
     st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.sampled_from("xy"))),
     max_size=6)
 
