@@ -2,7 +2,7 @@
 
 import importlib
 
-QUERY_MODULES = ("relational", "windows", "events", "history", "serving", "text")
+QUERY_MODULES = ("relational", "windows", "events", "history", "changes", "serving", "text")
 
 
 def load_catalogue():

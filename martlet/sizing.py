@@ -24,6 +24,8 @@ LIMITS = {
     "segmentRows": 8_000_000,
     # Rows per output file of a clustered write (about 128-256 MB of fact rows).
     "fileRows": 4_000_000,
+    # Keys that are looked up one by one in a table, by its buckets and row groups.
+    "lookupKeys": 1_000,
     # Items of one JSON document; a larger event is delivered in several documents.
     "documentItems": 1_000,
 }
