@@ -27,6 +27,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
@@ -35,11 +36,11 @@ from martlet.llm.common import spread, with_columns_mapped
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 WINDOW = 4096  # symbols a transducer reads at a time beyond its lookahead
-_KEPT = 3 << 16  # words kept with their ids, and as many parts of words
+_KEPT = 1 << 17  # words kept with their ids, and as many parts of words
 _LONG = 256  # letters from which on a word is read as a stream
 _CHUNK = 1 << 16  # letters of a text split at a time
 _NONE = (1 << 62, -1)  # no merge
-_BATCH = 1 << 22  # letters of texts whose ids are returned together
+_BATCH = 1 << 22  # bytes of texts whose ids are returned together
 # The contractions that the file's splitting pattern lists, and white space as it sees it.
 _SHORTS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 _BLANKS = "\t\n\v\f\r \x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
@@ -448,9 +449,9 @@ def _encode(path: str, names: list[str], at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = vocabulary(path)
         for batch in batches:
-            texts = [x or "" for x in batch.column(at).to_pylist()]
-            for begin, end in _slices([len(x) for x in texts], _BATCH):
-                ids = [token_ids(x, own) for x in texts[begin:end]]
+            column = batch.column(at)
+            for begin, end in _slices(pc.binary_length(column).fill_null(0).to_pylist(), _BATCH):
+                ids = [token_ids(x or "", own) for x in column.slice(begin, end - begin).to_pylist()]
                 offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids), pa.int32()))
                 yield pa.RecordBatch.from_arrays([*batch.slice(begin, end - begin).columns, lists], names)
