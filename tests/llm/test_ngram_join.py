@@ -2,9 +2,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from martlet.llm.components import components
-from martlet.llm.ngram_join import similar_classes, tree_overlaps
+from martlet.llm import ngram_join
+from martlet.llm.ngram_join import Order, similar_classes, tree_overlaps
 from martlet.llm.shingles import shingle_set, word_hashes
 
 SCHEMA = "doc_id long, text string, size int"
@@ -100,3 +102,32 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = dict(tuple(x) for x in components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+
+
+def test_first_grams_from_stored_heads():
+    """From the smallest n-grams of a set, those that come first in the order, or the word that they do not do."""
+    r = np.random.default_rng(9)
+    shorts = 0
+    for density in (0.0, 0.1, 0.5, 0.9, 1.0):
+        order = Order(np.packbits(r.random(1 << 12) < density).astype(np.uint8))
+        sets = [np.unique(r.integers(0, 2**63, r.integers(1, 300)).astype(np.uint64)) for _ in range(60)]
+        sizes = [len(x) for x in sets]
+        heads = [x[:ngram_join._stored_of(len(x), 85, 100)].tobytes() for x in sets]
+        batch = pa.RecordBatch.from_arrays([pa.array(sizes), pa.array(heads, pa.binary())], ["size", "head"])
+        grams, of, place, short = ngram_join._places(batch, 85, 100, order)
+        shorts += len(short)
+        for i, whole in enumerate(sets):
+            want = order.sort(whole)[:ngram_join._first(len(whole), 85, 100)].view(np.int64).tolist()
+            own = sorted(zip(place[of == i].tolist(), grams[of == i].tolist()))
+            assert own == ([] if i in short else list(enumerate(want)))
+    assert shorts > 20
+
+
+def test_sets_that_stored_heads_do_not_reach(spark):
+    """Many near copies of long texts: their n-grams are frequent, so whole sets are read again."""
+    r = random.Random(11)
+    words = [f"v{i}" for i in range(300)]
+    texts = [" ".join(words[:i] + [f"x{i}"] + words[i + 1:]) for i in r.sample(range(300), 14)]
+    rows = [(i, t, 0) for i, t in enumerate(texts)] + [(50 + i, " ".join(r.choices(words, k=200)), 0) for i in range(5)]
+    got = similar_classes(spark.createDataFrame(rows, SCHEMA), 4, 85, 100).collect()
+    assert sorted((g.doc_id, g.n_shingles, g.component_id) for g in got) == brute(rows, 4, 85, 100)
