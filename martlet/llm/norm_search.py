@@ -26,7 +26,7 @@ BUCKET = 2048
 BLOCK = 512
 COORDINATES = 3
 HIGH = 0.55  # local cosine from which coordinates prune more than lengths
-_EXACT = float(1 << 53)
+_EXACT, _EXACT_LONG, _LONG = float(1 << 53), float(1 << 62), (1 << 63) - 1
 
 
 def select(unit: np.ndarray, lengths: np.ndarray, query: np.ndarray, bound: float) -> np.ndarray:
@@ -57,22 +57,35 @@ def select(unit: np.ndarray, lengths: np.ndarray, query: np.ndarray, bound: floa
     return np.flatnonzero(keep)
 
 
+def exact(data: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same whole numbers in the fastest type that holds all their products exactly."""
+    if not data.size or not queries.size:
+        return data, queries
+    most = float(np.abs(data).max()) * float(np.abs(queries).max()) * data.shape[1]
+    if most < _EXACT:
+        return data, queries
+    if most < _EXACT_LONG:
+        return data.astype(np.int64), queries.astype(np.int64)
+    return tuple(np.array([[int(x) for x in row] for row in m], object).reshape(m.shape) for m in (data, queries))
+
+
 def _products(bucket: dict, block: dict, bounds: np.ndarray, k: int) -> list[tuple]:
     """Per query of the block its first ``k`` of the bucket, as (row, id, rows, ids, products)."""
     rows, ids, data = unpack(bucket)
     query_rows, query_ids, queries = unpack(block)
     data, queries = same_width(data, queries)
-    if data.size and queries.size and np.abs(data).max() * np.abs(queries).max() * data.shape[1] >= _EXACT:
-        raise OverflowError("products of these vectors do not fit 53 bits")
+    whole, whole_queries = exact(data, queries)
     lengths = np.sqrt((data * data).sum(1))
     order = np.argsort(-lengths, kind="stable")
-    rows, ids, data, lengths = rows[order], ids[order], data[order], lengths[order]
+    rows, ids, data, whole, lengths = rows[order], ids[order], data[order], whole[order], lengths[order]
     unit = data / np.maximum(lengths, 1e-300)[:, None]
     parts = []
-    for row, query_id, query, bound in zip(query_rows.tolist(), query_ids.tolist(), queries, bounds):
+    for row, query_id, query, numbers, bound in zip(query_rows.tolist(), query_ids.tolist(), queries, whole_queries, bounds):
         near = select(unit, lengths, query, bound)
         near = near[rows[near] != row]
-        products = data[near] @ query
+        products = whole[near] @ numbers
+        if products.dtype == object:  # beyond a long stands the largest one, or the smallest
+            products = np.array([min(max(int(x), -_LONG), _LONG) for x in products], np.int64)
         top = best(-products, ids[near], k)
         top = top[products[top] >= bound]
         parts.append((row, query_id, rows[near[top]], ids[near[top]], products[top]))
@@ -86,7 +99,8 @@ def _first_bounds(k: int):
             for pair in batch.to_pylist():
                 none = np.full(pair["block"]["size"], -np.inf)
                 parts = _products(pair["bucket"], pair["block"], none, k)
-                bounds = np.array([p[4][k - 1] if len(p[4]) == k else -np.inf for p in parts])
+                bounds = np.array([float(p[4][k - 1]) if len(p[4]) == k else -np.inf for p in parts])
+                bounds -= np.abs(bounds) * 1e-12  # a product beyond 53 bits may have been rounded up
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([pair["part"]], pa.int64()), pa.array([bounds.tobytes()], pa.binary()),
                      pa.array([float(bounds.min())])], ["part", "bounds", "least"])
@@ -111,8 +125,8 @@ def top_products(
     Components become floor(scale * x). Queries are rows whose vec_id is divisible by ``every``; candidates
     all rows but the query's own, repeated ones included. Ties go to the smaller vec_id; a null vec_id is a
     candidate behind all others of its score. Vectors that are null or hold null or non-finite components
-    take no part; of two vectors the shorter is filled up with zeros. Products beyond 53 bits raise an
-    error. Other columns are not read; no queries or no candidates give an empty result.
+    take no part; of two vectors the shorter is filled up with zeros. Components and products beyond a long count
+    as the largest or smallest one. Other columns are not read; no queries or no candidates give an empty result.
     """
     scaled = F.transform("embedding", lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("double"))
     vectors = numbered_vectors(table, scaled, finite("embedding"), every)

@@ -83,9 +83,7 @@ def found_batch(parts: list[tuple], score: pa.DataType) -> pa.RecordBatch:
     """Partial results: lists of (query row, query id, rows, ids, scores)."""
     sizes = [len(p[2]) for p in parts]
     joined = [np.concatenate([np.zeros(0, np.int64), *[p[i] for p in parts]]) for i in (2, 3)]
-    scores = np.concatenate([np.zeros(0), *[p[4] for p in parts]])
-    if pa.types.is_integer(score):
-        scores = scores.astype(np.int64)
+    scores = np.concatenate([np.zeros(0, score.to_pandas_dtype()), *[p[4].astype(score.to_pandas_dtype()) for p in parts]])
     return pa.RecordBatch.from_arrays(
         [pa.array(np.repeat(np.array([p[0] for p in parts], np.int64), sizes)),
          pa.array(np.repeat(np.array([p[1] for p in parts], np.int64), sizes)),

@@ -47,6 +47,22 @@ def test_products_equal_brute_force(spark):
         assert sorted(map(tuple, got), key=repr) == sorted(((a, b, c, -s) for a, b, c, s in want), key=repr)
 
 
+@pytest.mark.parametrize("size", [1e5, 2e5, 3e6, 1e7, 1e12])
+def test_large_products_are_exact(spark, size):
+    """Products beyond 53 bits are exact, beyond a long the largest or smallest one; no row is lost."""
+    r = np.random.default_rng(8)
+    rows = [(i, (r.normal(size=64) * size).tolist()) for i in range(60)] + [(61, [0.5] * 64), (62, [0.25] * 64)]
+    got = norm_search.top_products(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3), every=20, bucket=16)
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    most = 2**63 - 1
+    want = []
+    for i, q in whole:
+        if i % 20 == 0:
+            scores = sorted((-min(max(sum(a * b for a, b in zip(q, v)), -most), most), j) for j, v in whole if j != i)
+            want += [(i, n, j, -s) for n, (s, j) in enumerate(scores[:10], 1)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_pruning_never_loses_a_vector():
     r = np.random.default_rng(4)
     skipped = 0
