@@ -15,13 +15,17 @@ def exists(spark: SparkSession, folder: str) -> bool:
     return system.exists(path)
 
 
-def numbered_folders(spark: SparkSession, folder: str, prefix: str) -> list[int]:
-    """Numbers of the sub-folders ``prefix`` N."""
+def folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the sub-folders, in order."""
     system, path = _system(spark, folder)
     if not system.exists(path):
         return []
-    names = [entry.getPath().getName() for entry in system.listStatus(path)]
-    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+    return sorted(entry.getPath().getName() for entry in system.listStatus(path) if entry.isDirectory())
+
+
+def numbered_folders(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """Numbers of the sub-folders ``prefix`` N."""
+    return sorted(int(n.removeprefix(prefix)) for n in folders(spark, folder) if n.startswith(prefix))
 
 
 def rename(spark: SparkSession, folder: str, to: str) -> None:

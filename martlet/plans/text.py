@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from martlet.functions import udfs
 from martlet.operators import ml, search, text
+from martlet.operators.segments import LiveIndex
 from martlet.operators.variant import flatten, path
 from martlet.plans.oracle import double, on_fact, with_ctes
 from martlet.plans.registry import query
@@ -95,6 +96,29 @@ def bm25_topk(ws):
     return search.top(_index(ws).keyword_scores(QUESTION), "doc_id", LIMIT)
 
 
+@query("bm25_refreshed", with_ctes(
+    "changed AS (SELECT doc_id, lang, CASE WHEN lang = 'fr' THEN 'The heention, ' || text ELSE text END AS text "
+    "FROM documents WHERE lang IS DISTINCT FROM 'de')",
+    BM25_SQL.replace("FROM documents", "FROM changed"), select=f"""
+SELECT doc_id, lang, score FROM keyword_scores"""))
+def bm25_refreshed(ws):
+    """Scores by an index that took two loads, replacements, deletions and merges of its segments."""
+    docs = ws.source("documents").select("doc_id", "lang", "text")
+    index = LiveIndex(ws.spark, ws.location("live_index"), docs.schema, "doc_id", ["lang"], fan=3)
+
+    def build():
+        half = docs.agg(F.expr("percentile_approx(doc_id, 0.5)")).scalar()
+        index.refresh(1, docs.where(F.col("doc_id") <= half), "text")
+        index.refresh(2, docs.where(F.col("doc_id") > half), "text")
+        longer = docs.where("lang = 'fr'").withColumn("text", F.concat(F.lit("The heention, "), "text"))
+        index.refresh(3, longer, "text")
+        index.merge()
+        index.refresh(4, None, "text", docs.where("lang = 'de'"))
+
+    ws.once("live_index", build)
+    return index.keyword_scores(QUESTION).join(docs.select("doc_id", "lang"), "doc_id").select("doc_id", "lang", "score")
+
+
 @query("vector_topk", with_ctes(VECTOR_SQL, select=f"""
 SELECT doc_id, score FROM vector_scores ORDER BY score DESC, doc_id LIMIT {LIMIT}"""))
 def vector_topk(ws):
