@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from martlet.llm.common import drop, numbered, spread, stored
 from martlet.llm.components import components
 from martlet.llm.shingles import shingle_set
+from martlet.sizing import lookup_join
 
 ORDER_BITS = 1 << 24  # 2 MB for each task, at any input size
 FREQUENT = 8
@@ -40,10 +41,6 @@ BLOCK = 256
 CLASSES = 512
 
 
-def _needed(size: int, num: int, den: int) -> int:
-    return -(-num * size // den)
-
-
 class Order:
     """Global order of n-grams: those whose bit is set last, else by hash."""
 
@@ -59,63 +56,112 @@ class Order:
         return np.concatenate((grams[~last], grams[last]))
 
 
-def _keys(words: int):
+def _first(size, num: int, den: int):
+    """How many n-grams of a set of ``size`` come first: two sets that link share one of those of each."""
+    return size + (-num * size) // den + 1
+
+
+def _stored_of(size, num: int, den: int):
+    """How many of the smallest n-grams are kept beside a set's key: more than come first, as some may be moved last."""
+    first = _first(size, num, den)
+    return np.minimum(size, first + first // 4 + 16)
+
+
+def _keys(words: int, num: int, den: int):
+    """Hash and size of each whole set, and its smallest n-grams, so that texts need not be cut up again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            high, low, sizes = [], [], []
+            high, low, sizes, heads = [], [], [], []
             for data in batch["data"].to_pylist():
                 grams = shingle_set(data, words)
                 key = xxhash.xxh3_128_intdigest(grams.tobytes()) if len(grams) else None
                 high.append(None if key is None else (key >> 64) - (1 << 63))
                 low.append(None if key is None else (key & ((1 << 64) - 1)) - (1 << 63))
                 sizes.append(len(grams))
+                heads.append(grams[:_stored_of(len(grams), num, den)].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], batch["doc_id"], pa.array(high, pa.int64()), pa.array(low, pa.int64()),
-                 pa.array(sizes, pa.int64())], ["row", "doc_id", "high", "low", "size"])
+                 pa.array(sizes, pa.int64()), pa.array(heads, pa.binary())],
+                ["row", "doc_id", "high", "low", "size", "head"])
     return run
 
 
-def _first_grams(words: int, num: int, den: int, order, places: bool):
-    """First n-grams of each set, with the set's number, size, first key and the place in the order."""
+HEADS = "row long, low long, size long, head binary"
+
+
+def _whole_heads(words: int):
+    """Rows like those of :func:`_keys` that hold whole sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = Order(order.value) if order is not None else None
         for batch in batches:
-            columns: list[list] = [[], [], [], []]
-            for row, data in zip(batch["row"].to_pylist(), batch["data"].to_pylist()):
-                grams = shingle_set(data, words)
-                size = len(grams)
-                if not size:
-                    continue
-                grams = ranks.sort(grams) if ranks else grams
-                first = grams[:size - _needed(size, num, den) + 1].view(np.int64)
-                columns[0].append(first)
-                if places:
-                    columns[1].append(np.full(len(first), row, np.int64))
-                    columns[2].append(np.full(len(first), size, np.int32))
-                    columns[3].append(np.arange(len(first), dtype=np.int32))
-            types = [np.int64, np.int64, np.int32, np.int32][:4 if places else 1]
+            heads = [shingle_set(data, words).tobytes() for data in batch["data"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c or [[]]).astype(t)) for c, t in zip(columns, types)],
-                ["gram", "row", "size", "place"][:len(types)])
+                [batch["row"], batch["low"], batch["size"], pa.array(heads, pa.binary())], ["row", "low", "size", "head"])
     return run
 
 
-def _keyed_grams(words: int, num: int, den: int, order):
-    """First n-grams with a hash of the whole set, to tell copies from different sets."""
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All n-grams of a batch's heads, and how many each has."""
+    heads = column.to_pylist()
+    return np.frombuffer(b"".join(heads), np.uint64), np.array([len(h) // 8 for h in heads], np.int64)
+
+
+def _smallest(num: int, den: int):
+    """The n-grams that would come first in the order of their hashes alone."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams, held = _flat(batch["head"])
+            first = _first(batch["size"].to_numpy(), num, den)
+            place = np.arange(len(grams)) - np.repeat(np.cumsum(held) - held, held)
+            yield pa.RecordBatch.from_arrays([pa.array(grams[place < np.repeat(first, held)].view(np.int64))], ["gram"])
+    return run
+
+
+def _places(batch: pa.RecordBatch, num: int, den: int, ranks: Order):
+    """(n-grams, row of the batch, place in the order) of those that come first, and the rows whose head is too short."""
+    grams, held = _flat(batch["head"])
+    size = batch["size"].to_numpy()
+    first = _first(size, num, den)
+    of = np.repeat(np.arange(len(held)), held)
+    early = ~ranks.last(grams)
+    before = np.concatenate(([0], np.cumsum(early)))
+    start = np.cumsum(held) - held
+    place = before[:-1] - np.repeat(before[start], held)
+    front = before[start + held] - before[start]
+    lacking = np.flatnonzero(front < first)
+    take = early & (place < first[of])
+    whole = held == size
+    if len(lacking):  # those n-grams that the order puts last fill up whole sets
+        rank = np.arange(len(grams)) - np.repeat(start, held) - place + front[of]
+        fill = ~early & (whole & (front < first))[of] & (rank < first[of])
+        place = np.where(early, place, rank)
+        take |= fill
+    short = lacking[~whole[lacking]]
+    if len(short):
+        take &= ~np.isin(of, short)
+    return grams[take].view(np.int64), of[take], place[take], short
+
+
+def _short_rows(num: int, den: int, order):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = Order(order.value)
         for batch in batches:
-            grams_of, keys = [], []
-            for data in batch["data"].to_pylist():
-                grams = shingle_set(data, words)
-                if not len(grams):
-                    continue
-                key = xxhash.xxh3_64_intdigest(grams.tobytes()) - (1 << 63)
-                first = ranks.sort(grams)[:len(grams) - _needed(len(grams), num, den) + 1]
-                grams_of.append(first.view(np.int64))
-                keys.append(np.full(len(first), key, np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c or [[]]).astype(np.int64)) for c in (grams_of, keys)], ["gram", "key"])
+            short = pa.array(_places(batch, num, den, ranks)[3])
+            yield pa.RecordBatch.from_arrays([batch[c].take(short) for c in ("row", "low", "size")], ["row", "low", "size"])
+    return run
+
+
+def _first_grams(num: int, den: int, order, keyed: bool):
+    """First n-grams with the hash of the whole set, or with the set's number, size and the place in the order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = Order(order.value)
+        for batch in batches:
+            grams, of, place, _ = _places(batch, num, den, ranks)
+            if keyed:
+                yield pa.RecordBatch.from_arrays([pa.array(grams), batch["low"].take(pa.array(of))], ["gram", "key"])
+            else:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(grams), batch["row"].take(pa.array(of)), pa.array(batch["size"].to_numpy()[of].astype(np.int32)),
+                     pa.array(place.astype(np.int32))], ["gram", "row", "size", "place"])
     return run
 
 
@@ -135,11 +181,11 @@ def _whole_sets(words: int, order):
     return run
 
 
-def frequent_order(base: DataFrame, words: int, num: int, den: int):
+def frequent_order(heads: DataFrame, num: int, den: int):
     """Broadcast bit array of n-grams that many sets have among their first; of fixed size."""
-    spark = base.sparkSession
+    spark = heads.sparkSession
     often = (
-        base.select("row", "data").mapInArrow(_first_grams(words, num, den, None, False), "gram long")
+        heads.select("size", "head").mapInArrow(_smallest(num, den), "gram long")
         .groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FREQUENT))
     # The unsigned remainder of the hash, as in Order; one row for each 64-bit word of the array.
     bit = F.pmod(F.col("gram"), F.lit(ORDER_BITS))
@@ -287,20 +333,25 @@ def link(base: DataFrame, keys: DataFrame, words: int, num: int, den: int, owned
 
     A base that is ``owned`` is deleted as soon as the sets are there.
     """
-    data = base.select("row", "data")
-    order = frequent_order(base, words, num, den)
+    heads = keys.where("size > 0").select("row", "low", "size", "head")
+    order = frequent_order(heads, num, den)
+    # Sets with so many frequent n-grams that the stored ones do not reach are cut up once more.
+    short = stored(heads.mapInArrow(_short_rows(num, den, order), "row long, low long, size long"))
+    again = stored(
+        lookup_join(base.select("row", "data"), short, "row").mapInArrow(_whole_heads(words), HEADS))
+    heads = heads.unionAll(again)  # too short a head of the first is passed over
     branches = stored(
-        data.mapInArrow(_keyed_grams(words, num, den, order), "gram long, key long")
+        heads.mapInArrow(_first_grams(num, den, order, True), "gram long, key long")
         .groupBy("gram").agg(F.min("key").alias("a"), F.max("key").alias("b"))
         .where("a <> b").select("gram"))
     one = keys.where("size > 0").groupBy("high", "low").agg(F.min("row").alias("row")).select("row")
     found = stored(
-        data.mapInArrow(_first_grams(words, num, den, order, True), "gram long, row long, size int, place int")
+        heads.mapInArrow(_first_grams(num, den, order, False), "gram long, row long, size int, place int")
         .join(branches, "gram").join(one, "row", "left_semi"))
     sets = stored(
         base.join(found.select("row").distinct(), "row").select("row", "data")
         .mapInArrow(_whole_sets(words, order), "row long, grams binary, odd array<long>"))
-    drop(branches)
+    drop(branches, short, again)
     if owned:
         drop(base)
     first = F.col("size") - F.ceil(F.col("size") * num / den) + 1
@@ -335,7 +386,7 @@ def classes_of(base: DataFrame, words: int, num: int, den: int, owned: bool) ->
     """:func:`similar_classes` of stored and numbered rows (row, doc_id, data)."""
     doc_id = base.schema["doc_id"].dataType.simpleString()
     keys = stored(base.select("row", "doc_id", "data").mapInArrow(
-        _keys(words), f"row long, doc_id {doc_id}, high long, low long, size long"))
+        _keys(words, num, den), f"row long, doc_id {doc_id}, high long, low long, size long, head binary"))
     labels = link(base, keys, words, num, den, owned)
     named = keys.where("size > 0")
     sets = named.groupBy("high", "low").agg(
