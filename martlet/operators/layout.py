@@ -21,6 +21,56 @@ def clustered(
     return df.repartitionByRange(files, *order).sortWithinPartitions(*order)
 
 
+SAMPLES = 64  # rows of the hash sample for each cell of a column
+
+
+def quantile_rank(df: DataFrame, by: Column, sample: Column, cells: int, rows: int) -> Column:
+    """Number of the cell, 0 to ``cells - 1``, that ``by`` falls into; cells hold about equally many rows.
+
+    Cuts come from a hash sample of bounded size, which decides where rows lie but drops none. A value that fills
+    several cells has the number of the last one; NULL is in the first.
+    """
+    one_in = max(1, rows // (cells * SAMPLES))
+    chosen = df.where(F.pmod(F.xxhash64(sample), F.lit(one_in)) == 0).select(by.alias("v")).where(F.col("v").isNotNull())
+    values = chosen.agg(F.array_sort(F.collect_list("v"))).first()[0] or []
+    cuts = [values[i * len(values) // cells] for i in range(1, cells)] if values else []
+    if not cuts:
+        return F.lit(0)
+    passed = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= by))
+    return F.when(by.isNull(), 0).otherwise(passed)
+
+
+def interleaved(ranks: Sequence[Column], bits: int) -> Column:
+    """Bits of all ranks in turn, the highest first: near on this curve is near in each of them."""
+    out = F.lit(0).cast("long")
+    for bit in range(bits - 1, -1, -1):
+        for rank in ranks:
+            out = F.shiftleft(out, 1).bitwiseOR(F.shiftright(rank.cast("long"), bit).bitwiseAND(F.lit(1).cast("long")))
+    return out
+
+
+def clustered_curve(
+    df: DataFrame, by: Sequence[Column], tie_break: Sequence[str], rows_per_file: int | None = None, bits: int = 6,
+) -> DataFrame:
+    """Rows ordered into files along a space-filling curve through quantile ranks of all of ``by``.
+
+    In an order by (a, b) a filter on b alone meets every file; here it meets about the same part of the files as one
+    on a. The tie-break spreads cells of any size over files.
+    """
+    rows = df.count()
+    files = segment_count(rows, rows_per_file or limit(df.sparkSession, "fileRows"))
+    key = F.struct(*tie_break)
+    place = interleaved([quantile_rank(df, c, key, 1 << bits, rows) for c in by], bits)
+    placed = df.withColumn("_place", place)
+    order = ["_place", *tie_break]
+    return placed.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("_place")
+
+
+def files_to_read(df: DataFrame, by: Column, low, high) -> int:
+    """Files of a file-backed frame whose range of ``by`` meets [low, high]: those that statistics cannot rule out."""
+    return file_ranges(df, by).where((F.col("low") <= F.lit(high)) & (F.col("high") >= F.lit(low))).count()
+
+
 def file_ranges(df: DataFrame, by: Column) -> DataFrame:
     """Smallest and largest value of ``by`` in every file of a file-backed frame."""
     return df.select(F.col("_metadata.file_path").alias("file"), by.alias("v")).groupBy("file").agg(

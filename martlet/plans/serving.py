@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from martlet.functions.scalar import mean
 from martlet.operators import governance, layout, quality
+from martlet.operators import rollup as bitmaps
+from martlet.operators.quality_state import QualityStates
 from martlet.plans import mart
 from martlet.plans.metrics import Dimension, MetricModel, Relationship
-from martlet.plans.oracle import double, on_detail, on_events, on_fact, on_star, text
+from martlet.plans.oracle import LINES, double, on_detail, on_events, on_fact, on_star, text, with_ctes
 from martlet.plans.registry import query
 from martlet.plans.relational import v_sales_detail
-from martlet.sizing import limit
+from martlet.sizing import limit, stored
 
 # Roles of the mart.
 ADMINS = frozenset({"engineer", "admin"})
@@ -86,6 +88,14 @@ def clustered_copy(ws):
     return _clustered(ws)
 
 
+@query("clustered_curve", on_fact(f"SELECT {FACT}, user_id FROM fact"))
+def clustered_curve(ws):
+    """The same rows in files along a curve through days and categories, so that either prunes."""
+    return ws.table("fact_curve", lambda: layout.clustered_curve(
+        ws.fact, [F.to_date("event_time"), F.col("category")], ["event_id", "sku"],
+        limit(ws.spark, "fileRows")))
+
+
 @query("clustering_report")
 def clustering_report(ws):
     day = F.to_date("event_time")
@@ -194,6 +204,39 @@ def metric_max_line(ws):
 # ---- quality -------------------------------------------------------------------------------
 
 
+# ---- distinct counts from bitmaps ------------------------------------------------------------
+
+
+def _order_rollup(ws):
+    """Bitmaps of events by day and category, of two batches: the later one numbers on and is merged by any query."""
+    def build():
+        facts = ws.fact.select(F.to_date("event_time").alias("day"), "category", "event_id")
+        early = F.col("day") < F.lit("1997-01-01").cast("date")
+        first, second = facts.where(early), facts.where(~early)
+        numbers = ws.table("event_numbers_first", lambda: bitmaps.number_values(first, "event_id"))
+        more = ws.table("event_numbers", lambda: bitmaps.number_values(second, "event_id", numbers))
+        by = ["day", "category"]
+        return bitmaps.rollup(first, by, "event_id", numbers).unionByName(bitmaps.rollup(second, by, "event_id", more))
+
+    return ws.table("event_rollup", build)
+
+
+@query("metric_distinct_rollup", on_fact("""
+SELECT CAST(year(event_time) AS INTEGER) AS year_num, category, count(DISTINCT event_id) AS order_count
+FROM fact GROUP BY ALL
+UNION ALL SELECT CAST(year(event_time) AS INTEGER), NULL, count(DISTINCT event_id) FROM fact GROUP BY ALL
+UNION ALL SELECT NULL, category, count(DISTINCT event_id) FROM fact GROUP BY ALL
+UNION ALL SELECT NULL, NULL, count(DISTINCT event_id) FROM fact"""))
+def metric_distinct_rollup(ws):
+    """Orders by year and category, by each alone and in all, each from the stored bitmaps of days."""
+    stored_rollup, year = _order_rollup(ws), F.year("day").alias("year_num")
+    out = None
+    for by in ([year, "category"], [year], ["category"], []):
+        counts = bitmaps.distinct_counts(stored_rollup, by, "order_count")
+        out = counts if out is None else out.unionByName(counts, allowMissingColumns=True)
+    return out
+
+
 @query("dq_not_null", on_fact("""
 SELECT 'event_id' AS column_name, count(*) - count(event_id) AS null_count FROM fact
 UNION ALL SELECT 'user_id', count(*) - count(user_id) FROM fact
@@ -260,3 +303,42 @@ FROM (SELECT DISTINCT sku, product_name, category FROM fact) AS pairs
 GROUP BY sku HAVING count(*) > 1"""))
 def dq_consistency_sku(ws):
     return quality.inconsistent_attributes(ws.fact, "sku", ["product_name", "category"])
+
+
+@query("dq_incremental", with_ctes(LINES, select="""
+, numbered AS (
+  SELECT *, CASE WHEN loaded_at < TIMESTAMP '1996-01-01' THEN 1 WHEN loaded_at < TIMESTAMP '1998-01-01' THEN 2 ELSE 3 END AS batch
+  FROM lines),
+so_far AS (SELECT b.after_batch, n.* FROM (VALUES (1), (2), (3)) AS b(after_batch) JOIN numbered n ON n.batch <= b.after_batch)
+SELECT after_batch, 'rows' AS "check", '*' AS name, count(*) AS found FROM so_far GROUP BY after_batch
+UNION ALL SELECT after_batch, 'nulls', 'event_id', count(*) - count(event_id) FROM so_far GROUP BY after_batch
+UNION ALL SELECT after_batch, 'nulls', 'src_filename', count(*) - count(src_filename) FROM so_far GROUP BY after_batch
+UNION ALL SELECT after_batch, 'duplicate keys', 'event_id, sku', count(*) FILTER (WHERE n > 1) FROM (
+  SELECT after_batch, event_id, sku, count(*) AS n FROM so_far GROUP BY ALL) GROUP BY after_batch
+UNION ALL SELECT after_batch, 'distinct values', 'category', count(DISTINCT category) FROM so_far GROUP BY after_batch
+UNION ALL SELECT after_batch, 'inconsistent', 'product_name', count(*) FILTER (WHERE n > 1) FROM (
+  SELECT after_batch, product_name, count(DISTINCT category) AS n FROM so_far GROUP BY ALL) GROUP BY after_batch
+UNION ALL SELECT after_batch, 'inconsistent', 'sku', count(*) FILTER (WHERE n > 1) FROM (
+  SELECT after_batch, sku, count(DISTINCT product_name || category) AS n FROM so_far GROUP BY ALL) GROUP BY after_batch"""))
+def dq_incremental(ws):
+    """The checks after each of three batches, from stored states of the batches before."""
+    items = ws.event_items
+    loaded = F.col("loaded_at")
+    first, second = (F.lit(t).cast("timestamp_ntz") for t in ("1996-01-01", "1998-01-01"))
+    states = QualityStates(
+        ws.spark, ws.location("quality_states"), items.schema, ["event_id", "sku"], ["event_id", "src_filename"], ["category"],
+        {"product_name": ["category"], "sku": ["product_name", "category"]})
+
+    def build():
+        out = None
+        for n, rows in enumerate((
+                items.where(loaded < first), items.where((loaded >= first) & (loaded < second)), items.where(loaded >= second)), 1):
+            states.add(n, rows)
+            found = states.findings().select(F.lit(n).alias("after_batch"), "*")
+            found = stored(found)  # the next batch changes the states that this reads
+            out = found if out is None else out.unionByName(found)
+            if n == 2:
+                states.fold()
+        return out
+
+    return ws.table("quality_findings", build)
