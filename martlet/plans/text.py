@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from martlet.functions import udfs
 from martlet.operators import ml, search, text
+from martlet.operators.blockmax import BlockIndex
+from martlet.operators.fusion import fused_top
+from martlet.operators.pivots import PivotIndex
 from martlet.operators.segments import LiveIndex
 from martlet.operators.variant import flatten, path
 from martlet.plans.oracle import double, on_fact, with_ctes
@@ -96,6 +99,15 @@ def bm25_topk(ws):
     return search.top(_index(ws).keyword_scores(QUESTION), "doc_id", LIMIT)
 
 
+@query("bm25_topk_blocks", with_ctes(BM25_SQL, select=f"""
+SELECT doc_id, score FROM keyword_scores ORDER BY score DESC, doc_id LIMIT {LIMIT}"""))
+def bm25_topk_blocks(ws):
+    """The same documents as ``bm25_topk``, without reading blocks that cannot hold one of them."""
+    index = BlockIndex(ws.spark, ws.location("block_index"), "doc_id", ["lang"])
+    ws.once("block_index", lambda: index.build(ws.source("documents").select("doc_id", "lang", "text"), "text"))
+    return index.top(QUESTION, LIMIT).scores
+
+
 @query("bm25_refreshed", with_ctes(
     "changed AS (SELECT doc_id, lang, CASE WHEN lang = 'fr' THEN 'The heention, ' || text ELSE text END AS text "
     "FROM documents WHERE lang IS DISTINCT FROM 'de')",
@@ -126,6 +138,23 @@ def vector_topk(ws):
     return search.top(scores, "doc_id", LIMIT)
 
 
+@query("vector_topk_pivots", with_ctes(VECTOR_SQL, select=f"""
+SELECT doc_id, score FROM vector_scores ORDER BY score DESC, doc_id LIMIT {LIMIT}"""))
+def vector_topk_pivots(ws):
+    """The same vectors as ``vector_topk``, without reading row groups that distances to pivots exclude."""
+    index = PivotIndex(ws.spark, ws.location("pivot_index"), "doc_id", "embedding", ["lang"])
+    ws.once("pivot_index", lambda: index.build(_vectors(ws)))
+    return index.top(_query_vector(ws), LIMIT)
+
+
+@query("hybrid_topk", with_ctes(_fused_sql(), select="""
+SELECT doc_id, CAST(score AS DOUBLE) AS score FROM fused"""))
+def hybrid_topk(ws):
+    """The first documents of both searches fused, from the heads of both lists."""
+    by_vector = search.vector_scores(_vectors(ws), "doc_id", "embedding", _query_vector(ws))
+    return fused_top(_index(ws).keyword_scores(QUESTION), by_vector, "doc_id", LIMIT).scores
+
+
 def _hybrid(ws, condition=None, columns=("doc_id", "lang", "source")):
     return search.search(
         _index(ws), _vectors(ws), "embedding", ws.source("documents"),
