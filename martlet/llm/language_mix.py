@@ -1,8 +1,8 @@
 """Language identification by mixtures: each document's shares of languages, and the set it is made of.
 
 A language's model gives each byte of a word the probability of following the three before it, smoothed,
-from counts over all labelled training texts; 4-grams and their contexts are counted in ``BUCKETS``
-hashed cells for each language, so a model's size is fixed. A document's words are drawn from a mixture
+from counts over all labelled training texts; 4-grams and their contexts are counted in hashed cells, whose
+number grows with the corpus from 2**17 to 2**22 for each language, so a model's size is bounded. A document's words are drawn from a mixture
 of languages: expectation-maximisation over its words' likelihoods estimates the shares. The set of
 languages then grows from the single best one by the next largest share for as long as the gain in
 log-likelihood exceeds the penalty, half the logarithm of the number of words for each share.
@@ -17,20 +17,28 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martlet.llm.common import spread
+from martlet.llm.common import column, spread, with_columns_mapped
 
-BUCKETS = 1 << 17
+BITS, MOST_BITS = 17, 22  # hashed cells of a language's model: 2 to the power of these
+TEXT_BITS = 30  # a corpus of 2 to the power of so many bytes has 2**BITS cells; for each doubling there are twice as many
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
-_ROUNDS = 12
+_SETTLED = 1e-4  # expectation-maximisation ends when no share changes by more
+_ROUNDS = 500  # a bound that only rounding could reach: shares settle long before
 _SMOOTH = 0.5
 _LETTERS = np.zeros(256, bool)
 _LETTERS[97:123] = True
 _LETTERS[128:] = True
 
 
-def grams(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def bits_for(size: int) -> int:
+    """Bits of a cell's number for a corpus of so many bytes."""
+    return min(MOST_BITS, BITS + max(0, max(size, 1).bit_length() - TEXT_BITS))
+
+
+def grams(text: str, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Cells of each 4-gram and of its 3-gram context, and the number of the word each ends in.
 
     Text is in lower case, everything but letters is a space, and runs of spaces are one.
@@ -47,27 +55,30 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         three = data[:-3] | data[1:-2] << np.uint64(8) | data[2:-1] << np.uint64(16)
         four = three | data[3:] << np.uint64(24)
-        cells = [((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 17)).astype(np.int64) for x in (four, three)]
+        cells = [((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64) for x in (four, three)]
     word = np.concatenate(([0], np.cumsum(data[3:-1] == 32)))
     return cells[0], cells[1], word
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of cells by language in a task: ``4 * BUCKETS`` numbers for each language at most."""
-    sums: dict[str, np.ndarray] = {}
-    for batch in batches:
-        for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist()):
-            four, three, _ = grams(text or "")
-            if not len(four):
-                continue
-            if lang not in sums:
-                sums[lang] = np.zeros(2 * BUCKETS, np.int64)
-            sums[lang] += np.bincount(np.concatenate((four, three + BUCKETS)), minlength=2 * BUCKETS)
-    for lang, counts in sums.items():
-        cells = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(cells), pa.string()), pa.array(cells.astype(np.int32)), pa.array(counts[cells])],
-            ["lang", "cell", "n"])
+def _count(bits: int):
+    """Counts of cells by language in a task: ``2 << bits`` numbers for each language at most."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist()):
+                four, three, _ = grams(text or "", bits)
+                if not len(four):
+                    continue
+                if lang not in sums:
+                    sums[lang] = np.zeros(2 << bits, np.int64)
+                cells, n = np.unique(np.concatenate((four, three + (1 << bits))), return_counts=True)
+                sums[lang][cells] += n
+        for lang, counts in sums.items():
+            cells = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(cells), pa.string()), pa.array(cells.astype(np.int32)), pa.array(counts[cells])],
+                ["lang", "cell", "n"])
+    return run
 
 
 class Languages:
@@ -75,13 +86,15 @@ class Languages:
 
     def __init__(self, names: list[str], counts: np.ndarray):
         self.names = names
-        four, three = counts[:, :BUCKETS], counts[:, BUCKETS:]
+        cells = counts.shape[1] // 2
+        self.bits = cells.bit_length() - 1
+        four, three = counts[:, :cells], counts[:, cells:]
         self.above = np.log(four + _SMOOTH / 64).astype(np.float32).T.copy()
         self.below = np.log(three + _SMOOTH).astype(np.float32).T.copy()
 
     def word_scores(self, text: str) -> np.ndarray:
         """Log-likelihood of each word (rows) in each language."""
-        four, three, word = grams(text)
+        four, three, word = grams(text, self.bits)
         if not len(four):
             return np.zeros((0, len(self.names)))
         starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
@@ -100,7 +113,9 @@ def shares_of(scores: np.ndarray, members: list[int]) -> tuple[np.ndarray, float
     for _ in range(_ROUNDS):
         joint = likely * shares
         total = joint.sum(1, keepdims=True) + 1e-300
-        shares = (joint / total).mean(0)
+        before, shares = shares, (joint / total).mean(0)
+        if np.abs(shares - before).max() < _SETTLED:
+            break
     return shares, float((np.log(likely @ shares + 1e-300) + top).sum())
 
 
@@ -125,13 +140,14 @@ def mixture(scores: np.ndarray) -> list[tuple[int, float]]:
 def train(labelled: DataFrame) -> Languages:
     """Models from (text, lang); rows of a null language or without letters teach nothing."""
     table = spread(labelled.where("lang IS NOT NULL").select("text", "lang"))
+    bits = bits_for(table.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
     counts = (
-        table.mapInArrow(_count, "lang string, cell int, n long")
+        table.mapInArrow(_count(bits), "lang string, cell int, n long")
         .groupBy("lang", "cell").agg(F.sum("n").alias("n")))
-    # Per language one array of 2 * BUCKETS counts, whatever the number of texts.
+    # Per language one array of 2 << bits counts, whatever the number of texts.
     found = counts.toArrow()
     names = sorted(set(found["lang"].to_pylist()))
-    sums = np.zeros((len(names), 2 * BUCKETS))
+    sums = np.zeros((len(names), 2 << bits))
     if names:
         at = {n: i for i, n in enumerate(names)}
         sums[[at[x] for x in found["lang"].to_pylist()], found["cell"].to_numpy()] = found["n"].to_numpy()
@@ -141,20 +157,20 @@ def train(labelled: DataFrame) -> Languages:
 _SHARES = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
 
 
-def _infer(model, columns: list[str]):
+def _infer(model, names: list[str], at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages: Languages = model.value
         for batch in batches:
             predicted, scores, shares = [], [], []
-            for text in batch["text"].to_pylist():
+            for text in batch.column(at).to_pylist():
                 found = languages.word_scores(text) if text and languages.names and _LETTER.search(text) else []
                 mixed = mixture(found) if len(found) else []
                 predicted.append(languages.names[mixed[0][0]] if mixed else UNKNOWN)
                 scores.append(min(1.0, max(0.0, mixed[0][1])) if mixed else 0.0)
                 shares.append([{"lang": languages.names[i], "share": s} for i, s in mixed])
             yield pa.RecordBatch.from_arrays(
-                [*(batch[c] for c in columns), pa.array(predicted, pa.string()), pa.array(scores, pa.float64()),
-                 pa.array(shares, _SHARES)], [*columns, "lang_pred", "score", "shares"])
+                [*batch.columns, pa.array(predicted, pa.string()), pa.array(scores, pa.float64()),
+                 pa.array(shares, _SHARES)], names)
     return run
 
 
@@ -172,15 +188,17 @@ def identify(docs: DataFrame) -> DataFrame:
     nothing to learn from. Ties go to the language first in order. Columns of ``docs`` named like the
     added ones are replaced; all others are kept. Equal rows get equal results.
     """
-    kept = [c for c in docs.columns if c not in ("held_out", "lang_pred", "score", "shares")]
     languages = train(docs.where(~held_out()).select("text", F.col("lang").cast("string").alias("lang")))
     model = docs.sparkSession.sparkContext.broadcast(languages)
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
-    out = spread(docs.select(*kept)).mapInArrow(
-        _infer(model, kept), f"{fields}, lang_pred string, score double, shares array<struct<lang:string,share:double>>")
-    return out.withColumn("held_out", held_out())
+    added = [
+        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+        T.StructField("shares", T._parse_datatype_string("array<struct<lang:string,share:double>>"))]
+    rows = docs.select(*[column(c) for c in docs.columns if c != "held_out"])
+    return with_columns_mapped(
+        spread(rows), lambda names, at: _infer(model, names, at("text")), added).withColumn("held_out", held_out())
 
 
 def accepted(identified: DataFrame, least_share: float = 0.5) -> DataFrame:
-    """Rows of :func:`identify` whose language is known and makes up ``least_share`` of the words."""
-    return identified.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_share))
+    """Rows of :func:`identify` whose selected languages make up ``least_share`` of the words together."""
+    together = F.aggregate("shares", F.lit(0.0), lambda s, x: s + x["share"])
+    return identified.where((F.col("lang_pred") != UNKNOWN) & (together >= least_share))

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.common import stored
+from martlet.llm.common import column, stored
 from martlet.sizing import lookup_join
 
 
@@ -80,18 +80,22 @@ def mix(
     ``epochs``. Documents that draw 0 are not in the output. Rows equal in doc_id and text draw alike.
     Columns named like the added ones are replaced. An empty table gives an empty result.
     """
-    table = rates(docs, weights, epochs, power).select(
-        F.col("source").alias("_source"), F.col("rate").alias("_rate"), F.col("steps").alias("_steps"))
+    table = rates(docs, weights, epochs, power).select(F.col("source").alias("of"), "rate", "steps")
     kept = [c for c in docs.columns if c not in ("copy", "copies", "rate")]
+    # Plain names while the helper columns are beside them, so that any name is allowed outside.
+    plain = [f"c{i}" for i in range(len(kept))]
+    source, doc_id, text = (plain[kept.index(c)] for c in ("source", "doc_id", "text"))
+    rows = docs.select(*[column(c) for c in kept]).toDF(*plain)
     drawn = (
-        lookup_join(docs.select(*kept), table, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("_u", uniform(seed, "count", "doc_id", "text"))
-        .withColumn("copies", F.size(F.filter("_steps", lambda p: p < F.col("_u")))))
+        lookup_join(rows, table, F.col(source).eqNullSafe(F.col("of")))
+        .withColumn("u", uniform(seed, "count", doc_id, text))
+        .withColumn("copies", F.size(F.filter("steps", lambda p: p < F.col("u")))))
     copies = (
         drawn.where("copies > 0")
-        .select(*kept, F.explode(F.sequence(F.lit(1), "copies")).alias("copy"), "copies", F.col("_rate").alias("rate"))
-        .withColumn("_order", F.xxhash64(F.lit(seed), "doc_id", "text", "copy")))
-    return copies.repartition("_order").sortWithinPartitions("_order").drop("_order")
+        .select(*plain, F.explode(F.sequence(F.lit(1), "copies")).alias("copy"), "copies", "rate")
+        .withColumn("place", F.xxhash64(F.lit(seed), doc_id, text, "copy")))
+    dealt = copies.repartition("place").sortWithinPartitions("place").drop("place")
+    return dealt.toDF(*kept, "copy", "copies", "rate")
 
 
 ORACLE = """

@@ -2,8 +2,8 @@
 
 Every shard owns ``nodes`` points of a 64-bit ring; an arc between two points belongs to the shard at
 its clockwise end. A document's key falls into one arc. When that shard is full the document goes on
-clockwise to the next shard with room. Since the loads of such a ring do not depend on the order of
-arrival, they follow from the number of keys in each arc alone: the walk is done on these counts,
+clockwise to the next shard with room. Keys come in the order of arcs, those that find room on their own shard
+first, so the loads follow from the number of keys in each arc alone: the walk is done on these counts,
 of which there are ``shards * nodes * SLICES``, and gives for each arc the ranks that go to
 each shard. One narrow sort then ranks the documents; texts are never moved.
 """

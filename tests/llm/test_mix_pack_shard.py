@@ -1,8 +1,11 @@
 import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import duckdb
 import numpy as np
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -54,6 +57,15 @@ def test_mix_reaches_weights_and_keeps_columns(spark):
     assert poisson_mix.mix(spark.createDataFrame(rows_of(), SCHEMA)).count() > 100
 
 
+def test_mix_with_any_column_names(spark):
+    names = ["doc_id", "text", "source", "a.b", "_source", "_u", "_rate", "_steps", "_order", "u", "of", "c0"]
+    docs = spark.createDataFrame([(i, f"t{i}", "s", *range(9)) for i in range(50)], ", ".join(
+        f"`{n}` {'string' if n in ('text', 'source') else 'long'}" for n in names))
+    out = poisson_mix.mix(docs, seed=2)
+    assert out.columns == [*names, "copy", "copies", "rate"]
+    assert out.count() > 20 and all(tuple(r)[3:12] == tuple(range(9)) for r in out.collect())
+
+
 def test_mix_equals_its_sql(spark, tmp_path):
     docs = spark.createDataFrame(rows_of(), SCHEMA).select("doc_id", "text", "source")
     docs.write.parquet(f"{tmp_path}/d")
@@ -114,6 +126,31 @@ def test_packing_keeps_every_id_once_and_its_shares(spark):
     assert sorted(r.ids_crc32 for r in digest) == sorted(zlib.crc32(r.ids) for r in out)
 
 
+def test_places_equal_a_round_robin_done_step_by_step():
+    """Queues earn credit with every token packed; the one whose next quantum is due first is served."""
+    draw = np.random.default_rng(7)
+    for _ in range(40):
+        n, quantum = int(draw.integers(1, 5)), int(draw.integers(1, 9))
+        lengths, weights = draw.integers(1, 120, n), draw.integers(1, 30, n)
+        order, served = [], [0] * n
+        while sum(len(range(0, int(x), quantum)) for x in lengths) > sum(served):
+            open_ = [q for q in range(n) if served[q] * quantum < lengths[q]]
+            due = lambda q: Fraction(served[q] + 1, int(weights[q]))
+            q = min(open_, key=lambda q: (due(q), q))
+            order += [(q, t) for t in range(served[q] * quantum, min((served[q] + 1) * quantum, int(lengths[q])))]
+            served[q] += 1
+        at = {token: place for place, token in enumerate(order)}
+        for q in range(n):
+            begin = 0
+            while begin < lengths[q]:  # documents of the queue
+                size = int(min(draw.integers(1, 40), lengths[q] - begin))
+                cut = packing.pieces(q, begin, size, lengths, weights, quantum, 16)
+                tokens = [(begin + a + i, place + i) for a, b, place in cut.tolist() for i in range(b)]
+                assert tokens == [(t, at[q, t]) for t in range(begin, begin + size)]
+                assert all(place // 16 == (place + b - 1) // 16 for _, b, place in cut.tolist())
+                begin += size
+
+
 def test_packing_to_given_weights(spark):
     rows = [(i, "alpha beta " * 40, "x" if i % 4 else "y", 0) for i in range(80)]
     out = packing.pack(spark.createDataFrame(rows, SCHEMA), {"x": 0.5, "y": 0.5}, length=128, quantum=8).collect()
@@ -164,6 +201,39 @@ def test_ring_balances_and_numbers(spark):
     assert Counter(r.shard for r in ring_shards.assign(alike, shards=5).collect()) == {s: 20 for s in range(5)}
 
 
+def test_loads_equal_a_ring_that_places_keys_one_by_one(spark):
+    docs = [(i, "t", "s", 1) for i in range(500)] + [(7, "t", "s", 1)] * 150  # one key has nearly a quarter
+    got = ring_shards.assign(spark.createDataFrame(docs, SCHEMA).repartition(3), shards=9, nodes=5, slack=0.2, seed=4)
+    shards = defaultdict(Counter)
+    for r in got.collect():
+        shards[r.shard][r.doc_id] += 1
+    points = ring_shards.ring(9, 5, 4)
+    key = {r.doc_id: r.k for r in spark.range(500).select(
+        F.col("id").alias("doc_id"), F.xxhash64(F.lit(4), F.col("id").cast("string")).alias("k")).collect()}
+    room = ring_shards.capacities(len(docs), 9, 0.2)[0]
+    arc = lambda doc: bisect_left([p for p, _ in points], key[doc]) % len(points)
+    # One by one in the order of arcs: first those that find room on their own shard, then the others.
+    load, waiting = Counter(), []
+    for doc in sorted((d[0] for d in docs), key=lambda d: (arc(d), key[d])):
+        own = points[arc(doc)][1]
+        if load[own] < room:
+            load[own] += 1
+        else:
+            waiting.append(arc(doc))
+    for at in waiting:
+        while load[points[at % len(points)][1]] >= room:
+            at += 1
+        load[points[at % len(points)][1]] += 1
+    assert waiting and {s: n for s, n in load.items() if n} == {s: sum(c.values()) for s, c in shards.items()}
+    # Whatever the order: all shards that a key passed on its way are full.
+    for shard, ids in shards.items():
+        for doc in ids:
+            at = arc(doc)
+            while points[at % len(points)][1] != shard:
+                assert load[points[at % len(points)][1]] == room
+                at += 1
+
+
 def test_overflow_goes_clockwise_and_few_rows_move(spark):
     points = [(0, 0), (10, 1), (20, 2), (30, 0)]
     plan = ring_shards.walk(points, {0: 5, 1: 1, 2: 0, 3: 2}, [3, 3, 3])

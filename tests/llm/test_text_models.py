@@ -68,6 +68,98 @@ def test_expectation_maximisation_never_lowers_the_likelihood():
     assert value >= max(float(np.log(np.exp(scores) @ np.array(g) + 1e-300).sum()) for g in grid) - 0.5
 
 
+def plain_languages(rows):
+    """Models, mixtures and selection with dictionaries and loops; (lang_pred, share) of each text."""
+    def words(text):
+        return re.findall("[a-z\\x80-\\U0010ffff]+", (text or "").lower())
+
+    def steps(text):
+        data = b"   " + b"".join(w.encode() + b" " for w in words(text))
+        return [(data[i - 3:i + 1], data[i - 3:i], i) for i in range(3, len(data))]
+
+    four, three = {}, {}
+    for doc_id, text, lang, *_ in rows:
+        if lang is not None and not (doc_id is not None and zlib.crc32(str(doc_id).encode()) % 3 == 1):
+            for g, c, _ in steps(text):
+                four.setdefault(lang, Counter())[g] += 1
+                three.setdefault(lang, Counter())[c] += 1
+    names, out = sorted(four), {}
+    for doc_id, text, *_ in rows:
+        likely, own = [], [0.0] * len(names)
+        for g, c, i in steps(text):
+            own = [s + math.log(four[n][g] + 0.5 / 64) - math.log(three[n][c] + 0.5) for s, n in zip(own, names)]
+            if g.endswith(b" "):
+                likely.append(own)
+                own = [0.0] * len(names)
+        if not words(text):
+            out[doc_id] = ("und", 0.0)
+            continue
+
+        def fit(members):
+            shares = [1 / len(members)] * len(members)
+            for _ in range(500):
+                new = [0.0] * len(members)
+                for w in likely:
+                    top = max(w[m] for m in members)
+                    joint = [math.exp(w[m] - top) * s for m, s in zip(members, shares)]
+                    new = [n + j / sum(joint) / len(likely) for n, j in zip(new, joint)]
+                shares, old = new, shares
+                if max(abs(a - b) for a, b in zip(shares, old)) < 1e-4:
+                    break
+            value = 0.0
+            for w in likely:
+                top = max(w[m] for m in members)
+                value += top + math.log(sum(math.exp(w[m] - top) * s for m, s in zip(members, shares)))
+            return shares, value
+
+        single = [sum(w[m] for w in likely) for m in range(len(names))]
+        first = single.index(max(single))
+        shares, _ = fit(range(len(names)))
+        order = [first] + [m for m in sorted(range(len(names)), key=lambda m: -shares[m]) if m != first]
+        chosen, best = [(first, 1.0)], max(single)
+        for size in range(2, len(names) + 1):
+            shares, value = fit(order[:size])
+            if value - best <= 0.5 * math.log(max(len(likely), 2)) + 1:
+                break
+            chosen, best = list(zip(order[:size], shares)), value
+        member, share = min(chosen, key=lambda c: (-c[1], c[0]))
+        out[doc_id] = (names[member], share)
+    return out
+
+
+def test_languages_equal_plain_models(spark):
+    words = {k: v.split() for k, v in TEXTS.items()}
+    rows = language_rows()[:60] + [
+        (900, " ".join(words["de"] * 3 + words["fr"]) + ".", None), (901, " ".join(words["de"] + words["fr"] + words["en"]) + ".", None),
+        (902, None, "en"), (903, "12 !", None), (904, "über Ärger!", "de")]
+    want = plain_languages(rows)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_mix.identify(table(spark, rows)).collect()}
+    assert {i: v[0] for i, v in got.items()} == {i: v[0] for i, v in want.items()}
+    assert all(abs(got[i][1] - want[i][1]) < 1e-3 for i in want)
+
+
+def test_documents_in_several_known_languages_are_accepted(spark):
+    words = {k: v.split() for k, v in TEXTS.items()}
+    mixed = " ".join(words["de"] * 2 + words["fr"] * 2 + words["en"] * 2)
+    rows = [r for r in language_rows() if r[0] is not None and r[0] < 240] + [(900, mixed, None), (901, None, None), (902, "1 2", None)]
+    found = language_mix.identify(table(spark, rows))
+    assert found.where("doc_id = 900").first().score < 0.5
+    assert {r.doc_id for r in language_mix.accepted(found).collect()} == {*range(240), 900}
+
+
+def test_cells_grow_with_the_corpus():
+    assert [language_mix.bits_for(1 << n) for n in (0, 20, 29, 30, 33, 60)] == [17, 17, 17, 18, 21, 22]
+    four, three, word = language_mix.grams("ab cd.", 20)
+    assert len(four) == 6 and max(four.max(), three.max()) < 1 << 20 and word.tolist() == [0, 0, 0, 1, 1, 1]
+
+
+def test_languages_with_any_column_names(spark):
+    docs = spark.createDataFrame([(1, "the house", "en", 5, 6)], "doc_id long, text string, lang string, `a.b` int, held_out int")
+    got = language_mix.identify(docs)
+    assert got.columns == ["doc_id", "text", "lang", "a.b", "lang_pred", "score", "shares", "held_out"]
+    assert got.first()["a.b"] == 5
+
+
 # Surrogates
 
 def test_surrogates_keep_type_and_format():
