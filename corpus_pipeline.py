@@ -1,4 +1,7 @@
-"""A training corpus from documents: stages that each call one operator of martlet.llm."""
+"""A training corpus from documents: stages that each call one operator of martlet.llm.
+
+Every stage takes an empty table to an empty table and keeps further columns, whatever their names, but for the last.
+"""
 
 from __future__ import annotations
 
@@ -6,36 +9,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.llm import language_mix, ngram_join, packing, poisson_mix, surrogates
-from martlet.llm.common import drop, stored
+from martlet.llm.common import column, drop, stored
 
 #: Key of the surrogates; a user sets one of their own.
 KEY = b"corpus pipeline"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters whose main language makes up half of their words or more."""
-    return language_mix.accepted(language_mix.identify(docs), 0.5).select(*docs.columns)
+    """Documents with letters whose languages, one or several, are known; a null text has none."""
+    return language_mix.accepted(language_mix.identify(docs), 0.5).select(*map(column, docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class linked by 5-word shingles at a similarity of 0.8; the smallest doc_id."""
+    """One document of each class linked by 5-word shingles at a similarity of 0.8; the smallest doc_id.
+
+    Of repeated rows one stays; documents without words are no copies of each other.
+    """
     return ngram_join.distinct_documents(docs, words=5, num=80, den=100)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with surrogates for personal data; n_chars follows the text."""
+    """Documents with surrogates for personal data; n_chars follows the text. A null text stays null."""
     changed = surrogates.pseudonymise(docs, KEY)
-    columns = [F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
+    columns = [F.length("text").cast("long").alias(c) if c == "n_chars" else column(c) for c in docs.columns]
     return changed.select(*columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as drawn for shares by the root of a source's bytes, shuffled."""
-    return poisson_mix.mix(docs, epochs=1.0, power=0.5, seed=0).select(*docs.columns)
+    """Documents as often as drawn for shares by the root of a source's bytes, shuffled; a null source is one."""
+    return poisson_mix.mix(docs, epochs=1.0, power=0.5, seed=0).select(*map(column, docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, with their ids, in windows of 2048 tokens."""
+    """Pieces of all documents, with their ids, in windows of 2048 tokens; a null text is its end token."""
     return packing.pack(docs, added=True)
 
 
