@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF
@@ -81,33 +84,133 @@ def summarise(docs: DataFrame, key: str, text: str) -> DataFrame:
         key, F.get(sentences(F.col(text)), F.col("pos")).alias("summary"))
 
 
+def term_vectors(docs: DataFrame, text: str, features: int = 1 << 14) -> DataFrame:
+    """``docs`` with hashed term counts in ``_tf``; stored once, they serve any number of label sets."""
+    words = spread(docs).withColumn("_tokens", tokens(F.col(text)))
+    return HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=features).transform(words).drop("_tokens")
+
+
 class TextClassifier:
     """Logistic regression on hashed, idf-weighted tokens, fitted to labelled texts.
 
     ``labels`` names the classes in the order of their numbers in the label column, so the same
-    texts can be classified along another label set by fitting another instance.
+    texts can be classified along another label set by fitting another instance. Tables that have ``_tf`` of
+    :func:`term_vectors` are used as they are.
     """
 
     def __init__(self, labels: list[str], features: int = 1 << 14, iterations: int = 20):
-        self.labels = labels
+        self.labels, self.features = labels, features
         self._pipeline = Pipeline(stages=[
-            HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=features),
             IDF(inputCol="_tf", outputCol="_features"),
             LogisticRegression(featuresCol="_features", labelCol="_label",
                                maxIter=iterations, regParam=0.01),
         ])
         self._model = None
 
+    def _vectors(self, docs: DataFrame, text: str) -> DataFrame:
+        return docs if "_tf" in docs.columns else term_vectors(docs, text, self.features)
+
     def fit(self, labelled: DataFrame, text: str, label: str) -> TextClassifier:
-        self._model = self._pipeline.fit(labelled.select(
-            tokens(F.col(text)).alias("_tokens"), F.col(label).cast("double").alias("_label")))
+        self._model = self._pipeline.fit(self._vectors(labelled, text).select(
+            "_tf", F.col(label).cast("double").alias("_label")))
         return self
 
     def classify(self, docs: DataFrame, text: str) -> DataFrame:
         """``docs`` with the column ``class``: a struct of ``label`` and ``score``."""
-        scored = self._model.transform(spread(docs).withColumn("_tokens", tokens(F.col(text))))
+        scored = self._model.transform(self._vectors(docs, text))
         names = F.array(*[F.lit(n) for n in self.labels])
         score = F.get(vector_to_array("probability"), F.col("prediction").cast("int"))
-        return scored.select(*docs.columns, F.struct(
+        kept = [c for c in docs.columns if c != "_tf"]
+        return scored.select(*kept, F.struct(
             F.get(names, F.col("prediction").cast("int")).alias("label"), score.alias("score"),
         ).alias("class"))
+
+
+def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``key``, ``term``, ``tf`` of every text."""
+    # explode_outer keeps the optimizer from tokenising once more for a filter on the array's size.
+    terms = spread(docs.select(key, text)).select(key, F.explode_outer(tokens(F.col(text))).alias("term"))
+    return terms.where(F.col("term").isNotNull()).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+class BayesClassifier:
+    """Multinomial naive Bayes on terms: counts of each class, add-one smoothing, every number an aggregate.
+
+    ``labels`` names the classes in the order of their numbers in the label column. Terms that no labelled text
+    holds say nothing; a text without known terms gets the most frequent class.
+    """
+
+    def __init__(self, labels: list[str]):
+        self.labels = labels
+
+    def fit(self, terms: DataFrame, key: str, labelled: DataFrame, label: str) -> BayesClassifier:
+        """``terms`` as :func:`term_counts` gives them, ``labelled`` with ``key`` and the class's number."""
+        classes = range(len(self.labels))
+        texts = labelled.select(key, F.col(label).cast("int").alias("_class")).where(F.col("_class").isNotNull())
+        own = lookup_join(terms, texts, key)
+        count = lambda c: F.sum(F.when(F.col("_class") == c, F.col("tf")).otherwise(0)).alias(f"n{c}")
+        by_term = stored(own.groupBy("term").agg(*[count(c) for c in classes]))
+        totals = by_term.agg(F.count(F.lit(1)).alias("v"), *[F.coalesce(F.sum(f"n{c}"), F.lit(0)).alias(f"n{c}") for c in classes]).first()
+        held = texts.groupBy("_class").count().collect()  # a row for each class
+        held = {r["_class"]: r["count"] for r in held}
+        all_texts = sum(held.values())
+        self._prior = [F.log(F.lit((held.get(c, 0) + 1.0) / (all_texts + len(self.labels)))) for c in classes]
+        self._weights = by_term.select("term", *[
+            F.log((F.col(f"n{c}") + 1.0) / float(totals[f"n{c}"] + totals["v"])).alias(f"w{c}") for c in classes])
+        return self
+
+    def classify(self, terms: DataFrame, key: str, docs: DataFrame) -> DataFrame:
+        """``key``, ``label``, ``score`` (the class's probability, rounded) of every row of ``docs``; keys are unique."""
+        classes = range(len(self.labels))
+        sums = lookup_join(terms, self._weights, "term").groupBy(key).agg(
+            *[F.sum(F.col("tf") * F.col(f"w{c}")).alias(f"s{c}") for c in classes])
+        logs = [F.coalesce(F.col(f"s{c}"), F.lit(0.0)) + self._prior[c] for c in classes]
+        scored = docs.select(key).join(sums, key, "left").select(key, F.array(*logs).alias("_logs"))
+        # Ties go to the class first in order.
+        best = F.array_position("_logs", F.array_max("_logs")).cast("int") - 1
+        total = F.aggregate("_logs", F.lit(0.0), lambda s, x: s + F.exp(x - F.array_max("_logs")))
+        names = F.array(*[F.lit(n) for n in self.labels])
+        return scored.select(key, F.get(names, best).alias("label"), F.round(1 / total, 6).alias("score"))
+
+
+_CLASSES = (("0123456789", "0-9"), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "A-Z"), ("abcdefghijklmnopqrstuvwxyz", "a-z"))
+
+
+def _runs(example: str) -> list[tuple[str, int]]:
+    """Runs of digits, capitals and small letters with their lengths; any other sign stands for itself.
+
+    Three or more runs without a sign between them, as in a code, are one run of all their kinds.
+    """
+    out: list[tuple[str, int]] = []
+    for word in re.findall("[0-9A-Za-z]+|.", example, re.DOTALL):
+        kinds = [next((k for signs, k in _CLASSES if c in signs), None) for c in word]
+        if kinds[0] is None:
+            out.append((re.escape(word), 1))
+            continue
+        cuts = [i for i in range(len(word)) if i == 0 or kinds[i] != kinds[i - 1]]
+        if len(cuts) > 2:
+            out.append((f"[{''.join(sorted(set(kinds)))}]", len(word)))
+        else:
+            out += [(f"[{kinds[low]}]", high - low) for low, high in zip(cuts, [*cuts[1:], len(word)])]
+    return out
+
+
+def learned_rule(examples: Sequence[str]) -> str:
+    """A regular expression that generalises examples: those of one form share it, with all lengths between theirs.
+
+    What it matches stands alone: no letter or digit beside it. Longer forms are tried first.
+    """
+    forms: dict[tuple[str, ...], list[tuple[int, ...]]] = {}
+    for example in examples:
+        runs = _runs(example)
+        if not runs:
+            raise ValueError("an example is empty")
+        forms.setdefault(tuple(k for k, _ in runs), []).append(tuple(n for _, n in runs))
+    patterns = []
+    for kinds, lengths in forms.items():
+        parts = [
+            kind if not kind.startswith("[") else f"{kind}{{{low},{high}}}" if low != high else f"{kind}{{{low}}}"
+            for kind, low, high in zip(kinds, map(min, zip(*lengths)), map(max, zip(*lengths)))]
+        edge = lambda kind: r"\b" if kind.startswith("[") else ""
+        patterns.append((-len(kinds), edge(kinds[0]) + "".join(parts) + edge(kinds[-1])))
+    return "|".join(p for _, p in sorted(patterns))

@@ -1,6 +1,7 @@
 """Tokens, extraction, summaries, classification and search."""
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,3 +118,42 @@ def test_hybrid_search_with_filter(spark, reviews, index):
     assert [r.review_id for r in only.collect()] == ["r002"]
     with pytest.raises(ValueError):
         search.equality_filter({"@gt": {"x": 1}})
+
+
+def test_bayes_by_hand(spark):
+    docs = spark.createDataFrame([(1, "good good day"), (2, "bad day"), (3, "good"), (4, "unseen"), (5, None)], "id long, body string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (9, 1), (3, None)], "id long, label int")
+    terms = text.term_counts(docs, "id", "body")
+    model = text.BayesClassifier(["no", "yes"]).fit(terms, "id", labels, "label")
+    found = {r.id: (r.label, r.score) for r in model.classify(terms, "id", docs).collect()}
+    prior = [math.log(2 / 5), math.log(3 / 5)]  # two labelled yes, one no; three terms
+    likely = lambda words: [p + sum(math.log(n) for n in ns) for p, ns in zip(prior, zip(*words))]
+    good, day = (1 / 5, 3 / 6), (2 / 5, 2 / 6)
+    for key, words in ((1, [good, good, day]), (3, [good]), (4, [(1, 1)]), (5, [(1, 1)])):
+        logs = likely(words)
+        assert found[key] == ("yes" if logs[1] > logs[0] else "no", round(1 / (1 + math.exp(min(logs) - max(logs))), 6))
+
+
+def test_stored_term_vectors_serve_two_label_sets(spark):
+    docs = spark.createDataFrame([(i, "up high" if i % 2 else "down low") for i in range(40)], "id long, body string")
+    labels = docs.withColumn("odd", F.col("id") % 2).withColumn("even", 1 - F.col("id") % 2)
+    vectors = text.term_vectors(docs, "body")
+    for label in ("odd", "even"):
+        with_label = vectors.join(labels.select("id", label), "id")
+        one = text.TextClassifier(["a", "b"]).fit(with_label, "body", label).classify(vectors, "body")
+        two = text.TextClassifier(["a", "b"]).fit(labels, "body", label).classify(docs, "body")
+        assert one.columns == ["id", "body", "class"] and rows(one) == rows(two)
+        assert all((r["class"].label == "b") == ((r.id % 2 == 1) == (label == "odd")) for r in one.collect())
+
+
+def test_rules_are_learned_from_examples():
+    assert text.learned_rule(["12-3456", "1-23"]) == r"\b[0-9]{1,2}\-[0-9]{2,4}\b"
+    assert text.learned_rule(["AB1C"]) == r"\b[0-9A-Z]{4}\b"
+    rule = text.learned_rule(["+1 (743) 555-3824", "555-1234", "030 1234567"])
+    found = lambda t: re.findall(rule, t)
+    assert found("call +4 (100) 200-3000, 555-9999 or 040 7654321; not 1555-1234 nor 55-1234") == [
+        "+4 (100) 200-3000", "555-9999", "040 7654321"]
+    for example in ("a.b@c.org", "2026-01-02", "1,234.50", "É1"):
+        assert re.fullmatch(text.learned_rule([example]), example)
+    with pytest.raises(ValueError):
+        text.learned_rule([""])
