@@ -3,10 +3,13 @@
 1. A sample of at most ``sample`` vectors, those with the smallest hash of their row, gives a graph of
    nearest neighbours. It is cut into ``parts`` balanced parts by repeated halving: spectral order,
    split at the median, then exchanges of pairs that save edges.
-2. A small classifier, one softmax layer over the vector and its closeness to the parts' means, learns the
-   parts. Its size depends on the parameters alone.
-3. Every row of the table goes to its most probable part. A query is sent to its ``probes`` most probable
-   parts, and everything in them is ranked by its distance to the query on the original vectors.
+2. A small classifier, one softmax layer over the vector and its closeness to the parts' means, learns in which
+   parts a vector's neighbours lie. Its size depends on the parameters alone.
+3. A quarter of the sample, which the classifier has not seen, says how much probability a query's parts must hold
+   together so that they hold the wanted share of its neighbours.
+4. Every row of the table goes to its most probable part. A query is sent to its most probable parts until they
+   hold that much: few where vectors have clusters, many where they have none. Everything in them is ranked by its
+   distance to the query on the original vectors.
 
 Parts are split over many packed matrices of bounded size, so a part may hold any share of the rows.
 """
@@ -26,8 +29,10 @@ from martlet.llm.vectors import (
 )
 
 SAMPLE = 4096
-PARTS = 32
-PROBES = 24
+PARTS, MOST_PARTS = 32, 128  # as many as the sample can teach
+PART_ROWS = 1 << 16  # rows of a part from which on there are more parts
+RECALL = 0.97  # share of the held-out sample's neighbours that the searched parts hold
+NEIGHBOURS = 10
 CHUNK = 2048
 BLOCK = 256
 
@@ -97,23 +102,23 @@ class Router:
         self.shift, self.scale = np.zeros(width), 1.0
         self.means = np.zeros((parts, width))
         self.weights = np.zeros((width + parts + 1, parts))
+        self.mass = 1.0
 
     def features(self, data: np.ndarray) -> np.ndarray:
         if data.shape[1] < self.width:
             data = np.pad(data, ((0, 0), (0, self.width - data.shape[1])))
         x = (data[:, :self.width] - self.shift) / self.scale
-        near = -((x[:, None, :] - self.means[None]) ** 2).sum(2) if len(x) <= 64 else -(
-            (x * x).sum(1)[:, None] + (self.means * self.means).sum(1)[None] - 2 * x @ self.means.T)
+        near = -((x * x).sum(1)[:, None] + (self.means * self.means).sum(1)[None] - 2 * x @ self.means.T)
         near = near / max(1, self.width)
         return np.concatenate((x / np.sqrt(max(1, self.width)), near, np.ones((len(x), 1))), 1)
 
-    def fit(self, data: np.ndarray, labels: np.ndarray, steps: int = 400, rate: float = 0.1) -> Router:
+    def fit(self, data: np.ndarray, labels: np.ndarray, wanted: np.ndarray, steps: int = 400, rate: float = 0.1) -> Router:
+        """Learn ``wanted``, the shares of each row's neighbours by part; ``labels`` are the rows' own parts."""
         self.shift = data.mean(0)
         self.scale = float(data.std()) or 1.0
         x = (data - self.shift) / self.scale
         self.means = np.stack([x[labels == p].mean(0) if (labels == p).any() else x.mean(0) for p in range(self.parts)])
         f = self.features(data)
-        wanted = np.eye(self.parts)[labels]
         first, second = np.zeros_like(self.weights), np.zeros_like(self.weights)
         for step in range(1, steps + 1):  # Adam on the whole sample
             gradient = f.T @ (self.probabilities(f) - wanted) / len(f) + 1e-5 * self.weights
@@ -127,24 +132,49 @@ class Router:
         z = np.exp(z - z.max(1, keepdims=True))
         return z / z.sum(1, keepdims=True)
 
-    def route(self, data: np.ndarray, probes: int) -> np.ndarray:
-        """The most probable parts of each row, the most probable first."""
-        return np.argsort(-self.probabilities(self.features(data)), 1, kind="stable")[:, :probes]
+    def ordered(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All parts of each row, the most probable first, and the probability of those before each.
 
+        Rounded, so that the sums of a batch of another size do not change the order.
+        """
+        p = np.round(self.probabilities(self.features(data)), 9)
+        order = np.argsort(-p, 1, kind="stable")
+        held = np.take_along_axis(p, order, 1)
+        return order, np.cumsum(held, 1) - held
 
-def train(data: np.ndarray, parts: int, degree: int = 10, seed: int = 0) -> Router:
+    def route(self, data: np.ndarray, probes: int | None = None) -> list[np.ndarray]:
+        """The parts each row's neighbours are looked for in: ``probes`` of them, or until they hold ``mass``."""
+        order, before = self.ordered(data)
+        count = np.full(len(data), probes) if probes else np.maximum(1, (before < self.mass).sum(1))
+        return [o[:n] for o, n in zip(order, count)]
+
+
+def train(data: np.ndarray, parts: int, degree: int = NEIGHBOURS, seed: int = 0, recall: float = RECALL) -> Router:
     router = Router(parts, data.shape[1])
-    return router.fit(data, partition(neighbour_graph(data, degree), parts, seed)) if len(data) else router
+    if not len(data):
+        return router
+    graph = neighbour_graph(data, degree)
+    labels = partition(graph, parts, seed)
+    wanted = graph @ np.eye(parts)[labels] + np.eye(parts)[labels]
+    wanted /= wanted.sum(1, keepdims=True)
+    taught = np.arange(len(data)) % 4 != 3 if len(data) >= 64 else np.ones(len(data), bool)
+    router.fit(data[taught], labels[taught], wanted[taught])
+    if not taught.all():  # how far down a query's parts do the neighbours of those not seen lie
+        order, before = router.ordered(data)
+        place = np.argsort(order, 1)
+        own, near = np.nonzero(graph * ~taught[:, None])
+        router.mass = float(np.quantile(before[own, place[own, order[near, 0]]], recall)) + 1e-6
+    return router
 
 
-def _routed(model, probes: int):
+def _routed(model, probes: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             parts = model.value.route(matrix(batch), probes)
             yield pa.RecordBatch.from_arrays(
-                [batch["row"], pa.array(parts.tolist(), pa.list_(pa.int64()))], ["row", "parts"])
+                [batch["row"], pa.array([p.tolist() for p in parts], pa.list_(pa.int64()))], ["row", "parts"])
     return run
 
 
@@ -153,7 +183,7 @@ def _assigned(model):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            part = model.value.route(matrix(batch), 1)[:, 0]
+            part = model.value.ordered(matrix(batch))[0][:, 0]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part, pa.int64()), batch["row"], batch["id"], batch["data"]], ["part", "row", "id", "data"])
     return run
@@ -179,9 +209,17 @@ def _search(k: int):
     return run
 
 
+def parts_for(rows: int) -> int:
+    """Parts of a table: a power of two that grows with its rows."""
+    parts = PARTS
+    while parts < MOST_PARTS and rows > parts * PART_ROWS:
+        parts *= 2
+    return parts
+
+
 def nearest(
-    table: DataFrame, k: int = 10, every: int = 100, parts: int = PARTS, probes: int = PROBES, sample: int = SAMPLE,
-    seed: int = 0,
+    table: DataFrame, k: int = 10, every: int = 100, parts: int | None = None, probes: int | None = None,
+    sample: int = SAMPLE, seed: int = 0, recall: float = RECALL,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found for each query, by Euclidean distance.
 
@@ -189,25 +227,27 @@ def nearest(
     repeated ones included. Ties go to the smaller vec_id; a null vec_id comes behind all others of its
     distance. Vectors that are null, zero, or hold null or non-finite components take no part; of two
     vectors the shorter is filled up with zeros. ``sample`` bounds what the partition and the classifier
-    are fitted on; every row is indexed. ``probes`` of ``parts`` parts are searched: with all of them
-    the result is exact. Other columns are not read; no queries or candidates give an empty result.
+    are fitted on; every row is indexed. Of ``parts`` parts (by default more for larger tables) those are searched that
+    hold the ``recall`` share of neighbours in a held-out part of the sample, or ``probes`` for every query: with all
+    of them the result is exact. Other columns are not read; no queries or candidates give an empty result.
     """
-    if parts < 1 or parts & (parts - 1):
+    if parts is not None and (parts < 1 or parts & (parts - 1)):
         raise ValueError("parts is a power of two")
     spark = table.sparkSession
     values = F.transform("embedding", lambda x: x.cast("double"))
     keep = finite("embedding") & F.exists("embedding", lambda x: x != 0)
     vectors = numbered_vectors(table, values, keep, every)
+    parts = parts or parts_for(vectors.count())
     fitted = vectors.orderBy(F.xxhash64(F.lit(seed), "row"), "row").limit(sample).select("data").toArrow()
     data = matrix(fitted.combine_chunks().to_batches()[0]) if len(fitted) else np.zeros((0, 1))
-    model = spark.sparkContext.broadcast(train(data, parts, seed=seed))
+    model = spark.sparkContext.broadcast(train(data, parts, seed=seed, recall=recall))
     columns = F.struct("size", "width", "rows", "ids", "data")
     assigned = vectors.select("row", "id", "data").mapInArrow(
         _assigned(model), "part long, row long, id long, data array<double>")
     chunks = stored(
         packed(assigned.sortWithinPartitions("part", "row"), CHUNK).select("part", columns.alias("chunk")))
     queries = vectors.where("query").select("row", "id", "data")
-    routed = queries.mapInArrow(_routed(model, min(probes, parts)), "row long, parts array<long>")
+    routed = queries.mapInArrow(_routed(model, probes), "row long, parts array<long>")
     sent = routed.select("row", F.explode("parts").alias("part")).join(queries, "row")
     # Blocks of one part and about BLOCK queries: a part that many queries ask for has many blocks.
     share = max(1, -(-queries.count() // BLOCK))

@@ -56,7 +56,7 @@ def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
-    """10 nearest of every hundredth vector, in 24 of 32 learned partitions."""
+    """10 nearest of every hundredth vector, in those learned partitions that hold their likely neighbours."""
     return learned_partitions.nearest(_table(spark, folder, "embeddings"), k=10, every=100)
 
 

@@ -97,6 +97,39 @@ def test_recall_of_the_query(spark):
     assert len(got) == len(want) and len(got & want) >= 0.9 * len(want)
 
 
+def searched(data, queries):
+    """Recall of 10 nearest and share of all vectors that queries are compared with."""
+    router = learned_partitions.train(data[:4096], 32)
+    part = router.ordered(data)[0][:, 0]
+    found = shared = 0
+    for query, parts in zip(queries, router.route(queries)):
+        near = np.argsort(((data - query) ** 2).sum(1))[:10]
+        found += np.isin(part[near], parts).mean()
+        shared += np.isin(part, parts).mean()
+    return found / len(queries), shared / len(queries)
+
+
+def test_few_parts_are_searched_where_vectors_have_clusters():
+    r = np.random.default_rng(12)
+    centres = r.normal(size=(200, 24))
+    draw = lambda n: centres[r.integers(0, 200, n)] + 0.35 * r.normal(size=(n, 24))
+    recall, share = searched(draw(8000), draw(100))
+    assert recall >= 0.93 and share <= 0.35
+    recall, share = searched(r.normal(size=(8000, 24)), r.normal(size=(100, 24)))  # no clusters: more is searched
+    assert recall >= 0.9 and share > 0.35
+
+
+def test_parts_grow_with_the_table():
+    assert [learned_partitions.parts_for(n) for n in (0, 10**6, 10**7, 10**12)] == [32, 32, 128, 128]
+
+
+def test_a_row_is_routed_alike_in_any_batch():
+    data = np.random.default_rng(3).normal(size=(500, 8))
+    router = learned_partitions.train(data, 8)
+    whole = router.ordered(data)[0]
+    assert all((router.ordered(data[i:i + n])[0] == whole[i:i + n]).all() for i, n in ((0, 1), (7, 64), (100, 65), (3, 400)))
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert norm_search.top_products(none).count() == 0 and learned_partitions.nearest(none).count() == 0
@@ -109,5 +142,5 @@ def test_partition_is_balanced_and_learned():
     data = np.repeat(r.normal(size=(8, 10)) * 4, 50, 0) + r.normal(size=(400, 10))
     labels = learned_partitions.partition(learned_partitions.neighbour_graph(data, 10), 8)
     assert set(np.bincount(labels).tolist()) == {50}
-    router = learned_partitions.Router(8, 10).fit(data, labels)
-    assert (router.route(data, 1)[:, 0] == labels).mean() > 0.9
+    router = learned_partitions.Router(8, 10).fit(data, labels, np.eye(8)[labels])
+    assert (router.ordered(data)[0][:, 0] == labels).mean() > 0.9
