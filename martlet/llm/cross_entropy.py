@@ -25,14 +25,15 @@ _CLASSES = 15  # unknown words by number of bytes
 _EDGE = 0  # stands for the text's edge before its first word
 SLICES = 3
 _CHUNK = 1 << 20  # bytes of text hashed at a time
+_COUNTED = 8 << 20  # bytes of text whose bigrams are counted before they are sent
 _UNIT = 2.0**-24  # losses are summed as whole numbers of it, so that their order does not matter
 
 
-def _chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``_CHUNK`` bytes, or of one text."""
-    begin, size = 0, 0
+def _chunks(texts: list[bytes], most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``_CHUNK`` bytes, or ``most``, or of one text."""
+    begin, size, most = 0, 0, most or _CHUNK
     for i, text in enumerate(texts):
-        if size and size + len(text) > _CHUNK:
+        if size and size + len(text) > most:
             yield begin, i
             begin, size = i, 0
         size += len(text) + 1
@@ -94,6 +95,34 @@ def _bigrams(known, part: int, parts: int, columns: list[str]):
     return run
 
 
+def _bigram_counts(known, part: int, parts: int):
+    """Rows (a, b, n, target) of a chunk of texts: how often b follows a of a slice, and how often in target texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, flags = batch["data"].to_pylist(), np.array(batch["target"].to_pylist(), bool)
+            for begin, end in _chunks(texts, _COUNTED):
+                a, b, target = [], [], []
+                for low, high in _chunks(texts[begin:end]):  # hashed in smaller pieces
+                    text, words = hashed_words(texts[begin + low:begin + high], known and known.value)
+                    before = np.concatenate((np.full(min(1, len(words)), _EDGE, np.uint64), words[:-1]))
+                    before[1:][text[1:] != text[:-1]] = _EDGE
+                    own = before % np.uint64(parts) == part
+                    a.append(before[own])
+                    b.append(words[own])
+                    target.append(flags[begin + low:begin + high][text[own]])
+                a, b, target = (np.concatenate(x) for x in (a, b, target))
+                order = np.lexsort((b, a))
+                a, b = a[order], b[order]
+                new = np.ones(len(a), bool)
+                new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+                first = np.flatnonzero(new)
+                held = np.add.reduceat(target[order].astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a[first].view(np.int64)), pa.array(b[first].view(np.int64)),
+                     pa.array(np.diff(np.concatenate((first, [len(a)])))), pa.array(held)], ["a", "b", "n", "target"])
+    return run
+
+
 def _loss(n: Column, total: Column, kinds: Column, word: Column, words: int, size: int) -> Column:
     """Loss (negative natural logarithm) of a word after another one, in units."""
     kinds = F.greatest(kinds, F.lit(1))
@@ -107,7 +136,7 @@ def _bigram_losses(counts: DataFrame, single: DataFrame, words: int, target_word
         F.sum("n").alias("n_a"), F.sum("target").alias("target_a"),
         F.count(F.lit(1)).alias("kinds"), F.sum((F.col("target") > 0).cast("long")).alias("target_kinds")))
     c = F.col
-    losses = stored(counts.join(followed, "a").join(single, "b").select(
+    losses = stored(counts.join(followed.hint("shuffle_hash"), "a").join(single.hint("shuffle_hash"), "b").select(
         _pair().alias("pair"),
         _loss(c("target"), c("target_a"), c("target_kinds"), c("target_b"), target_words, size).alias("target_loss"),
         _loss(c("n"), c("n_a"), c("kinds"), c("n_b"), words, size).alias("background_loss")))
@@ -156,14 +185,15 @@ def score(docs: DataFrame, targets: DataFrame, words: int | None = None, slices:
     n, sums = F.col("n"), []
     for part in range(slices):
         counts = stored(
-            flagged.mapInArrow(_bigrams(known, part, slices, ["target"]), "a long, b long, n long, target boolean")
-            .groupBy("a", "b").agg(F.sum(n).alias("n"), F.sum(F.when(F.col("target"), n).otherwise(0)).alias("target")))
+            # Counted by chunk already, so they are sent as they are: few are equal within a task.
+            flagged.mapInArrow(_bigram_counts(known, part, slices), "a long, b long, n long, target long")
+            .repartition("a", "b").groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("target").alias("target")))
         losses = _bigram_losses(counts, single, total, target_total, size)
         drop(counts)
         own = texts.select(data, *digest).mapInArrow(
             _bigrams(known, part, slices, ["d1", "d2"]), "a long, b long, n long, d1 long, d2 long")
         sums.append(stored(
-            own.select("d1", "d2", _pair().alias("pair"), "n").join(losses, "pair").groupBy("d1", "d2").agg(
+            own.select("d1", "d2", _pair().alias("pair"), "n").join(losses.hint("shuffle_hash"), "pair").groupBy("d1", "d2").agg(
                 F.sum("n").alias("n"), *(F.sum(n * F.col(c)).alias(c) for c in ("target_loss", "background_loss")))))
         drop(losses)
     drop(single)

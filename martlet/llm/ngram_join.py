@@ -64,7 +64,7 @@ def _first(size, num: int, den: int):
 def _stored_of(size, num: int, den: int):
     """How many of the smallest n-grams are kept beside a set's key: more than come first, as some may be moved last."""
     first = _first(size, num, den)
-    return np.minimum(size, first + first // 4 + 16)
+    return np.minimum(size, first + first // 8 + 12)
 
 
 def _keys(words: int, num: int, den: int):
@@ -328,12 +328,12 @@ def _pairs_with_pivots(named: DataFrame, counts: DataFrame, num: int, den: int,
         .select(F.col("row").alias("x"), F.col("p_row").alias("p")).distinct())
 
 
-def link(base: DataFrame, keys: DataFrame, words: int, num: int, den: int, owned: bool) -> DataFrame:
+def link(base: DataFrame, keyed: DataFrame, keys: DataFrame, words: int, num: int, den: int, owned: bool) -> DataFrame:
     """(node, root) of components of linked sets, one node for each different set; others are alone.
 
-    A base that is ``owned`` is deleted as soon as the sets are there.
+    ``keyed`` is ``keys`` with heads. It is deleted as soon as it has been used, as is a base that is ``owned``.
     """
-    heads = keys.where("size > 0").select("row", "low", "size", "head")
+    heads = keyed.where("size > 0").select("row", "low", "size", "head")
     order = frequent_order(heads, num, den)
     # Sets with so many frequent n-grams that the stored ones do not reach are cut up once more.
     short = stored(heads.mapInArrow(_short_rows(num, den, order), "row long, low long, size long"))
@@ -348,10 +348,10 @@ def link(base: DataFrame, keys: DataFrame, words: int, num: int, den: int, owned
     found = stored(
         heads.mapInArrow(_first_grams(num, den, order, False), "gram long, row long, size int, place int")
         .join(branches, "gram").join(one, "row", "left_semi"))
+    drop(branches, short, again, keyed)
     sets = stored(
         base.join(found.select("row").distinct(), "row").select("row", "data")
         .mapInArrow(_whole_sets(words, order), "row long, grams binary, odd array<long>"))
-    drop(branches, short, again)
     if owned:
         drop(base)
     first = F.col("size") - F.ceil(F.col("size") * num / den) + 1
@@ -385,9 +385,10 @@ def link(base: DataFrame, keys: DataFrame, words: int, num: int, den: int, owned
 def classes_of(base: DataFrame, words: int, num: int, den: int, owned: bool) -> DataFrame:
     """:func:`similar_classes` of stored and numbered rows (row, doc_id, data)."""
     doc_id = base.schema["doc_id"].dataType.simpleString()
-    keys = stored(base.select("row", "doc_id", "data").mapInArrow(
+    keyed = stored(base.select("row", "doc_id", "data").mapInArrow(
         _keys(words, num, den), f"row long, doc_id {doc_id}, high long, low long, size long, head binary"))
-    labels = link(base, keys, words, num, den, owned)
+    keys = stored(keyed.drop("head"))
+    labels = link(base, keyed, keys, words, num, den, owned)
     named = keys.where("size > 0")
     sets = named.groupBy("high", "low").agg(
         F.min("row").alias("node"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
