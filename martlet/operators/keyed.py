@@ -16,6 +16,7 @@ entry in the session's catalogue is made again when it is missing.
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import uuid
 from collections.abc import Sequence
@@ -65,6 +66,12 @@ class KeyedTable:
             *named.fields, T.StructField(BEFORE, self.rows), T.StructField(AFTER, self.rows),
             T.StructField(COMMIT, T.TimestampNTZType()), T.StructField(BATCH, T.LongType())])
 
+    def on(self, spark: SparkSession) -> KeyedTable:
+        """The same table in another session, such as that of a streaming query's batch."""
+        other = copy.copy(self)
+        other.spark = spark
+        return other
+
     # ---- what is stored -----------------------------------------------------------------------
 
     def batches(self) -> list[int]:

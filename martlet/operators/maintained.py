@@ -13,10 +13,11 @@ values came and went.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,6 +69,13 @@ class MaintainedAggregate:
                     source, f"{path}_{name}", [*self.by, m.column], {}, derive, buckets)
         self.groups = KeyedTable(self.spark, path, T.StructType(fields), self.by, buckets)
 
+    def on(self, spark: SparkSession) -> MaintainedAggregate:
+        """The same aggregate in another session."""
+        other = copy.copy(self)
+        other.spark, other.source, other.groups = spark, self.source.on(spark), self.groups.on(spark)
+        other.distinct = {name: inner.on(spark) for name, inner in self.distinct.items()}
+        return other
+
     # ---- reading ------------------------------------------------------------------------------
 
     def read(self) -> DataFrame:

@@ -7,7 +7,7 @@ after a micro-batch has been written, and a batch that is replayed finds its own
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.operators import history
+from martlet.operators.keyed import KeyedTable
+from martlet.operators.maintained import MaintainedAggregate
 from martlet.plans import mart
 from martlet.sources import ingest
 
@@ -119,6 +121,25 @@ def start_merge(
         "checkpointLocation", checkpoint).trigger(**_trigger(interval)).start()
 
 
+def start_followed_merge(
+    spark: SparkSession, raw_path: str, table: KeyedTable, followers: Sequence[MaintainedAggregate], checkpoint: str,
+    interval: str | None = "1 minute", files_per_batch: int | None = None,
+):
+    """Merge new RAW rows into a keyed fact and bring the aggregates that follow it up to date, within ``interval``.
+
+    A batch that is delivered again finds itself merged; aggregates that an interrupted batch left behind catch up.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        own, now = batch.sparkSession, F.localtimestamp()
+        source = mart.fact_purchase_events(mart.stg_event_items(batch))
+        table.on(own).merge(batch_id, source, None, now)
+        for follower in followers:
+            follower.on(own).refresh(now)
+
+    return read_raw_stream(spark, raw_path, files_per_batch).writeStream.foreachBatch(write).option(
+        "checkpointLocation", checkpoint).trigger(**_trigger(interval)).start()
+
+
 def start_dynamic_table(
     spark: SparkSession, raw_path: str, table_path: str, checkpoint: str,
     interval: str | None = "1 minute",

@@ -6,10 +6,13 @@ import pathlib
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import golden
 from conftest import rows
 from martlet.operators import history
+from martlet.operators.keyed import KeyedTable
+from martlet.operators.maintained import MaintainedAggregate, Measure
 from martlet.plans import mart
 from martlet.sources import ingest
 from martlet.streaming import incremental, job
@@ -215,3 +218,34 @@ def test_folding_keeps_the_fact_and_survives_a_lost_fold(spark, paths, tmp_path)
     gone = history.expire(spark, log)
     assert len(gone) == 8 and rows(job.fact(spark, paths).select(*FACT)) == expected
     assert job.run(spark, paths, fold_after=3) == 12
+
+
+def test_followed_aggregates_keep_up(spark, paths, tmp_path):
+    """Sales by category stay those of the fact, load by load, also after a batch that did not reach them."""
+    fact = mart.fact_purchase_events(mart.stg_event_items(ingest.to_raw(spark.createDataFrame(
+        [("{}", "f", "p")], "line string, src_filename string, src_path string")).drop("src_path").withColumn(
+            "loaded_at", F.localtimestamp())))
+    table = KeyedTable(spark, f"{paths.root}/fact", T.StructType([fact.schema[c] for c in FACT]), mart.FACT_KEY, 4)
+    sales = MaintainedAggregate(table, f"{paths.root}/sales", ["category"], {
+        "lines": Measure("count"), "amount": Measure("sum", "line_amount"), "orders": Measure("distinct", "event_id")}, buckets=2)
+
+    def step(*followers):
+        load(spark, paths)
+        incremental.start_followed_merge(
+            spark, paths.raw, table, followers, paths.checkpoint("followed"), interval=None).awaitTermination()
+
+    def same():
+        want = table.state().groupBy("category").agg(
+            F.count(F.lit(1)).alias("lines"), F.sum("line_amount").alias("amount"), F.count_distinct("event_id").alias("orders"))
+        assert rows(sales.read()) == rows(want) and rows(want)
+
+    documents = golden.documents()
+    land(tmp_path / "landing", "a.json", documents[:4])
+    step(sales)
+    same()
+    land(tmp_path / "landing", "b.json", documents[3:6])
+    step()  # merged, but the aggregates were not reached
+    land(tmp_path / "landing", "c.json", documents[5:])
+    step(sales)
+    same()
+    assert rows(table.state().select(*FACT).drop("src_filename")) == rows(batch_fact(spark, paths).select(*FACT).drop("src_filename"))
