@@ -21,7 +21,7 @@ from martlet.sizing import limit, segment_count, stored
 
 SEGMENT = "_segment"
 SAMPLES_PER_SEGMENT = 8
-KEYLESS_SEGMENT_ROWS = 50_000
+KEYLESS_SEGMENT_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
