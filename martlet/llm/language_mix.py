@@ -25,6 +25,9 @@ BITS, MOST_BITS = 17, 22  # hashed cells of a language's model: 2 to the power o
 TEXT_BITS = 30  # a corpus of 2 to the power of so many bytes has 2**BITS cells; for each doubling there are twice as many
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
+#: Fit from which on a text is in the learned languages. Letters of an unknown script have -ln 64 = -4.16 each, random
+#: ones less, and texts of the test tables -2.3 at least.
+LEAST_FIT = -4.0
 _SETTLED = 1e-4  # expectation-maximisation ends when no share changes by more
 _ROUNDS = 500  # a bound that only rounding could reach: shares settle long before
 _SMOOTH = 0.5
@@ -92,13 +95,13 @@ class Languages:
         self.above = np.log(four + _SMOOTH / 64).astype(np.float32).T.copy()
         self.below = np.log(three + _SMOOTH).astype(np.float32).T.copy()
 
-    def word_scores(self, text: str) -> np.ndarray:
-        """Log-likelihood of each word (rows) in each language."""
+    def word_scores(self, text: str) -> tuple[np.ndarray, int]:
+        """Log-likelihood of each word (rows) in each language, and the number of letters that it is of."""
         four, three, word = grams(text, self.bits)
         if not len(four):
-            return np.zeros((0, len(self.names)))
+            return np.zeros((0, len(self.names))), 0
         starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-        return np.add.reduceat(self.above[four] - self.below[three], starts, axis=0).astype(np.float64)
+        return np.add.reduceat(self.above[four] - self.below[three], starts, axis=0).astype(np.float64), len(four)
 
 
 def _normal(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,8 +122,8 @@ def shares_of(scores: np.ndarray, members: list[int]) -> tuple[np.ndarray, float
     return shares, float((np.log(likely @ shares + 1e-300) + top).sum())
 
 
-def mixture(scores: np.ndarray) -> list[tuple[int, float]]:
-    """(language, share) of the set that the penalised likelihood selects, the largest share first."""
+def mixture(scores: np.ndarray) -> tuple[list[tuple[int, float]], float]:
+    """(language, share) of the set that the penalised likelihood selects, the largest share first, and its log-likelihood."""
     words, languages = scores.shape
     single = scores.sum(0)
     order = [int(np.argmax(single))]
@@ -134,7 +137,7 @@ def mixture(scores: np.ndarray) -> list[tuple[int, float]]:
             if value - best <= 0.5 * np.log(max(words, 2)) + 1.0:
                 break
             chosen, best = list(zip(members, shares.tolist())), value
-    return sorted(chosen, key=lambda x: (-x[1], x[0]))
+    return sorted(chosen, key=lambda x: (-x[1], x[0])), best
 
 
 def train(labelled: DataFrame) -> Languages:
@@ -161,16 +164,17 @@ def _infer(model, names: list[str], at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages: Languages = model.value
         for batch in batches:
-            predicted, scores, shares = [], [], []
+            predicted, scores, shares, fits = [], [], [], []
             for text in batch.column(at).to_pylist():
-                found = languages.word_scores(text) if text and languages.names and _LETTER.search(text) else []
-                mixed = mixture(found) if len(found) else []
+                found, letters = languages.word_scores(text) if text and languages.names and _LETTER.search(text) else ([], 0)
+                mixed, likely = mixture(found) if len(found) else ([], 0.0)
+                fits.append(likely / letters if mixed else None)
                 predicted.append(languages.names[mixed[0][0]] if mixed else UNKNOWN)
                 scores.append(min(1.0, max(0.0, mixed[0][1])) if mixed else 0.0)
                 shares.append([{"lang": languages.names[i], "share": s} for i, s in mixed])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(predicted, pa.string()), pa.array(scores, pa.float64()),
-                 pa.array(shares, _SHARES)], names)
+                 pa.array(shares, _SHARES), pa.array(fits, pa.float64())], names)
     return run
 
 
@@ -180,7 +184,9 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with held_out, lang_pred, score and shares (languages and their shares).
+    """Rows of ``docs`` with held_out, lang_pred, score, shares (languages and their shares) and fit.
+
+    fit is the mean log-likelihood of a letter in the selected languages, null where there is none.
 
     Models learn from text and lang of the rows that are not held out, all of them. A prediction depends
     on the text alone. lang_pred is the language of the largest share, score that share; a text that is
@@ -192,13 +198,13 @@ def identify(docs: DataFrame) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(languages)
     added = [
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-        T.StructField("shares", T._parse_datatype_string("array<struct<lang:string,share:double>>"))]
+        T.StructField("shares", T._parse_datatype_string("array<struct<lang:string,share:double>>")),
+        T.StructField("fit", T.DoubleType())]
     rows = docs.select(*[column(c) for c in docs.columns if c != "held_out"])
     return with_columns_mapped(
         spread(rows), lambda names, at: _infer(model, names, at("text")), added).withColumn("held_out", held_out())
 
 
-def accepted(identified: DataFrame, least_share: float = 0.5) -> DataFrame:
-    """Rows of :func:`identify` whose selected languages make up ``least_share`` of the words together."""
-    together = F.aggregate("shares", F.lit(0.0), lambda s, x: s + x["share"])
-    return identified.where((F.col("lang_pred") != UNKNOWN) & (together >= least_share))
+def accepted(identified: DataFrame, least_fit: float = LEAST_FIT) -> DataFrame:
+    """Rows of :func:`identify` in learned languages, one or several: those that fit them better than noise does."""
+    return identified.where((F.col("lang_pred") != UNKNOWN) & (F.col("fit") >= least_fit))

@@ -141,7 +141,8 @@ def test_languages_equal_plain_models(spark):
 def test_documents_in_several_known_languages_are_accepted(spark):
     words = {k: v.split() for k, v in TEXTS.items()}
     mixed = " ".join(words["de"] * 2 + words["fr"] * 2 + words["en"] * 2)
-    rows = [r for r in language_rows() if r[0] is not None and r[0] < 240] + [(900, mixed, None), (901, None, None), (902, "1 2", None)]
+    rows = [r for r in language_rows() if r[0] is not None and r[0] < 240] + [(900, mixed, None), (901, None, None), (902, "1 2", None),
+        (903, "xqzjk vwqxz qqkjx zxvwq jjqzx wvkqz xxjqk", None), (904, "这是一个完全不同的语言的句子", None)]
     found = language_mix.identify(table(spark, rows))
     assert found.where("doc_id = 900").first().score < 0.5
     assert {r.doc_id for r in language_mix.accepted(found).collect()} == {*range(240), 900}
@@ -156,7 +157,7 @@ def test_cells_grow_with_the_corpus():
 def test_languages_with_any_column_names(spark):
     docs = spark.createDataFrame([(1, "the house", "en", 5, 6)], "doc_id long, text string, lang string, `a.b` int, held_out int")
     got = language_mix.identify(docs)
-    assert got.columns == ["doc_id", "text", "lang", "a.b", "lang_pred", "score", "shares", "held_out"]
+    assert got.columns == ["doc_id", "text", "lang", "a.b", "lang_pred", "score", "shares", "fit", "held_out"]
     assert got.first()["a.b"] == 5
 
 
