@@ -16,8 +16,8 @@ KEY = b"corpus pipeline"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters whose languages, one or several, are known; a null text has none."""
-    return language_mix.accepted(language_mix.identify(docs), 0.5).select(*map(column, docs.columns))
+    """Documents in learned languages, one or several; those without letters go, as do noise and unknown scripts."""
+    return language_mix.accepted(language_mix.identify(docs)).select(*map(column, docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
