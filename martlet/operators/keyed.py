@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.operators.files import delete, exists, make, numbered_folders, rename
-from martlet.sizing import limit, lookup_join
+from martlet.sizing import limit, lookup_join, stored
 
 HASH, BATCH, COMMIT, INSERTED = "_hash", "_batch", "commit_ts", "inserted_at"
 BEFORE, AFTER = "_before", "_after"
@@ -177,6 +177,7 @@ class KeyedTable:
         if deletes is not None:
             gone = deletes.select(key_hash(self.key).alias(HASH), *self.key).distinct()
             new = new.unionByName(gone, allowMissingColumns=True)
+        new = stored(new)  # read for the lookup and for the join
         old = self.lookup(new.select(HASH, *self.key))
         both = join_keys(new, old, self.key, "left").select(
             HASH, *[F.col(f"`{k}`") for k in self.key], F.col("_row").alias(BEFORE), "_new")

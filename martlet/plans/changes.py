@@ -41,43 +41,42 @@ def _day(n: int):
     return F.lit(f"2002-01-0{n}").cast("timestamp_ntz")
 
 
-def _followed(ws, table: KeyedTable) -> dict[str, MaintainedAggregate]:
-    where = ws.location("keyed_fact")
-    monthly = lambda rows: rows.withColumns({"year_num": F.year("event_time"), "month_num": F.month("event_time")})
-    return {
-        "category_monthly": MaintainedAggregate(
-            table, f"{where}_category_monthly", ["year_num", "month_num", "category"], {
-                "items": Measure("count"), "total_qty": Measure("sum", "qty"), "sales_amount": Measure("sum", "line_amount"),
-                "smallest_line": Measure("min", "line_amount"), "largest_line": Measure("max", "line_amount")}, monthly, BUCKETS),
-        "user_ltv": MaintainedAggregate(
-            table, f"{where}_user_ltv", ["user_id"], {
-                "lifetime_value": Measure("sum", "line_amount"), "purchase_count": Measure("distinct", "event_id"),
-                "last_purchase": Measure("max", "event_time")}, buckets=BUCKETS),
-    }
-
-
-def _table(ws) -> KeyedTable:
-    columns = ws.event_items.schema
-    schema = T.StructType([columns[c] for c in mart.FACT_COLUMNS])
-    return KeyedTable(ws.spark, ws.location("keyed_fact"), schema, KEY, BUCKETS)
+def _monthly(rows):
+    return rows.withColumns({"year_num": F.year("event_time"), "month_num": F.month("event_time")})
+
+
+def _category_monthly(ws, table: KeyedTable) -> MaintainedAggregate:
+    return MaintainedAggregate(
+        table, f"{table.path}_groups", ["year_num", "month_num", "category"], {
+            "items": Measure("count"), "total_qty": Measure("sum", "qty"), "sales_amount": Measure("sum", "line_amount"),
+            "smallest_line": Measure("min", "line_amount"), "largest_line": Measure("max", "line_amount")}, _monthly, BUCKETS)
 
 
-def keyed_fact(ws) -> KeyedTable:
-    """The table after all batches, with its aggregates refreshed after each."""
-    table = _table(ws)
+def _user_ltv(ws, table: KeyedTable) -> MaintainedAggregate:
+    return MaintainedAggregate(
+        table, f"{table.path}_groups", ["user_id"], {
+            "lifetime_value": Measure("sum", "line_amount"), "purchase_count": Measure("distinct", "event_id"),
+            "last_purchase": Measure("max", "event_time")}, buckets=BUCKETS)
+
+
+def keyed_fact(ws, name: str = "keyed_fact", follower=None) -> KeyedTable:
+    """The table after all batches; a ``follower`` is brought up to date after each."""
+    columns = ws.event_items.schema
+    schema = T.StructType([columns[c] for c in mart.FACT_COLUMNS])
+    table = KeyedTable(ws.spark, ws.location(name), schema, KEY, BUCKETS)
 
     def write() -> None:
         first, second = _loads(ws)
-        followed = _followed(ws, table)
+        aggregate = follower and follower(ws, table)
 
         def refresh(n: int) -> None:
-            for aggregate in followed.values():
+            if aggregate:
                 aggregate.refresh(_day(n))
 
         table.merge(1, first, None, _day(1))
         table.fold()
         refresh(1)
-        for aggregate in followed.values():
+        if aggregate:
             aggregate.groups.fold()
         table.merge(2, second, None, _day(2))
         table.merge(2, second, None, _day(3))  # delivered again: changes nothing
@@ -89,7 +88,7 @@ def keyed_fact(ws) -> KeyedTable:
         table.merge(3, moved, state.where((F.col("category") == "SMALL") & (year < 1996)), _day(3))
         refresh(3)
 
-    ws.once("keyed_fact", write)
+    ws.once(name, write)
     return table
 
 
@@ -120,7 +119,7 @@ SELECT CAST(year(event_time) AS INTEGER) AS year_num, CAST(month(event_time) AS
        CAST(min(line_amount) AS DOUBLE) AS smallest_line, CAST(max(line_amount) AS DOUBLE) AS largest_line
 FROM final GROUP BY ALL"""))
 def dyn_category_monthly(ws):
-    return _followed(ws, keyed_fact(ws))["category_monthly"].read()
+    return _category_monthly(ws, keyed_fact(ws, "keyed_fact_monthly", _category_monthly)).read()
 
 
 @query("dyn_user_ltv", with_ctes(FINAL, USERS, select=f"""
@@ -128,6 +127,6 @@ SELECT user_id, user_name, prefecture, CAST(sum(line_amount) AS DOUBLE) AS lifet
        count(DISTINCT event_id) AS purchase_count, {text('max(event_time)').replace('AS max(event_time)', 'AS last_purchase')}
 FROM final JOIN users USING (user_id) GROUP BY user_id, user_name, prefecture"""))
 def dyn_user_ltv(ws):
-    totals = _followed(ws, keyed_fact(ws))["user_ltv"].read()
+    totals = _user_ltv(ws, keyed_fact(ws, "keyed_fact_ltv", _user_ltv)).read()
     return lookup_join(totals, ws.users, "user_id").select(
         "user_id", "user_name", "prefecture", "lifetime_value", "purchase_count", "last_purchase")
