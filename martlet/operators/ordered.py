@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from martlet.sizing import limit, segment_count, stored
+from martlet.sizing import limit, segment_count, small_enough, stored
 
 SEGMENT = "_segment"
 SAMPLES_PER_SEGMENT = 8
@@ -294,3 +294,23 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str])
     total = [*newest_by, *[c for c in payload if c not in newest_by]]
     latest = F.max(F.struct(*[F.col(f"`{c}`") for c in total])).alias("_row")
     return df.groupBy(*keys).agg(latest).select(*keys, "_row.*").select(*df.columns)
+
+
+COPIED_KEYS = 2_000_000  # as hashes, about 32 MB in every executor
+
+
+def latest_of_copies(
+    df: DataFrame, keys: Sequence[str], newest_by: Sequence[str], max_copied: int = COPIED_KEYS
+) -> DataFrame:
+    """``latest_per_key`` of a stored table in which most keys are there once. ``df`` is read twice.
+
+    A first pass counts hashes of the keys. Rows whose hash is there once are already the latest and stay
+    where they are; only the others are shuffled and compared. Equal hashes of different keys merely go the
+    longer way. With more copied keys than may be broadcast, all rows go that way.
+    """
+    key = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+    copied = stored(df.groupBy(key.alias("_copied")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_copied"))
+    if not small_enough(copied, max_copied):
+        return latest_per_key(df, keys, newest_by)
+    alone, several = (df.join(F.broadcast(copied), key == F.col("_copied"), how) for how in ("left_anti", "left_semi"))
+    return alone.unionByName(latest_per_key(several, keys, newest_by))

@@ -41,9 +41,16 @@ def flatten(df: DataFrame, where: str, raw: str = "raw") -> DataFrame:
 
     Rows whose path is missing or empty disappear.
     """
-    spark = df.sparkSession
-    element = spark.tvf.variant_explode(path(F.col(raw).outer(), where, "variant"))
-    return df.lateralJoin(element)
+    return _elements(df, path(F.col(raw).outer(), where, "variant"))
+
+
+def _elements(df: DataFrame, array: Column) -> DataFrame:
+    return df.lateralJoin(df.sparkSession.tvf.variant_explode(array))
+
+
+def flatten_variant(df: DataFrame, column: str) -> DataFrame:
+    """The same for a variant column that is the array or object itself; the column is left out."""
+    return _elements(df, F.col(column).outer()).drop(column)
 
 
 def flatten_with_meta(

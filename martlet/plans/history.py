@@ -82,7 +82,7 @@ second_load AS (
 
 def _loads(ws):
     """A first load up to SPLIT, and a later one that corrects and extends it by a year's overlap."""
-    rows = mart.merge_source(ws.event_items).select(*mart.FACT_COLUMNS, "loaded_at")
+    rows = mart.merge_stored(ws.event_items).select(*mart.FACT_COLUMNS, "loaded_at")
     first = rows.where(F.col("loaded_at") < _moment(SPLIT)).drop("loaded_at")
     second = rows.where(F.col("loaded_at") >= _moment("1999-01-01")).drop("loaded_at").withColumns({
         "qty": F.col("qty") + 1,
@@ -167,7 +167,7 @@ state AS (
 
 def _log(ws):
     def build():
-        rows = mart.merge_source(ws.event_items).select(
+        rows = mart.merge_stored(ws.event_items).select(
             *mart.FACT_COLUMNS, F.year("loaded_at").cast("bigint").alias("year"))
 
         def batch(selected, later, op=history.UPSERT):

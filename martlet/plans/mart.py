@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.operators.ordered import latest_per_key
-from martlet.operators.variant import event_time, flatten, header_columns, item_columns, path
+from martlet.operators.ordered import latest_of_copies, latest_per_key
+from martlet.operators.variant import event_time, flatten_variant, header_columns, item_columns, path
 from martlet.sizing import lookup_join
 
 FACT_KEY = ("event_id", "sku")
@@ -56,11 +56,20 @@ def dyn_stg_events(raw: DataFrame) -> DataFrame:
 
 
 def stg_event_items(raw: DataFrame) -> DataFrame:
-    """One row per purchased item. Copies from reloads are kept, as in the RAW layer."""
-    return flatten(raw, "items").select(
+    """One row per purchased item. Copies from reloads are kept, as in the RAW layer.
+
+    The header is read once for each document, and only the items themselves go through the generator.
+    """
+    heads = raw.select(
         path("raw", "event_id").alias("event_id"),
         path("raw", "user_id").alias("user_id"),
-        event_time().alias("event_time"),
+        path("raw", "event_time").alias("event_time"),
+        path("raw", "items", "variant").alias("items"),
+        "src_filename", "loaded_at",
+    )
+    return flatten_variant(heads, "items").select(
+        "event_id", "user_id",
+        F.to_timestamp_ntz("event_time").alias("event_time"),
         *item_columns(),
         F.coalesce(path("value", "line_no", "bigint"), F.col("pos").cast("bigint")).alias("line_no"),
         "src_filename", "loaded_at",
@@ -72,6 +81,11 @@ def merge_source(items: DataFrame) -> DataFrame:
     return latest_per_key(items, FACT_KEY, NEWEST_LOAD)
 
 
+def merge_stored(items: DataFrame) -> DataFrame:
+    """``merge_source`` of a stored table, which may be read twice: only rows whose key has copies are shuffled."""
+    return latest_of_copies(items, FACT_KEY, NEWEST_LOAD)
+
+
 def fact_purchase_events(items: DataFrame) -> DataFrame:
     return merge_source(items).select(*FACT_COLUMNS)
 

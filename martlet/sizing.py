@@ -22,6 +22,8 @@ LIMITS = {
     "broadcastBytes": 256 * 1024 * 1024,
     # Rows one task should sort at most when an ordered computation is split into segments.
     "segmentRows": 8_000_000,
+    # Rows of a shuffle that one task gathers or sorts in memory, whatever the session's number of partitions.
+    "taskRows": 500_000,
     # Rows per output file of a clustered write (about 128-256 MB of fact rows).
     "fileRows": 4_000_000,
     # Keys that are looked up one by one in a table, by its buckets and row groups.
@@ -101,6 +103,12 @@ def segment_count(rows: int, rows_per_segment: int) -> int:
     return max(1, math.ceil(rows / rows_per_segment))
 
 
+def tasks_for(df: DataFrame) -> int:
+    """Partitions of a shuffle of ``df``'s rows, so that a task's share stays in memory at any size."""
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism, segment_count(df.count(), limit(spark, "taskRows")))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for work that is heavy per row, such as tokenising.
 
