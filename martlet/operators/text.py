@@ -126,11 +126,33 @@ class TextClassifier:
         ).alias("class"))
 
 
+def _counted(words: DataFrame, kept: Sequence[str]) -> DataFrame:
+    """``kept``, ``term``, ``tf`` of each row by itself: its sorted tokens, where a run of equal ones begins and ends."""
+    sizes = words.select(*kept, F.array_sort("_tokens").alias("_sorted"))
+    begins = sizes.select(*kept, F.size("_sorted").alias("_n"), F.array_compact(F.transform("_sorted", lambda w, i: F.when(
+        (i == 0) | (w != F.get("_sorted", i - 1)), F.struct(w.alias("term"), i.alias("at"))))).alias("_runs"))
+    counts = F.transform("_runs", lambda r, j: F.struct(
+        r["term"].alias("term"),
+        (F.coalesce(F.get("_runs", j + 1)["at"], F.col("_n")) - r["at"]).cast("long").alias("tf")))
+    # inline_outer keeps the optimizer from tokenising once more for a filter on the array's size.
+    return begins.select(*kept, F.inline_outer(counts)).where(F.col("term").isNotNull())
+
+
+def count_terms(words: DataFrame, kept: Sequence[str], key: str) -> DataFrame:
+    """``kept``, ``term``, ``tf`` of rows with ``_tokens``. Only rows whose ``key`` is there more than once are
+    counted together, by a shuffle; all others need none."""
+    copied = stored(words.groupBy(F.col(key).alias("_copied")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_copied"))
+    if copied.isEmpty():
+        return _counted(words, kept)
+    same = F.col(key).eqNullSafe(F.col("_copied"))
+    alone, several = (lookup_join(words, copied, same, how) for how in ("left_anti", "left_semi"))
+    return _counted(alone, kept).unionByName(
+        _counted(several, kept).groupBy(*kept, "term").agg(F.sum("tf").alias("tf")))
+
+
 def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``key``, ``term``, ``tf`` of every text."""
-    # explode_outer keeps the optimizer from tokenising once more for a filter on the array's size.
-    terms = spread(docs.select(key, text)).select(key, F.explode_outer(tokens(F.col(text))).alias("term"))
-    return terms.where(F.col("term").isNotNull()).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return count_terms(spread(docs.select(key, text)).select(key, tokens(F.col(text)).alias("_tokens")), [key], key)
 
 
 class BayesClassifier:

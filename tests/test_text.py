@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import golden
 from conftest import rows
-from martlet.operators import search, text
+from martlet.operators import layout, search, text
 
 
 def tokens_of(spark, value):
@@ -157,3 +157,24 @@ def test_rules_are_learned_from_examples():
         assert re.fullmatch(text.learned_rule([example]), example)
     with pytest.raises(ValueError):
         text.learned_rule([""])
+
+
+def test_terms_are_counted_inside_their_row(spark):
+    """Rows of one key are counted together; a text alone needs no shuffle for its terms."""
+    docs = spark.createDataFrame([(1, "b a b"), (2, ""), (3, None), (4, "a a"), (5, "c")], "id long, body string")
+    found = text.term_counts(docs, "id", "body")
+    assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found) == [(1, "a", 1), (1, "b", 2), (4, "a", 2), (5, "c", 1)]
+    twice = docs.unionByName(spark.createDataFrame([(4, "a d"), (None, "e"), (None, "e")], docs.schema))
+    assert rows(text.term_counts(twice, "id", "body")) == [
+        (1, "a", 1), (1, "b", 2), (4, "a", 3), (4, "d", 1), (5, "c", 1), (None, "e", 2)]
+    assert rows(search.postings(twice.where("id = 4"), "id", "body")) == [(4, 2, "a", 3), (4, 2, "d", 1)]
+
+
+def test_quantile_ranks_compare_by_halving(spark):
+    df = spark.range(1000).select(F.when(F.col("id") % 10 != 0, F.col("id")).alias("v"), "id")
+    rank = layout.quantile_rank(df, F.col("v"), F.col("id"), 64, 1000)
+    values = sorted(r[0] for r in df.where("v IS NOT NULL").collect())
+    cuts = [values[i * len(values) // 64] for i in range(1, 64)]
+    assert all(r[1] == (0 if r[0] is None else sum(c <= r[0] for c in cuts)) for r in df.select("v", rank).collect())
+    assert "filter(" not in df.select(rank)._jdf.queryExecution().optimizedPlan().toString()  # before, all cuts for each row
