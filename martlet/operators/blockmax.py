@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.operators.search import B, DIGITS, K1, postings, statistics
+from martlet.operators.search import B, DIGITS, K1, postings, statistics, written_first
 from martlet.operators.text import tokens
 from martlet.sizing import limit, lookup_join, spread, stored
 
@@ -50,8 +50,9 @@ class BlockIndex:
         block = F.pmod(F.xxhash64(F.col(self.key)), F.lit(blocks)).cast("int").alias("block")
         whole = postings(docs, self.key, text, self.attributes).select("*", block)
         order = ["term", "block", self.key]
-        whole.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").option(
-            "parquet.block.size", 8 << 20).parquet(f"{self.path}/postings")
+        with written_first(whole, self.path) as rows:
+            rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").option(
+                "parquet.block.size", 8 << 20).parquet(f"{self.path}/postings")
         kept = self.spark.read.schema(whole.schema).parquet(f"{self.path}/postings")
         kept.groupBy("term", "block").agg(
             F.count(F.lit(1)).alias("documents"), F.max("tf").alias("tf"), F.min("length").alias("length"),

@@ -7,13 +7,16 @@ so weights are computed when a query runs, from sums over the batches.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlet.operators.files import delete
 from martlet.operators.ordered import asc, desc, running
-from martlet.operators.text import tokens
+from martlet.operators.text import count_terms, tokens
 from martlet.sizing import spread, stored
 
 # Fixed values of the published formulas.
@@ -24,14 +27,9 @@ DIGITS = 6
 
 def postings(docs: DataFrame, key: str, text: str, attributes: Sequence[str] = ()) -> DataFrame:
     """``key``, attributes, ``length``, ``term``, ``tf``: one row per distinct term of a document."""
-    kept = [key, *attributes, "length"]
     words = docs.select(key, *attributes, tokens(F.col(text)).alias("_tokens"))
     sized = words.select(key, *attributes, F.size("_tokens").alias("length"), "_tokens")
-    # explode_outer: for a plain explode the optimizer infers a filter on the array's size, moves it
-    # to the scan and tokenises every text a second time.
-    terms = sized.select(*kept, F.explode_outer("_tokens").alias("term"))
-    return terms.where(F.col("term").isNotNull()).groupBy(*kept, "term").agg(
-        F.count(F.lit(1)).alias("tf"))
+    return count_terms(sized, [key, *attributes, "length"], key)
 
 
 def statistics(docs: DataFrame, text: str) -> DataFrame:
@@ -40,6 +38,15 @@ def statistics(docs: DataFrame, text: str) -> DataFrame:
         F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"))
 
 
+@contextmanager
+def written_first(rows: DataFrame, path: str) -> Iterator[DataFrame]:
+    """``rows`` from a folder beside the index: a range partitioning reads its input twice, and would tokenise it twice."""
+    aside = f"{path}/aside-{uuid.uuid4().hex}"
+    rows.write.parquet(aside)
+    yield rows.sparkSession.read.schema(rows.schema).parquet(aside)
+    delete(rows.sparkSession, aside)
+
+
 class SearchIndex:
     """A stored index under ``path``."""
 
@@ -49,11 +56,11 @@ class SearchIndex:
     def add(self, docs: DataFrame, text: str, batch_id: int) -> None:
         """Index new documents only. Adding a batch again replaces it."""
         docs = spread(docs)
-        new = postings(docs, self.key, text, self.attributes)
-        # Sorting by term lets the reader skip the row groups of other terms; the key splits a
-        # term that occurs in most documents over several files.
-        new.repartitionByRange("term", self.key).sortWithinPartitions("term", self.key).write.mode(
-            "overwrite").parquet(f"{self.path}/postings/batch={batch_id}")
+        with written_first(postings(docs, self.key, text, self.attributes), self.path) as new:
+            # Sorting by term lets the reader skip the row groups of other terms; the key splits a
+            # term that occurs in most documents over several files.
+            new.repartitionByRange("term", self.key).sortWithinPartitions("term", self.key).write.mode(
+                "overwrite").parquet(f"{self.path}/postings/batch={batch_id}")
         statistics(docs, text).coalesce(1).write.mode("overwrite").parquet(
             f"{self.path}/statistics/batch={batch_id}")
 

@@ -147,7 +147,8 @@ class LiveIndex:
             whole = spread(docs)
             new = search.postings(whole, self.key, text, self.attributes).select("*", version)
             sized = whole.select(self.key, F.greatest(F.size(tokens(F.col(text))), F.lit(0)).alias("length"), version)
-            segment = self._write(batch_id, batch_id, new, sized)
+            with search.written_first(new, self.path) as rows:
+                segment = self._write(batch_id, batch_id, rows, sized)
             added = self._read("documents", [segment], self._document_schema).agg(F.coalesce(F.sum("length"), F.lit(0))).first()
             counts = {"documents": counts["documents"] + segment.documents, "tokens": counts["tokens"] + added[0]}
         totals = self.spark.createDataFrame([(counts["documents"], counts["tokens"])], "documents long, tokens long")
