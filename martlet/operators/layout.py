@@ -36,8 +36,15 @@ def quantile_rank(df: DataFrame, by: Column, sample: Column, cells: int, rows: i
     cuts = [values[i * len(values) // cells] for i in range(1, cells)] if values else []
     if not cuts:
         return F.lit(0)
-    passed = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= by))
-    return F.when(by.isNull(), 0).otherwise(passed)
+
+    def passed(low: int, high: int) -> Column:
+        """Number of cuts up to ``by``, between ``low`` and ``high``, by halving."""
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(F.lit(cuts[middle]) <= by, passed(middle + 1, high)).otherwise(passed(low, middle))
+
+    return F.when(by.isNull(), 0).otherwise(passed(0, len(cuts)))
 
 
 def interleaved(ranks: Sequence[Column], bits: int) -> Column:
