@@ -174,3 +174,21 @@ def test_scaler_and_line(spark):
     assert sample.deviations["x"] > ml.fit_scaler(df, ["x"]).deviations["x"]
     line = ml.fit_line(df, ["x"], "y")
     assert abs(line.coefficients[0] - 3) < 1e-6 and abs(line.intercept - 2) < 1e-6
+
+
+def test_line_is_one_aggregate(spark):
+    tracker = spark.sparkContext.statusTracker()
+    x = F.col("id").cast("double")
+    df = spark.range(0, 1000, 1, 4).select(x.alias("x"), (x % 7).alias("z"), F.lit(5.0).alias("same"), (3 * x - 2 * (x % 7) + 4).alias("y"))
+    spark.sparkContext.setJobGroup("line", "line")
+    line = ml.fit_line(df, ["x", "z", "same"], "y")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = tracker.getJobIdsForGroup("line")
+    stages = {s for j in jobs for s in tracker.getJobInfo(j).stageIds}
+    assert len(stages) <= 3, stages  # the scan, and the merge of its partial results
+    assert all(abs(a - b) < 1e-6 for a, b in zip((*line.coefficients, line.intercept), (3, -2, 0, 4)))
+    off = line.transform(df).agg(F.max(F.abs(F.col("prediction") - F.col("y")))).first()[0]
+    assert off < 1e-6
+    for bad in (None, float("nan"), float("inf")):
+        with pytest.raises(ValueError):
+            ml.fit_line(df.withColumn("y", F.when(F.col("x") == 3, F.lit(bad)).otherwise(F.col("y"))), ["x"], "y")
