@@ -3,6 +3,7 @@
 ``merge`` looks up the present row of each key in a batch and writes key, row before and row after as one batch.
 From then on
 
+* batches are bucketed as the base is, so the rows of a key meet each other and the base without a shuffle,
 * the state is the base joined with the last row of each key that later batches hold,
 * the change feed between two batches is the first row before and the last row after of each key in the
   batches between, and reads no others,
@@ -84,30 +85,41 @@ class KeyedTable:
     def last_batch(self) -> int | None:
         return max([*self.batches(), *([] if (base := self.base_batch()) is None else [base])], default=None)
 
-    def base(self) -> DataFrame | None:
-        upto = self.base_batch()
-        if upto is None:
-            return None
-        where = f"{self.path}/base/upto={upto}"
+    def _bucketed(self, where: str, columns: T.StructType, partitioned: str = "") -> DataFrame:
+        """The bucketed files under ``where``, by an entry of the session's catalogue."""
         name = "keyed_" + hashlib.sha256(where.encode()).hexdigest()[:24]
         if not self.spark.catalog.tableExists(name):
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self._base_schema.fields)
             self.spark.sql(
-                f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({HASH}) SORTED BY ({HASH}) "
+                f"CREATE TABLE {name} ({columns.toDDL()}) USING parquet {partitioned} CLUSTERED BY ({HASH}) SORTED BY ({HASH}) "
                 f"INTO {self.buckets} BUCKETS LOCATION '{where}'")
+        if partitioned:  # folders may have come or gone
+            self.spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
         return self.spark.table(name)
 
+    def base(self) -> DataFrame | None:
+        upto = self.base_batch()
+        return None if upto is None else self._bucketed(f"{self.path}/base/upto={upto}", self._base_schema)
+
+    def _span(self, after: int | None, upto: int | None) -> list[int]:
+        return [n for n in self.batches() if (after is None or n > after) and (upto is None or n <= upto)]
+
     def changes(self, after: int | None = None, upto: int | None = None) -> DataFrame:
         """Rows of the batches in (after, upto]; folders of other batches are not opened."""
         if not exists(self.spark, f"{self.path}/changes"):
-            return self.spark.createDataFrame([], self._change_schema)
-        rows = self.spark.read.schema(self._change_schema).parquet(f"{self.path}/changes")
+            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self._change_schema])
+        rows = self._bucketed(f"{self.path}/changes", self._change_schema, f"PARTITIONED BY ({BATCH})")
         if after is not None:
             rows = rows.where(F.col(BATCH) > after)
         return rows if upto is None else rows.where(F.col(BATCH) <= upto)
 
-    def _net(self, changes: DataFrame) -> DataFrame:
-        """First row before and last row after of each key; partial results in every task."""
+    def _net(self, after: int | None = None, upto: int | None = None) -> DataFrame:
+        """First row before and last row after of each key in the batches. One batch has them as it is."""
+        changes = self.changes(after, upto)
+        if len(self._span(after, upto)) == 1:
+            return changes.select(HASH, *self.key, BEFORE, AFTER)
+        return self._grouped(changes)
+
+    def _grouped(self, changes: DataFrame) -> DataFrame:
         return changes.groupBy(HASH, *self.key).agg(
             F.min_by(BEFORE, BATCH).alias(BEFORE), F.max_by(AFTER, BATCH).alias(AFTER))
 
@@ -116,7 +128,7 @@ class KeyedTable:
     def state(self) -> DataFrame:
         """The present rows with the time each was inserted."""
         base = self.base()
-        later = self._net(self.changes(after=self.base_batch()))
+        later = self._net(after=self.base_batch())
         if base is None:
             kept = later.where(F.col(AFTER).isNotNull())
             return kept.select(f"{AFTER}.*")
@@ -125,20 +137,36 @@ class KeyedTable:
         row = F.when(F.col("_right").isNotNull(), F.col(AFTER)).otherwise(F.col("_row"))
         return both.select(row.alias("_row")).where(F.col("_row").isNotNull()).select("_row.*")
 
+    def _few(self, keys: DataFrame) -> list[int] | None:
+        """Hashes of ``keys`` if they are few enough to be looked up one by one."""
+        most = limit(self.spark, "lookupKeys")
+        found = [r[0] for r in keys.select(HASH).limit(most + 1).collect()]
+        return found if len(found) <= most else None
+
+    def present(self, keys: DataFrame) -> DataFrame:
+        """``keys`` (_hash, distinct keys and further columns) with ``_row``: the present row of each, NULL if there is none.
+
+        Only ``keys`` are shuffled, and not even these if they lie in the table's buckets already.
+        """
+        return self._beside(keys, self._few(keys))
+
+    def _beside(self, keys: DataFrame, few: list[int] | None) -> DataFrame:
+        base, later = self.base(), self._net(after=self.base_batch()).select(HASH, *self.key, F.col(AFTER).alias("_later"))
+        if few is not None:
+            later = later.where(F.col(HASH).isin(few))
+            base = base if base is None else base.where(F.col(HASH).isin(few))
+        out = join_keys(keys, later, self.key, "left").withColumnRenamed("_right", "_in_later").drop(
+            *[f"_right_{i}" for i in range(len(self.key))])
+        kept = F.lit(None).cast(self.rows)
+        if base is not None:
+            rows = base.select(HASH, *self.key, F.struct(*self.rows.names).alias("_kept"))
+            out, kept = join_keys(out, rows, self.key, "left"), F.col("_kept")
+        row = F.when(F.col("_in_later").isNotNull(), F.col("_later")).otherwise(kept).alias("_row")
+        return out.select(*keys.columns, row)
+
     def lookup(self, keys: DataFrame) -> DataFrame:
         """(_hash, key, _row) of those of ``keys`` (_hash and key columns, distinct) that are in the table."""
-        later = self._net(self.changes(after=self.base_batch()))
-        base = self.base()
-        most = limit(self.spark, "lookupKeys")
-        in_later = join_keys(later, keys, self.key, "left_semi", most).select(HASH, *self.key, F.col(AFTER).alias("_row"))
-        if base is None:
-            return in_later.where(F.col("_row").isNotNull())
-        few = [r[0] for r in keys.select(HASH).limit(most + 1).collect()]
-        if len(few) <= most:
-            base = base.where(F.col(HASH).isin(few))
-        found = join_keys(base, keys, self.key, "left_semi", most).select(HASH, *self.key, F.struct(*self.rows.names).alias("_row"))
-        unchanged = join_keys(found, in_later, self.key, "left_anti")
-        return unchanged.unionByName(in_later).where(F.col("_row").isNotNull())
+        return self.present(keys).where(F.col("_row").isNotNull())
 
     def feed(self, after: int | None = None, upto: int | None = None) -> DataFrame:
         """What the batches in (after, upto] changed: rows with ``_action`` and ``_is_update``.
@@ -149,7 +177,7 @@ class KeyedTable:
         given_up = max(numbered_folders(self.spark, f"{self.path}/expired", "upto="), default=None)
         if given_up is not None and (after is None or after < given_up):
             raise ValueError(f"changes up to batch {given_up} have been expired")
-        net = self._net(self.changes(after, upto)).where(~F.col(BEFORE).eqNullSafe(F.col(AFTER)))
+        net = self._net(after, upto).where(~F.col(BEFORE).eqNullSafe(F.col(AFTER)))
         is_update = F.col(BEFORE).isNotNull() & F.col(AFTER).isNotNull()
         each = F.array_compact(F.array(*[
             F.when(F.col(image).isNotNull(), F.struct(F.lit(action).alias("action"), F.col(image).alias("row")))
@@ -177,10 +205,12 @@ class KeyedTable:
         if deletes is not None:
             gone = deletes.select(key_hash(self.key).alias(HASH), *self.key).distinct()
             new = new.unionByName(gone, allowMissingColumns=True)
-        new = stored(new)  # read for the lookup and for the join
-        old = self.lookup(new.select(HASH, *self.key))
-        both = join_keys(new, old, self.key, "left").select(
-            HASH, *[F.col(f"`{k}`") for k in self.key], F.col("_row").alias(BEFORE), "_new")
+        if last is None:
+            both = self._by_bucket(new).withColumn("_row", F.lit(None).cast(self.rows))
+        else:
+            new = stored(new)  # read for its hashes and for the join
+            both = self._beside(self._by_bucket(new), self._few(new))
+        both = both.withColumnRenamed("_row", BEFORE)
         stamp = F.coalesce(F.col(f"{BEFORE}.{INSERTED}"), commit_ts.cast("timestamp_ntz"))
         after = F.struct(*[F.col(f"_new.{c}").cast(self.rows[c].dataType).alias(c) for c in columns], stamp.alias(INSERTED))
         changed = both.withColumn(AFTER, F.when(F.col("_new").isNotNull(), after)).drop("_new")
@@ -189,25 +219,33 @@ class KeyedTable:
         if not insert:
             changed = changed.where(F.col(BEFORE).isNotNull())
         changed = changed.where(~F.col(BEFORE).eqNullSafe(F.col(AFTER)))
-        changed.withColumns({COMMIT: commit_ts.cast("timestamp_ntz"), BATCH: F.lit(batch_id).cast("bigint")}).write.mode(
-            "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(f"{self.path}/changes")
-        if not exists(self.spark, f"{self.path}/changes/{BATCH}={batch_id}"):  # nothing changed: the batch is known all the same
-            self.spark.createDataFrame([], T.StructType(self._change_schema.fields[:-1])).write.mode("overwrite").parquet(
-                f"{self.path}/changes/{BATCH}={batch_id}")
+        self._write(changed.withColumn(COMMIT, commit_ts.cast("timestamp_ntz")), f"changes/{BATCH}={batch_id}")
         return True
 
+    def _by_bucket(self, new: DataFrame) -> DataFrame:
+        """One row of each key, in as many partitions as there are buckets."""
+        return new.repartition(self.buckets, HASH).groupBy(HASH, *self.key).agg(F.first("_new").alias("_new"))
+
+    def _write(self, rows: DataFrame, to: str) -> None:
+        """Write ``rows``, which lie in partitions by bucket, aside and move them to their place whole."""
+        name = "aside_" + uuid.uuid4().hex
+        aside = f"{self.path}/aside/{name}"
+        (rows.write.format("parquet").option("compression", "zstd").bucketBy(self.buckets, HASH).sortBy(HASH)
+         .option("path", aside).saveAsTable(name))
+        self.spark.sql(f"DROP TABLE {name}")  # the entry only: the files stay
+        make(self.spark, f"{self.path}/{to.split('/')[0]}")
+        rename(self.spark, aside, f"{self.path}/{to}")
+
     def fold(self) -> int | None:
         """Store the state as a new base. Batches stay for feeds; bases that it replaces go with ``expire``."""
         last = self.last_batch()
         if last is None or last == self.base_batch():
             return last
-        name = "aside_" + uuid.uuid4().hex
-        aside = f"{self.path}/base/{name}"
-        rows = self.state().select(key_hash(self.key).alias(HASH), *self.rows.names)
-        (rows.repartition(self.buckets, HASH).write.format("parquet").bucketBy(self.buckets, HASH).sortBy(HASH)
-         .option("path", aside).saveAsTable(name))
-        self.spark.sql(f"DROP TABLE {name}")  # the entry only: the files stay
-        rename(self.spark, aside, f"{self.path}/base/upto={last}")
+        if self.base_batch() is None:  # grouped in the buckets they have, one batch too
+            rows = self._grouped(self.changes()).where(F.col(AFTER).isNotNull()).select(HASH, f"{AFTER}.*")
+        else:
+            rows = self.state().select(key_hash(self.key).alias(HASH), *self.rows.names).repartition(self.buckets, HASH)
+        self._write(rows, f"base/upto={last}")
         return last
 
     def expire(self, keep_after: int) -> list[int]:

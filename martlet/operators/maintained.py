@@ -141,7 +141,7 @@ class MaintainedAggregate:
         if upto is None or upto == after:
             return False
         touched = stored(self.changes(after, upto))
-        joined = join_keys(touched, self.groups.lookup(touched.select(HASH, *self.by)), self.by, "left")
+        joined = self.groups.present(touched)
         rows = (F.coalesce(F.col(f"_row.{ROWS}"), F.lit(0)) + F.col(ROWS)).alias(ROWS)
         values = [c for name, m in self.measures.items() for c in self._updated(name, m)]
         updated = stored(joined.select(HASH, *self.by, rows, *values))

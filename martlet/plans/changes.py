@@ -15,10 +15,10 @@ from martlet.plans import mart
 from martlet.plans.history import BATCHES, STATE, _loads
 from martlet.plans.oracle import USERS, text, with_ctes
 from martlet.plans.registry import query
-from martlet.sizing import lookup_join
+from martlet.sizing import limit, lookup_join, segment_count
 
 KEY = list(mart.FACT_KEY)
-BUCKETS = 16  # for the test tables; a table of many TB has thousands
+BUCKETS = 16  # at least; a larger table has one for each task's rows
 
 FINAL = BATCHES + """,
 merged AS (
@@ -49,21 +49,22 @@ def _category_monthly(ws, table: KeyedTable) -> MaintainedAggregate:
     return MaintainedAggregate(
         table, f"{table.path}_groups", ["year_num", "month_num", "category"], {
             "items": Measure("count"), "total_qty": Measure("sum", "qty"), "sales_amount": Measure("sum", "line_amount"),
-            "smallest_line": Measure("min", "line_amount"), "largest_line": Measure("max", "line_amount")}, _monthly, BUCKETS)
+            "smallest_line": Measure("min", "line_amount"), "largest_line": Measure("max", "line_amount")}, _monthly, table.buckets)
 
 
 def _user_ltv(ws, table: KeyedTable) -> MaintainedAggregate:
     return MaintainedAggregate(
         table, f"{table.path}_groups", ["user_id"], {
             "lifetime_value": Measure("sum", "line_amount"), "purchase_count": Measure("distinct", "event_id"),
-            "last_purchase": Measure("max", "event_time")}, buckets=BUCKETS)
+            "last_purchase": Measure("max", "event_time")}, buckets=table.buckets)
 
 
 def keyed_fact(ws, name: str = "keyed_fact", follower=None) -> KeyedTable:
     """The table after all batches; a ``follower`` is brought up to date after each."""
     columns = ws.event_items.schema
     schema = T.StructType([columns[c] for c in mart.FACT_COLUMNS])
-    table = KeyedTable(ws.spark, ws.location(name), schema, KEY, BUCKETS)
+    buckets = max(BUCKETS, segment_count(ws.event_items.count(), limit(ws.spark, "taskRows")))
+    table = KeyedTable(ws.spark, ws.location(name), schema, KEY, buckets)
 
     def write() -> None:
         first, second = _loads(ws)

@@ -107,6 +107,20 @@ def test_base_is_not_shuffled_and_lookups_open_few_buckets(spark, table):
     assert [(r.a, r._row.v) for r in found.collect()] == [("k7", 7)]
 
 
+def test_batches_meet_each_other_and_the_base_in_their_buckets(spark, table):
+    merge(table, 1, [(f"k{i}", i, "p", i) for i in range(50)])
+    assert "Exchange" not in plan(table.feed(0, 1)) and "Aggregate" not in plan(table.feed(0, 1))  # one batch is net
+    table.fold()
+    merge(table, 2, [("k1", 1, "q", 0), (None, None, "q", 1)])
+    merge(table, 3, [("k1", 1, "r", 0)], [(None, None)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange" not in plan(table.state()) and "Exchange" not in plan(table.feed(1, 3))
+        assert state_of(table) == {(f"k{i}", i): ("p", i) for i in range(50)} | {("k1", 1): ("r", 0)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_many_keys_are_joined_instead(spark, table):
     merge(table, 1, [(f"k{i}", i, "p", i) for i in range(50)])
     table.fold()
