@@ -77,10 +77,14 @@ def share_fact(ws):
 # ---- layout --------------------------------------------------------------------------------
 
 
+# A file has several row groups, so that one file too is read by many tasks and pruned inside.
+ROW_GROUPS = {"parquet.block.size": str(16 * 1024 * 1024)}
+
+
 def _clustered(ws):
     return ws.table("fact_clustered", lambda: layout.clustered(
         ws.fact, [F.to_date("event_time"), F.col("category")], ["event_id", "sku"],
-        limit(ws.spark, "fileRows")))
+        limit(ws.spark, "fileRows")), **ROW_GROUPS)
 
 
 @query("clustered_copy", on_fact(f"SELECT {FACT}, user_id FROM fact"))
@@ -93,7 +97,7 @@ def clustered_curve(ws):
     """The same rows in files along a curve through days and categories, so that either prunes."""
     return ws.table("fact_curve", lambda: layout.clustered_curve(
         ws.fact, [F.to_date("event_time"), F.col("category")], ["event_id", "sku"],
-        limit(ws.spark, "fileRows")))
+        limit(ws.spark, "fileRows")), **ROW_GROUPS)
 
 
 @query("clustering_report")
