@@ -81,7 +81,8 @@ class QualityStates:
         pairs = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("n")) for c in ("*", *self.not_null)]
         values = [rows.where(F.col(c).isNotNull()).select(F.lit(c).alias("name"), text(c).alias("value")) for c in self.counted]
         versions = [
-            rows.select(F.lit(c).alias("name"), text(c).alias("id"), F.to_json(F.struct(*attributes)).alias("version"))
+            rows.select(*dict.fromkeys([c, *attributes])).distinct().select(  # text is made of distinct rows only
+                F.lit(c).alias("name"), text(c).alias("id"), F.to_json(F.struct(*attributes)).alias("version"))
             for c, attributes in self.consistent.items()]
         none = lambda part: [self.spark.createDataFrame([], self.schemas[part])]
         part = F.pmod(F.hash(*self.key), F.lit(self.parts)).alias("part")
