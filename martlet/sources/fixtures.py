@@ -75,7 +75,7 @@ def _whole_orders(orders: DataFrame, lineitem: DataFrame, part: DataFrame, per_d
         priced = lines.join(products.hint("shuffle_hash"), on, "left").repartition(tasks, "l_orderkey")
     line = F.struct(*LINE_ORDER, "p_name", "p_type", "price")
     gathered = priced.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.array_sort(F.collect_list(F.when(F.col("p_partkey").isNotNull(), line))).alias("lines"),
+        F.sort_array(F.collect_list(F.when(F.col("p_partkey").isNotNull(), line))).alias("lines"),
         F.max("l_shipdate").cast("timestamp_ntz").alias("loaded_at"))
     items = gathered.withColumn("items", F.transform("lines", lambda line, i: F.struct(
         (i + 1).cast("bigint").alias("line_no"),
