@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from datetime import datetime
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from martlet.operators.ordered import latest_of_copies, latest_per_key
 from martlet.plans import mart
+from martlet.plans.workspace import Workspace
 from martlet.sources import fixtures
 
 from conftest import rows
@@ -85,3 +88,38 @@ def test_header_is_read_before_the_items_are_exploded(spark):
                                 "line string, src_filename string, loaded_at timestamp_ntz")
     text = plan(mart.stg_event_items(mart.raw_events(raw)))
     assert "$.event_id" in text[text.index("Generate"):]
+
+
+def test_the_mart_does_not_store_documents_and_variants(spark, tmp_path):
+    stamp = F.lit("1998-01-02").cast("timestamp_ntz")
+    spark.range(6).select(
+        F.col("id").alias("o_orderkey"), F.lit(1).cast("bigint").alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+        stamp.alias("o_orderdate")).write.parquet(f"{tmp_path}/orders.parquet")
+    number = F.lit(1.0)
+    spark.range(12).select(
+        (F.col("id") % 6).alias("l_orderkey"), (F.col("id") % 4).alias("l_partkey"), F.col("id").alias("l_suppkey"),
+        F.col("id").cast("int").alias("l_linenumber"), number.alias("l_quantity"), number.alias("l_extendedprice"),
+        number.alias("l_discount"), number.alias("l_tax"), F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        stamp.alias("l_shipdate")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(4).select(
+        F.col("id").alias("p_partkey"), F.lit("n").alias("p_name"), F.lit("t").alias("p_type"),
+        F.lit(2.5).alias("p_retailprice")).write.parquet(f"{tmp_path}/part.parquet")
+    ws = Workspace(spark, str(tmp_path))
+    fact = rows(ws.fact)
+    assert len(fact) == 12
+    assert not os.path.exists(_local(ws.location("documents"))) and not os.path.exists(_local(ws.location("raw_events")))
+    assert ws.raw.count() == 6 and os.path.exists(_local(ws.location("raw_events")))
+    again = mart.merge_stored(mart.stg_event_items(ws.raw)).select(*mart.FACT_COLUMNS)
+    assert rows(again) == fact  # the same from the stored variants
+
+
+def test_a_table_may_have_several_row_groups_in_a_file(spark, tmp_path):
+    ws = Workspace(spark, str(tmp_path))
+    frame = ws.table("grouped", lambda: spark.range(0, 200_000, 1, 1).select(F.md5(F.col("id").cast("string")).alias("m")),
+                     **{"parquet.block.size": str(1 << 20)})
+    (file,) = [f.removeprefix("file://").removeprefix("file:") for f in frame.inputFiles()]
+    assert pq.ParquetFile(file).num_row_groups > 1 and frame.count() == 200_000
+
+
+def _local(folder):
+    return folder.removeprefix("file://").removeprefix("file:")
