@@ -4,33 +4,18 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlet.session import shared_folder
+from martlet.session import setting, shared_folder
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _WRITTEN: dict[str, SparkSession] = {}
 
 
-@contextmanager
-def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """Set a session setting for the jobs started inside."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder of the shared store that this application wrote."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -12,10 +12,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martlet.sizing import lookup_join
+from martlet.session import setting
+from martlet.sizing import tasks_for
 
 OP, BATCH, COMMIT, INSERTED = "_op", "_batch_id", "commit_ts", "inserted_at"
 LOG_COLUMNS = (OP, BATCH, COMMIT, INSERTED)
@@ -35,12 +36,19 @@ def log_rows(
     })
 
 
+OPEN_FILES = 16  # a task that finds more batches in its rows sorts the rest of them
+
+
 def append_batch(rows: DataFrame, path: str) -> None:
-    """Write the batches in ``rows``; a batch that is already there is replaced."""
-    (
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH).parquet(path)
-    )
+    """Write the batches in ``rows``; a batch that is already there is replaced.
+
+    A task writes several batches at a time, so that it need not sort its rows by batch first.
+    """
+    with setting(rows.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES)):
+        (
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+            .partitionBy(BATCH).parquet(path)
+        )
 
 
 def read_log(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -57,22 +65,25 @@ def _beside(right: DataFrame, key: Sequence[str]) -> tuple[DataFrame, Column]:
     return right, on
 
 
-def current_state(log: DataFrame, key: Sequence[str]) -> DataFrame:
+def current_state(log: DataFrame, key: Sequence[str], tasks: int | None = None) -> DataFrame:
     """Latest row per key that is not deleted, with the time the key was (last) inserted.
 
-    Both steps are aggregates with partial results in every task, so a key with many versions is
-    reduced before the shuffle.
+    The rows are shuffled and sorted by key once, whatever the number of deleted keys; a key has at most one row for
+    each batch. ``tasks`` divides the shuffle (see ``sizing.tasks_for``); without it the session's number of partitions does.
     """
-    deleted = log.where(F.col(OP) == DELETE).groupBy(*key).agg(F.max(BATCH).alias("_deleted_in"))
-    upserts = log.where(F.col(OP) == UPSERT)
-    deleted, same = _beside(deleted, key)
-    alive = lookup_join(upserts, deleted, same, "left").where(
-        F.col("_deleted_in").isNull() | (F.col(BATCH) > F.col("_deleted_in"))
-    )
     payload = [c for c in log.columns if c not in key and c not in LOG_COLUMNS]
+    upsert = F.col(OP) == UPSERT
+    versions = log.where(F.col(OP).isin(UPSERT, DELETE)).select(
+        *key, BATCH, upsert.alias("_upsert"), F.coalesce(INSERTED, COMMIT).alias(INSERTED),
+        *[F.when(upsert, F.col(c)).alias(c) for c in payload])
+    if tasks is not None:
+        versions = versions.repartition(tasks, *key)
+    deleted_in = F.max(F.when(~F.col("_upsert"), F.col(BATCH))).over(Window.partitionBy(*key))
+    alive = versions.withColumn("_deleted_in", deleted_in).where(
+        F.col("_upsert") & (F.col("_deleted_in").isNull() | (F.col(BATCH) > F.col("_deleted_in")))
+    )
     return alive.groupBy(*key).agg(
-        F.max_by(F.struct(*payload), BATCH).alias("_row"),
-        F.min(F.coalesce(INSERTED, COMMIT)).alias(INSERTED),
+        F.max_by(F.struct(*payload), BATCH).alias("_row"), F.min(INSERTED).alias(INSERTED),
     ).select(*key, "_row.*", INSERTED).select(
         *[c for c in log.columns if c not in LOG_COLUMNS], INSERTED
     )
@@ -80,7 +91,8 @@ def current_state(log: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def as_of(log: DataFrame, key: Sequence[str], moment: Column) -> DataFrame:
     """State at ``moment``, including what was committed exactly then."""
-    return current_state(log.where(F.col(COMMIT) <= moment), key)
+    log = log.where(F.col(COMMIT) <= moment)
+    return current_state(log, key, tasks_for(log))
 
 
 def as_of_offset(log: DataFrame, key: Sequence[str], now: Column, seconds: int) -> DataFrame:
@@ -89,7 +101,8 @@ def as_of_offset(log: DataFrame, key: Sequence[str], now: Column, seconds: int)
 
 
 def before_batch(log: DataFrame, key: Sequence[str], batch_id: int) -> DataFrame:
-    return current_state(log.where(F.col(BATCH) < batch_id), key)
+    log = log.where(F.col(BATCH) < batch_id)
+    return current_state(log, key, tasks_for(log))
 
 
 def compact(log: DataFrame, key: Sequence[str], keep_after: Column) -> DataFrame:
@@ -99,7 +112,7 @@ def compact(log: DataFrame, key: Sequence[str], keep_after: Column) -> DataFrame
     """
     old = log.where(F.col(COMMIT) <= keep_after)
     last = old.agg(F.max(BATCH)).scalar()
-    base = current_state(old, key).withColumns({
+    base = current_state(old, key, tasks_for(old)).withColumns({
         OP: F.lit(UPSERT), BATCH: last, COMMIT: keep_after.cast("timestamp_ntz"),
     })
     return base.select(*log.columns).unionByName(log.where(F.col(COMMIT) > keep_after))
@@ -152,7 +165,7 @@ def fold(spark: SparkSession, log_path: str, key: Sequence[str], schema) -> int
         return None
     last, log = batches[-1], read_folded(spark, log_path, schema)
     when = log.agg(F.max(COMMIT)).first()[0]
-    rows = current_state(log, key).withColumns({
+    rows = current_state(log, key, tasks_for(log)).withColumns({
         OP: F.lit(UPSERT), BATCH: F.lit(last).cast("bigint"), COMMIT: F.lit(when).cast("timestamp_ntz")})
     aside = f"{_bases(log_path)}/aside-{uuid.uuid4().hex}"
     rows.select(*log.columns).write.parquet(aside)

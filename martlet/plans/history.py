@@ -8,6 +8,7 @@ from martlet.operators import history
 from martlet.plans import mart
 from martlet.plans.oracle import LINES, double, on_fact, text, with_ctes
 from martlet.plans.registry import query
+from martlet.sizing import tasks_for
 
 KEY = list(mart.FACT_KEY)
 PAYLOAD = [c for c in mart.FACT_COLUMNS if c not in KEY]
@@ -213,7 +214,8 @@ def as_of_before(ws):
 
 @query("current_state", _state_sql("true"))
 def current_state(ws):
-    return history.current_state(_log(ws), KEY)
+    log = _log(ws)
+    return history.current_state(log, KEY, tasks_for(log))
 
 
 @query("snapshot_table", _state_sql("commit_ts <= TIMESTAMP '1998-01-01'"))

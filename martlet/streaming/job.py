@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlet.operators import history
 from martlet.plans.mart import FACT_KEY
+from martlet.sizing import tasks_for
 from martlet.streaming import incremental
 
 
@@ -40,7 +41,7 @@ class Paths:
 def fact(spark: SparkSession, paths: Paths, target_schema: str = "mart") -> DataFrame:
     """Current state of the purchase fact: its newest base and the batches since."""
     log = history.read_folded(spark, paths.fact_log(target_schema), FACT_LOG_SCHEMA)
-    return history.current_state(log, FACT_KEY)
+    return history.current_state(log, FACT_KEY, tasks_for(log))
 
 
 def run(

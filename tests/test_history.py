@@ -50,6 +50,31 @@ def test_states(log):
     assert history.before_batch(log, KEY, 1).count() == 0
 
 
+def test_state_shuffles_the_log_once(spark, log):
+    """However many keys are deleted: rows were joined to these and then shuffled again by key."""
+    spark.conf.set("spark.martlet.broadcastRows", "0")
+    try:
+        for tasks in (None, 3):
+            now = history.current_state(log, KEY, tasks)
+            plan = now._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange") == 1 and "Join" not in plan and plan.count("Sort [") == 1
+            assert state(now) == [("a", 2, "2026-01-01"), ("c", 4, "2026-01-04"), ("d", 2, "2026-01-02")]
+    finally:
+        spark.conf.unset("spark.martlet.broadcastRows")
+
+
+def test_many_batches_in_one_write(spark, tmp_path):
+    """More batches in a task than it writes at a time, and one that is replaced."""
+    many = spark.range(0, 200, 1, 2).select(
+        F.col("id").cast("string").alias("k"), F.col("id").cast("int").alias("v"), F.lit("x").alias("w"))
+    log = history.log_rows(many, F.col("v") % 40, at("2026-01-01"))
+    path = str(tmp_path / "log")
+    history.append_batch(log, path)
+    history.append_batch(log.where("_batch_id = 7"), path)
+    assert rows(history.read_log(spark, path).select(*log.columns)) == rows(log)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
 @pytest.mark.parametrize("day", [1, 2, 3, 4])
 def test_compaction_keeps_later_states(log, day):
     folded = history.compact(log, KEY, at(f"2026-01-0{day} 12:00:00"))
