@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from martlet.llm import cross_entropy, language_mix, surrogates
 
@@ -264,6 +265,25 @@ def test_all_words_are_known(spark):
     assert scores[10] == scores[11] < scores[12] - 1  # they differ in rare words of equal lengths only
 
 
+def test_bigrams_travel_as_arrays_in_many_buckets(spark, monkeypatch):
+    r = np.random.default_rng(6)
+    rows = [(int(i % 50) or None, " ".join(f"w{int(x)}" for x in r.zipf(1.4, 40))) for i in range(120)] + [(7, None), (7, " "), (7, None)]
+    targets = spark.createDataFrame([(i,) for i in range(1, 50, 3)], "doc_id long")
+    key = lambda x: (x.doc_id or 0, x.n_words, x.score)
+    want = sorted(cross_entropy.score(table(spark, rows), targets).collect(), key=key)
+    monkeypatch.setattr(cross_entropy, "_TEXT", 2000)
+    monkeypatch.setattr(cross_entropy, "_BUCKET", 3000)
+    monkeypatch.setattr(cross_entropy, "_SAMPLE", 1.0)
+    assert sorted(cross_entropy.score(table(spark, rows), targets, slices=2).collect(), key=key) == want
+    plan = cross_entropy.score(table(spark, rows), targets)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Join" not in plan.replace("BroadcastHashJoin", "")
+    chunk = cross_entropy._send(None, np.zeros(1, np.uint64), 5, 0, 1)
+    texts = [t.encode() for _, t in rows[:120]]
+    sent = chunk([pa.scalar(3)], pa.table({
+        "data": texts, "d1": list(range(120)), "d2": [0] * 120, "copies": [1] * 120, "target": [True] * 120}))
+    assert sent.num_rows <= 5  # a row for a bucket, not for a bigram
+
+
 def test_scores_tell_good_documents_apart(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
