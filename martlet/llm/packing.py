@@ -24,20 +24,22 @@ from pyspark.sql import functions as F
 
 from martlet.llm.common import spread, stored
 from martlet.llm.tokens import VOCABULARY, token_ids
+from martlet.session import setting
 from martlet.sizing import lookup_join
 
 LENGTH = 2048
 QUANTUM = 128
 END = 1
 _UNITS = 1 << 16  # resolution of weights
+_BATCH = 100  # documents that a task passes between Spark and Python at a time; their buffers are outside the heap
 
 
 def _tokenise(path: str, end: int, added: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, sums = TaskContext.get().partitionId(), {}
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                part = batch.slice(begin, 500)
+            for begin in range(0, batch.num_rows, _BATCH):
+                part = batch.slice(begin, _BATCH)
                 ids, sizes, before = [], [], []
                 for text, queue in zip(part["text"].to_pylist(), part["queue"].to_pylist()):
                     found = token_ids(text, path, added) if text else np.zeros(0, "<u4")
@@ -91,28 +93,17 @@ def pieces(queue: int, start: int, size: int, lengths, weights, quantum: int, le
 
 
 def _cut(queues: list[str], lengths: list[int], weights: list[int], quantum: int, length: int):
+    """Arrays of :func:`pieces` from columns queue, start and tokens: the ids are not needed to know where they go."""
     number = {q: i for i, q in enumerate(queues)}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(queue: pa.Array, start: pa.Array, tokens: pa.Array) -> pa.Array:
         size, weight = np.array(lengths, np.int64), np.array(weights, np.int64)
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 200):
-                part = batch.slice(begin, 200)
-                index, rows, ids = [], [], []
-                for i, (queue, start, n, data) in enumerate(zip(
-                        *(part[c].to_pylist() for c in ("queue", "start", "tokens", "ids")))):
-                    cut = pieces(number[queue], start, n, size, weight, quantum, length)
-                    index.append(np.full(len(cut), i))
-                    rows.append(cut)
-                    ids += [data[4 * a:4 * (a + b)] for a, b in cut[:, :2].tolist()]
-                if not rows:
-                    continue
-                rows, index = np.concatenate(rows), pa.array(np.concatenate(index))
-                yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"].take(index), part["queue"].take(index), pa.array(rows[:, 0]), pa.array(rows[:, 1]),
-                     pa.array(ids, pa.binary()), part["tokens"].take(index),
-                     pa.array(rows[:, 2] // length), pa.array(rows[:, 2] % length)],
-                    ["doc_id", "queue", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
+        cuts = [pieces(number[q], at, n, size, weight, quantum, length)
+                for q, at, n in zip(queue.to_pylist(), start.to_pylist(), tokens.to_pylist())]
+        rows = np.concatenate([np.zeros((0, 3), np.int64), *cuts])
+        ends = np.cumsum([0, *map(len, cuts)])
+        found = pa.StructArray.from_arrays([pa.array(rows[:, k]) for k in range(3)], ["start", "length", "place"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)
     return run
 
 
@@ -133,10 +124,10 @@ def pack(
     if length < 1 or quantum < 1:
         raise ValueError("length and quantum are at least 1")
     doc_id = docs.schema["doc_id"].dataType.simpleString()
-    base = stored(
-        spread(docs).select("doc_id", "text", F.coalesce(F.col("source").cast("string"), F.lit("\u0000")).alias("queue"))
-        .mapInArrow(_tokenise(path, end, added),
-                    f"doc_id {doc_id}, queue string, task int, before long, tokens long, ids binary"))
+    rows = spread(docs).select("doc_id", "text", F.coalesce(F.col("source").cast("string"), F.lit("\u0000")).alias("queue"))
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(_BATCH)):
+        base = stored(rows.mapInArrow(
+            _tokenise(path, end, added), f"doc_id {doc_id}, queue string, task int, before long, tokens long, ids binary"))
     per_task = base.groupBy("queue", "task").agg(F.sum("tokens").alias("tokens"))
     earlier = F.sum("tokens").over(
         Window.partitionBy("queue").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
@@ -145,9 +136,15 @@ def pack(
     queues, lengths = [q for q, _ in totals], [n for _, n in totals]
     shares = integer_weights(lengths, None if weights is None else [weights.get(q, 0.0) for q in queues])
     placed = lookup_join(base, offsets, ["queue", "task"]).withColumn("start", F.col("before") + F.col("earlier"))
-    return placed.select("doc_id", "queue", "start", "tokens", "ids").mapInArrow(
-        _cut(queues, lengths, shares, quantum, length),
-        f"doc_id {doc_id}, queue string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    cut = F.arrow_udf(
+        _cut(queues, lengths, shares, quantum, length), "array<struct<start: bigint, length: bigint, place: bigint>>")
+    cuts = placed.select("doc_id", "queue", "tokens", "ids", cut("queue", "start", "tokens").alias("cut"))
+    own = cuts.select("doc_id", "queue", "tokens", F.explode(F.transform("cut", lambda c: F.struct(
+        c["start"].alias("start"), c["length"].alias("length"), c["place"].alias("place"),
+        F.substring("ids", (4 * c["start"] + 1).cast("int"), (4 * c["length"]).cast("int")).alias("ids")))).alias("p"))
+    return own.select(
+        "doc_id", "queue", "p.start", "p.length", "p.ids", F.col("tokens").alias("doc_tokens"),
+        F.expr(f"p.place div {length}").alias("sequence_id"), (F.col("p.place") % length).alias("offset"))
 
 
 def digest(packed: DataFrame) -> DataFrame:

@@ -244,3 +244,16 @@ def test_overflow_goes_clockwise_and_few_rows_move(spark):
     old, new = ({r.doc_id: r.shard for r in ring_shards.assign(docs, shards=n, slack=0.25).collect()} for n in (10, 11))
     assert sum(old[i] != new[i] for i in old) < 3000 * 0.35
     assert max(Counter(new.values()).values()) <= 3000 / 11 * 1.25 + 1
+
+
+def test_ids_do_not_return_to_python(spark):
+    rows = [(1, "one two three four", "x"), (2, None, "y"), (3, "five " * 50, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = packing.pack(docs, length=16, quantum=4)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "ArrowEvalPython" in plan
+    ids = {}
+    for r in sorted(out.collect(), key=lambda r: r.start):
+        assert len(r.ids) == 4 * r.length and 0 <= r.offset and r.offset + r.length <= 16
+        ids[r.doc_id] = ids.get(r.doc_id, b"") + bytes(r.ids)
+    assert all(len(x) == 4 * {r.doc_id: r.doc_tokens for r in out.collect()}[i] for i, x in ids.items()) and len(ids) == 3
